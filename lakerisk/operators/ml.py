@@ -148,36 +148,34 @@ def predict(scored: DataFrame, score: str = "score", threshold: float = 0.5) ->
     return scored.withColumn("predicted", (F.col(score) >= threshold).cast("int"))
 
 
-def roc_auc(df: DataFrame, score: str, label: str, ranges: int = 1000) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Exact area under the ROC curve, ties counted half, as one row.
 
-    Rows collapse to one per score. The running count of negatives then goes in two steps: per
-    range of scores (a thousand totals), and inside each range, so no task sees all scores.
+    Rows collapse to one per score, and those are stored by score range with the number of their
+    range. The running count of negatives then goes in two steps, over the ranges (one total each)
+    and inside each range, so no task sees all scores.
     """
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_dir(spark, "scores")
     flag = F.col(label).cast("int")
-    scores = (
+    (
         df.filter(F.col(score).isNotNull() & flag.isNotNull())
-        .groupBy(F.col(score).alias("s"))
+        .groupBy(F.col(score).cast("double").alias("s"))
         .agg(F.sum(flag).alias("pos"), F.sum(1 - flag).alias("neg"))
+        .repartitionByRange(ranges, "s")
+        .withColumn("part", F.spark_partition_id())
+        .write.parquet(path)
     )
-    # The quantiles read both counts, so that Spark can reuse the grouping above for them.
-    counted = F.when(F.col("pos") + F.col("neg") > 0, F.col("s").cast("double"))
-    edges = scores.agg(
-        F.percentile_approx(counted, [i / ranges for i in range(1, ranges)], 10000)).scalar()
-    ranged = (
-        scores.withColumn("edges", edges)
-        .withColumn("part", F.size(F.filter("edges", lambda e: e < F.col("s"))))
-        .drop("edges")
-    )
-    # One row per range.
-    totals = ranged.groupBy("part").agg(F.sum("neg").alias("part_neg"))
+    scores = spark.read.schema("s double, pos long, neg long, part int").parquet(path)
     below = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
+    # One row per range.
+    offsets = scores.groupBy("part").agg(F.sum("neg").alias("part_neg")).select(
         "part", F.coalesce(F.sum("part_neg").over(below), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     negatives_below = (
         F.col("offset") + F.coalesce(F.sum("neg").over(inside), F.lit(0))).cast("double")
-    pairs = ranged.join(F.broadcast(offsets), "part").select(
+    pairs = scores.join(F.broadcast(offsets), "part").select(
         "pos", "neg", (F.col("pos") * (negatives_below + F.col("neg") / 2.0)).alias("won"))
     return pairs.agg(
         ratio(F.sum("won"), F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))

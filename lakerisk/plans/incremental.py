@@ -1,6 +1,7 @@
 """Incremental maintenance: land new rows, refresh touched days of Gold, compact a month."""
 
 import math
+from datetime import timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -79,13 +80,23 @@ def incremental_gold(paths: LakePaths, new_silver: DataFrame, batch: str) -> Non
     silver_path, base_path = silver_and_base(paths)
     replace_partitions(
         new_silver.withColumn("batch", F.lit(batch)), silver_path, MONTH + ["batch"])
-    stored = spark.read.parquet(silver_path)
-    months = months_of(stored.filter(F.col("batch") == batch))
+    stored = stored_table(
+        spark, silver_path, StructType(new_silver.schema.fields).add("batch", "string"))
+    if stored is None:
+        return
+    landed = stored.filter(F.col("batch") == batch)
+    months = months_of(landed)
     if not months:
         return
-    current = in_months(stored, months).withColumn("data", F.to_date("ts"))
+    span = landed.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    start, end = span["first"].date(), span["last"].date() + timedelta(days=1)
+    # The months prune folders and the span prunes row groups; the days decide.
+    current = in_months(stored, months).filter(
+        (F.col("ts") >= F.lit(str(start)).cast("timestamp_ntz"))
+        & (F.col("ts") < F.lit(str(end)).cast("timestamp_ntz"))
+    ).withColumn("data", F.to_date("ts"))
     # One row per day of the batch.
-    touched = current.filter(F.col("batch") == batch).select("data").distinct()
+    touched = landed.select(F.to_date("ts").alias("data")).distinct()
     refreshed = additive_base(current.join(F.broadcast(touched), "data", "left_semi"))
     replace_partitions(refreshed, base_path, ["data"])
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from lakerisk.schemas import CUSTOMER_SCHEMA, TX_SCHEMA
 
 BAD_ROW = "_bad_row"
+TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
 def _read_csv_marked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -24,17 +25,17 @@ def _read_csv_marked(spark: SparkSession, path: str, schema: T.StructType) -> Da
 def _never(schema: T.StructType) -> Column:
     """False for every bad row, though only known when read.
 
-    Spark refuses a CSV query that touches the bad-row column alone (a plain count would), so the
-    test also names a data column: no cell equals its whole line plus a line feed.
+    Spark parses the selected columns of a CSV only, so a bad cell elsewhere goes unseen. The test
+    therefore names every column: no row's cells equal its own whole line plus a line feed.
     """
-    first = F.col(schema.fieldNames()[0]).cast("string")
-    return first.eqNullSafe(F.concat(BAD_ROW, F.lit("\n")))
+    cells = F.concat_ws(",", *[F.col(c).cast("string") for c in schema.fieldNames()])
+    return cells.eqNullSafe(F.concat(BAD_ROW, F.lit("\n")))
 
 
 def read_csv_strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Fail on the first bad cell, also when the query later selects none of the bad columns.
+    """Fail on the first bad cell, also in a column the query later leaves out.
 
-    Spark's own FAILFAST parses the selected columns only, so a bad cell elsewhere would pass.
+    Spark's own FAILFAST looks at the selected columns only.
     """
     bad = F.col(BAD_ROW)
     stop = F.raise_error(F.concat(F.lit("bad CSV row: "), bad)).cast("boolean")
@@ -84,7 +85,11 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Write with a header. ``single_file`` is for frames of Gold size only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("sep", ",").csv(path)
+    (
+        out.write.mode("overwrite").option("header", True).option("sep", ",")
+        .option("timestampFormat", TIMESTAMP_FORMAT).option("timestampNTZFormat", TIMESTAMP_FORMAT)
+        .csv(path)
+    )
 
 
 def write_raw_partitioned(raw_parts: DataFrame, path: str) -> None:
