@@ -72,7 +72,6 @@ MEASURES: dict[str, Callable[[], Column]] = {
     "customers": _count_distinct("customer_id"),
     "credit_avg": lambda: round_half_up(
         ratio(F.sum("credit_score"), F.count("credit_score")), 1),
-    "amount_min": lambda: F.min("amount"),
     "amount_max": lambda: F.max("amount"),
 }
 

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.functions import derive
+from lakerisk.functions import derive, measures
 from lakerisk.operators import feeds, layers, ml, ordering, quality, risk, rules
 from lakerisk.plans import incremental
 from lakerisk.plans.lake import Lake, LakePaths
@@ -16,7 +16,7 @@ from lakerisk.schemas import (
     GOLD_FRAUD_RISK_SCHEMA,
     TX_SCHEMA,
 )
-from lakerisk.session import shared_dir
+from lakerisk.session import shared_dir, split_skew
 from lakerisk.sources import files, tables
 from lakerisk.streaming import stream
 
@@ -333,8 +333,8 @@ QUERIES: dict[str, Query] = {
              ordering.rank_in("channel", CHANNEL_ORDER).alias("posicao")),
     "order_date": lambda lake: ordering.order_by(risk.gold_daily_metrics(lake.silver), ["data"]),
     "order_multi": lambda lake: ordering.order_by(
-        lake.silver.select("segment", "amount_band", "transaction_id", "amount"),
-        ["segment", "amount_band", "transaction_id"]),
+        measures.risk_by(lake.silver, ["segment", "amount_band"], total="rows", maior="amount_max"),
+        ["segment", "amount_band"]),
     "top_k": lambda lake: ordering.top_k(
         lake.silver.select("transaction_id", "amount"), ["-amount", "transaction_id"], 5),
     "limit_sample": lambda lake: ordering.top_k(
@@ -401,4 +401,5 @@ def ml_train_indexed(lake: Lake) -> DataFrame:
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
+    split_skew(spark)
     return QUERIES[name](Lake.from_tables(spark, folder))

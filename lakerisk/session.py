@@ -5,11 +5,17 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings worth having on a cluster; none of them changes a result.
-CLUSTER_CONF = {
-    "spark.sql.session.timeZone": "UTC",
+# Let a hot customer's partition be split over tasks, also where the next operator would have
+# liked the join's partitioning (that operator then shuffles its pre-aggregated rows).
+SKEW_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+# Settings worth having on a cluster; none of them changes a result.
+CLUSTER_CONF = SKEW_CONF | {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.parquet.compression.codec": "zstd",
@@ -18,6 +24,12 @@ CLUSTER_CONF = {
 }
 
 
+def split_skew(spark: SparkSession) -> None:
+    """Turn on skew handling for the queries of this session."""
+    for key, value in SKEW_CONF.items():
+        spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path under the folder every executor can reach.
 

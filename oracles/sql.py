@@ -300,8 +300,8 @@ _QUERIES: dict[str, str] = {
         WHEN 'atm' THEN 2 WHEN 'web' THEN 3 WHEN 'pos' THEN 4 ELSE 5 END AS INT) AS posicao
         FROM silver GROUP BY channel ORDER BY posicao""",
     "order_date": f"{GOLD_DAILY} ORDER BY data",
-    "order_multi": """SELECT segment, amount_band, transaction_id, amount FROM silver
-        ORDER BY segment, amount_band, transaction_id""",
+    "order_multi": """SELECT segment, amount_band, COUNT(*) AS total, MAX(amount) AS maior
+        FROM silver GROUP BY segment, amount_band ORDER BY segment, amount_band""",
     "top_k": "SELECT transaction_id, amount FROM silver ORDER BY amount DESC, transaction_id LIMIT 5",
     "limit_sample": """SELECT transaction_id, segment, amount FROM silver
         ORDER BY transaction_id LIMIT 10""",
