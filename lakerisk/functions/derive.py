@@ -57,3 +57,16 @@ def cohort(created_at: Column, as_of: Column, days: int = 365) -> Column:
 def normalize_bool(text: Column) -> Column:
     """Text such as ``True``/``False`` to a boolean; anything but true is false, NULL stays NULL."""
     return F.lower(F.trim(text)) == "true"
+
+
+def utc_instant(ts: str) -> Column:
+    """The zoned timestamp of a zoneless one read as UTC, whatever the session's zone."""
+    return F.expr(
+        f"make_timestamp(year({ts}), month({ts}), day({ts}), hour({ts}), minute({ts}), "
+        f"extract(SECOND FROM {ts}), 'UTC')")
+
+
+def utc_wall_clock(instant: str) -> Column:
+    """The zoneless UTC time of a zoned timestamp, whatever the session's zone."""
+    seconds = f"CAST(unix_micros({instant}) AS DECIMAL(18,0)) / 1000000"
+    return F.expr(f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})")

@@ -58,10 +58,6 @@ def value_at_risk(amount: str = "amount", flag: str = "is_fraud") -> Column:
     return money_sum(F.when(F.col(flag), F.col(amount)).otherwise(0.0))
 
 
-def _count_distinct(column: str) -> Callable[[], Column]:
-    return lambda: F.count_distinct(F.col(column))
-
-
 MEASURES: dict[str, Callable[[], Column]] = {
     "rows": row_count,
     "fraud_rows": fraud_count,
@@ -69,7 +65,8 @@ MEASURES: dict[str, Callable[[], Column]] = {
     "amount_sum": lambda: money_sum(F.col("amount")),
     "amount_avg": lambda: money_avg(F.col("amount")),
     "value_at_risk": value_at_risk,
-    "customers": _count_distinct("customer_id"),
+    "customers": lambda: F.count_distinct("customer_id"),
+    "customers_approx": lambda: F.approx_count_distinct("customer_id"),
     "credit_avg": lambda: round_half_up(
         ratio(F.sum("credit_score"), F.count("credit_score")), 1),
     "amount_max": lambda: F.max("amount"),

@@ -1,6 +1,6 @@
 """Bronze and Silver: typing, rules, whole-row distinct, enrichment with the customer."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakerisk.functions.derive import amount_band, date_parts, time_period
@@ -18,18 +18,19 @@ _CASTS = {
 }
 
 
-def _typed(name: str, source: str) -> Column:
-    column = F.col(source)
-    return (column.cast(_CASTS[name]) if name in _CASTS else column).alias(name)
+def _typed(names: list[str], renamed: dict[str, str] | None = None) -> list[str]:
+    """Select list with the layer's types; ``renamed`` gives the source name of a column."""
+    source = {n: (renamed or {}).get(n, n) for n in names}
+    return [f"CAST({source[n]} AS {_CASTS[n]}) AS {n}" if n in _CASTS else n for n in names]
 
 
 def project_transactions(raw: DataFrame, columns: list[str] = BRONZE_COLUMNS) -> DataFrame:
     """Cast to the Bronze types and rename ``timestamp`` to ``ts``."""
-    return raw.select(*[_typed(c, "timestamp" if c == "ts" else c) for c in columns])
+    return raw.selectExpr(*_typed(columns, {"ts": "timestamp"}))
 
 
 def project_customers(raw: DataFrame) -> DataFrame:
-    return raw.select(*[_typed(c, c) for c in CUSTOMER_COLUMNS])
+    return raw.selectExpr(*_typed(CUSTOMER_COLUMNS))
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

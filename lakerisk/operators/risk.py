@@ -66,9 +66,11 @@ def gold_daily_top_fraud(gold_daily: DataFrame, k: int = 5) -> DataFrame:
 
 # Analysis tables
 
-def analysis_segment(silver: DataFrame) -> DataFrame:
+def analysis_segment(silver: DataFrame, approx_customers: bool = False) -> DataFrame:
+    """Risk per segment; ``approx_customers`` estimates the distinct customers without a shuffle."""
+    customers = "customers_approx" if approx_customers else "customers"
     table = risk_by(
-        silver, ["segment"], score_medio="credit_avg", clientes="customers", transacoes="rows",
+        silver, ["segment"], score_medio="credit_avg", clientes=customers, transacoes="rows",
         fraudes="fraud_rows", taxa_fraude_pct="fraud_rate")
     return order_by(table, ["-taxa_fraude_pct", "segment"])
 

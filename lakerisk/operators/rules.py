@@ -1,61 +1,40 @@
 """Quality rules as named predicates, applied together or explained one by one."""
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakerisk.schemas import CREDIT_RANGE, RISK_RANGE, STATUSES
 
-Rules = dict[str, Callable[[], Column]]
-
-
-def not_null_ids() -> Column:
-    return F.col("transaction_id").isNotNull() & F.col("customer_id").isNotNull()
-
-
-def known_customer_id() -> Column:
-    return F.col("customer_id").isNotNull()
-
-
-def positive_amount() -> Column:
-    return F.col("amount") > 0
-
-
-def risk_in_range() -> Column:
-    return F.col("risk_score").between(*RISK_RANGE)
-
-
-def credit_in_range() -> Column:
-    return F.col("credit_score").between(*CREDIT_RANGE)
-
-
-def known_status() -> Column:
-    return F.col("status").isin(STATUSES)
+Rules = dict[str, str]
 
+NOT_NULL_IDS = "transaction_id IS NOT NULL AND customer_id IS NOT NULL"
+KNOWN_CUSTOMER = "customer_id IS NOT NULL"
+POSITIVE_AMOUNT = "amount > 0"
+RISK_IN_RANGE = "risk_score BETWEEN {} AND {}".format(*RISK_RANGE)
+CREDIT_IN_RANGE = "credit_score BETWEEN {} AND {}".format(*CREDIT_RANGE)
+KNOWN_STATUS = "status IN ({})".format(", ".join(f"'{s}'" for s in STATUSES))
 
 STRICT: Rules = {
-    "not_null_ids": not_null_ids,
-    "positive_amount": positive_amount,
-    "risk_range": risk_in_range,
-    "credit_range": credit_in_range,
-    "status_in": known_status,
+    "not_null_ids": NOT_NULL_IDS,
+    "positive_amount": POSITIVE_AMOUNT,
+    "risk_range": RISK_IN_RANGE,
+    "credit_range": CREDIT_IN_RANGE,
+    "status_in": KNOWN_STATUS,
 }
-LAB: Rules = {"positive_amount": positive_amount, "known_customer": known_customer_id}
-CUSTOMER: Rules = {"known_customer": known_customer_id, "credit_range": credit_in_range}
+LAB: Rules = {"positive_amount": POSITIVE_AMOUNT, "known_customer": KNOWN_CUSTOMER}
+CUSTOMER: Rules = {"known_customer": KNOWN_CUSTOMER, "credit_range": CREDIT_IN_RANGE}
 
 
 def apply_rules(df: DataFrame, rules: Rules) -> DataFrame:
     """Rows that meet every rule; a NULL in a ruled column fails its rule."""
-    return df.filter(reduce(lambda a, b: a & b, [rule() for rule in rules.values()]))
+    return df.filter(" AND ".join(f"({rule})" for rule in rules.values()))
 
 
 def broken_rules(rules: Rules) -> Column:
     """Names of the rules a row breaks, as an array."""
-    return F.array_compact(F.array(*[
-        F.when(~F.coalesce(rule(), F.lit(False)), F.lit(name)) for name, rule in rules.items()
-    ]))
+    names = ", ".join(
+        f"CASE WHEN NOT coalesce({rule}, false) THEN '{name}' END" for name, rule in rules.items())
+    return F.expr(f"array_compact(array({names}))")
 
 
 def rejects(df: DataFrame, rules: Rules = STRICT) -> DataFrame:

@@ -160,36 +160,31 @@ def compact_partition(lake: Lake) -> DataFrame:
 def raw_stream(lake: Lake) -> DataFrame:
     """The given events as a stream of raw transactions."""
     events = tables.stream_events(lake.spark, lake.folder)
-    return tables.transactions_from_events(
-        events, tables.read_table(lake.spark, lake.folder, "customer"))
+    return tables.transactions_from_events(events, tables.read_customer(lake.spark, lake.folder))
 
 
 def silver_stream(lake: Lake) -> DataFrame:
     return stream.stream_silver(stream.stream_bronze(raw_stream(lake)), lake.customers)
 
 
-def plain_time(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
-
-
 def stream_bronze(lake: Lake) -> DataFrame:
-    done = stream.run_available(stream.stream_bronze(raw_stream(lake)), lake.spark, "stream-bronze")
-    return plain_time(done, "ts")
+    bronze = stream.stream_bronze(raw_stream(lake)).drop(stream.EVENT_TIME)
+    return stream.run_available(bronze, lake.spark, "stream-bronze")
 
 
 def stream_silver(lake: Lake) -> DataFrame:
-    return plain_time(stream.run_available(silver_stream(lake), lake.spark, "stream-silver"), "ts")
+    silver = silver_stream(lake).drop(stream.EVENT_TIME)
+    return stream.run_available(silver, lake.spark, "stream-silver")
 
 
 def stream_windows(lake: Lake, length: str, slide: str | None = None) -> DataFrame:
     windows = stream.stream_risk_windows(silver_stream(lake), length, slide)
-    done = stream.run_available(windows, lake.spark, "stream-windows")
-    return plain_time(done, "inicio", "fim")
+    return stream.run_available(windows, lake.spark, "stream-windows")
 
 
 def stream_decision(lake: Lake) -> DataFrame:
     decided = stream.stream_decision(silver_stream(lake))
-    return plain_time(stream.run_available(decided, lake.spark, "stream-decision"), "ts")
+    return stream.run_available(decided, lake.spark, "stream-decision")
 
 
 def stream_gold_upsert(lake: Lake) -> DataFrame:
@@ -261,11 +256,11 @@ QUERIES: dict[str, Query] = {
         lake.silver.select("transaction_id", "amount", "amount_band", "year", "month", "day",
                            "day_of_week"), ["transaction_id"], 10),
     # Filters
-    "f_not_null_ids": lambda lake: lake.raw.filter(rules.not_null_ids()),
-    "f_positive_amount": lambda lake: lake.raw.filter(rules.positive_amount()),
-    "f_risk_range": lambda lake: lake.raw.filter(rules.risk_in_range()),
-    "f_credit_range": lambda lake: lake.raw.filter(rules.credit_in_range()),
-    "f_status_in": lambda lake: lake.raw.filter(rules.known_status()),
+    "f_not_null_ids": lambda lake: lake.raw.filter(rules.NOT_NULL_IDS),
+    "f_positive_amount": lambda lake: lake.raw.filter(rules.POSITIVE_AMOUNT),
+    "f_risk_range": lambda lake: lake.raw.filter(rules.RISK_IN_RANGE),
+    "f_credit_range": lambda lake: lake.raw.filter(rules.CREDIT_IN_RANGE),
+    "f_status_in": lambda lake: lake.raw.filter(rules.KNOWN_STATUS),
     "f_segment_type": lambda lake: risk.purchases_of(lake.silver, "Premium", "compra"),
     "f_is_null": lambda lake: quality.missing(
         layers.left_diagnose(lake.bronze, lake.customers), "customer_segment"

@@ -9,7 +9,12 @@ from lakerisk.functions.derive import add_raw_date_parts
 from lakerisk.operators import layers, risk
 from lakerisk.operators.rules import LAB
 from lakerisk.sources.files import read_layer, write_csv, write_layer, write_raw_partitioned
-from lakerisk.sources.tables import customers_from_table, read_table, transactions_from_events
+from lakerisk.sources.tables import (
+    customers_from_table,
+    read_customer,
+    read_events,
+    transactions_from_events,
+)
 
 
 @dataclass(frozen=True)
@@ -33,8 +38,8 @@ class Lake:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, folder: str) -> "Lake":
-        customer = read_table(spark, folder, "customer")
-        events = read_table(spark, folder, "events")
+        customer = read_customer(spark, folder)
+        events = read_events(spark, folder)
         return cls(
             transactions_from_events(events, customer), customers_from_table(customer), folder)
 

@@ -4,11 +4,10 @@ The mapping is stateless apart from one join, so the same function serves a batc
 stream of events. Events are read once: the repeated copies come from an explode, not a union.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# The column list of the given events table.
+# The columns of the given tables, and how transactions and customers follow from them.
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),
@@ -19,85 +18,83 @@ EVENTS_SCHEMA = T.StructType([
 ])
 
 
-def _segment(market: Column) -> Column:
-    return (
-        F.when(market == "MACHINERY", "High-Risk")
-        .when(market == "AUTOMOBILE", "Standard")
-        .otherwise("Premium")
-    )
-
-
-def _credit_score(balance: Column) -> Column:
-    return F.lit(300) + F.floor((balance + 1000) * 600 / 11000).cast("int")
-
+CUSTOMER_TABLE_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()),
+    T.StructField("c_name", T.StringType()),
+    T.StructField("c_nationkey", T.IntegerType()),
+    T.StructField("c_acctbal", T.DoubleType()),
+    T.StructField("c_mktsegment", T.StringType()),
+])
 
-def _copies(repeat: Column) -> Column:
-    """One output row, or two where ``repeat`` holds."""
-    return F.explode(F.when(repeat, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+SEGMENT = """CASE c_mktsegment WHEN 'MACHINERY' THEN 'High-Risk' WHEN 'AUTOMOBILE' THEN 'Standard'
+    ELSE 'Premium' END"""
+CREDIT_SCORE = "300 + int(floor((c_acctbal + 1000) * 600 / 11000))"
+
+EVENT_INPUTS = [
+    "event_id", "user_id", "event_type", "value", "ts",
+    "int(regexp_extract(props, '([0-9]+)', 1)) AS k",
+    "event_id % 10 AS tens", "floor(event_id / 10) % 20 AS block",
+]
+
+RAW_TRANSACTION = [
+    "event_id AS transaction_id",
+    """CASE WHEN event_id % 809 = 0 THEN NULL WHEN event_id % 1200 = 7 THEN user_id + 1000000
+       ELSE user_id END AS customer_id""",
+    """double(CASE WHEN event_id % 401 = 0 THEN -1 ELSE 10 END * CAST(value AS DECIMAL(18,2)))
+       AS amount""",
+    """CASE event_type WHEN 'purchase' THEN 'compra' WHEN 'signup' THEN 'saque'
+       WHEN 'click' THEN 'transferencia' ELSE 'pagamento' END AS transaction_type""",
+    """CASE WHEN tens < 4 THEN 'app' WHEN tens < 7 THEN 'web' WHEN tens < 9 THEN 'pos'
+       ELSE 'atm' END AS channel""",
+    """CASE WHEN block < 6 THEN 'varejo' WHEN block < 10 THEN 'alimentacao'
+       WHEN block < 13 THEN 'eletronico' WHEN block < 16 THEN 'servicos'
+       WHEN block < 18 THEN 'viagem' ELSE 'saude' END AS merchant_category""",
+    "ts AS timestamp",
+    """CASE WHEN event_id % 503 = 0 THEN 'pending' WHEN k % 12 = 0 THEN 'declined'
+       ELSE 'approved' END AS status""",
+    "double(CASE WHEN event_id % 601 = 0 THEN 150 ELSE k END) AS risk_score",
+    "CASE WHEN k = 13 THEN 'Standard' ELSE owner_segment END AS segment",
+    """CASE WHEN event_id % 701 = 0 THEN 950 ELSE greatest(300, owner_score - k % 5) END
+       AS credit_score""",
+    """k >= 99 OR (owner_segment = 'High-Risk' AND k >= 94) OR (tens < 4 AND k = 50)
+       OR (block IN (16, 17) AND k BETWEEN 60 AND 62) AS is_fraud""",
+]
+
+RAW_CUSTOMER = [
+    "c_custkey AS customer_id",
+    "c_name AS name",
+    "lpad(string(c_custkey), 11, '0') AS cpf",
+    "concat('user', string(c_custkey), '@example.com') AS email",
+    f"{SEGMENT} AS segment",
+    f"CASE WHEN c_custkey % 97 = 5 THEN 950 ELSE {CREDIT_SCORE} END AS credit_score",
+    "date_add(DATE '2021-01-01', int(c_custkey * 7 % 1460)) AS created_at",
+]
+
+
+def _repeated(df: DataFrame, twice: str) -> DataFrame:
+    """One output row, or two where ``twice`` holds."""
+    copies = f"explode(CASE WHEN {twice} THEN array(1, 2) ELSE array(1) END) AS copy"
+    return df.selectExpr("*", copies).drop("copy")
 
 
 def transactions_from_events(events: DataFrame, customer: DataFrame) -> DataFrame:
     """Raw transactions, with the defects the quality rules look for."""
-    owner = customer.select(
-        F.col("c_custkey").alias("user_id"),
-        _segment(F.col("c_mktsegment")).alias("owner_segment"),
-        _credit_score(F.col("c_acctbal")).alias("owner_score"),
-    )
-    joined = events.join(owner, "user_id")
-
-    event_id = F.col("event_id")
-    score = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    tens = event_id % 10
-    block = F.floor(event_id / 10) % 20
-    owner_segment = F.col("owner_segment")
-
-    once = joined.select(
-        event_id.alias("transaction_id"),
-        F.when(event_id % 809 == 0, F.lit(None))
-        .when(event_id % 1200 == 7, F.col("user_id") + 1000000)
-        .otherwise(F.col("user_id")).alias("customer_id"),
-        (F.when(event_id % 401 == 0, -1).otherwise(10)
-         * F.col("value").cast("decimal(18,2)")).cast("double").alias("amount"),
-        F.when(F.col("event_type") == "purchase", "compra")
-        .when(F.col("event_type") == "signup", "saque")
-        .when(F.col("event_type") == "click", "transferencia")
-        .otherwise("pagamento").alias("transaction_type"),
-        F.when(tens < 4, "app").when(tens < 7, "web").when(tens < 9, "pos")
-        .otherwise("atm").alias("channel"),
-        F.when(block < 6, "varejo").when(block < 10, "alimentacao").when(block < 13, "eletronico")
-        .when(block < 16, "servicos").when(block < 18, "viagem")
-        .otherwise("saude").alias("merchant_category"),
-        F.col("ts").alias("timestamp"),
-        F.when(event_id % 503 == 0, "pending").when(score % 12 == 0, "declined")
-        .otherwise("approved").alias("status"),
-        F.when(event_id % 601 == 0, 150).otherwise(score).cast("double").alias("risk_score"),
-        F.when(score == 13, "Standard").otherwise(owner_segment).alias("segment"),
-        F.when(event_id % 701 == 0, 950)
-        .otherwise(F.greatest(F.lit(300), F.col("owner_score") - score % 5)).alias("credit_score"),
-        ((score >= 99)
-         | ((owner_segment == "High-Risk") & (score >= 94))
-         | ((tens < 4) & (score == 50))
-         | (block.isin(16, 17) & score.between(60, 62))).alias("is_fraud"),
-    )
-    return once.select("*", _copies(F.col("transaction_id") % 250 == 3).alias("copy")).drop("copy")
+    owner = customer.selectExpr(
+        "c_custkey AS user_id", f"{SEGMENT} AS owner_segment", f"{CREDIT_SCORE} AS owner_score")
+    joined = events.selectExpr(*EVENT_INPUTS).join(owner, "user_id")
+    return _repeated(joined.selectExpr(*RAW_TRANSACTION), "transaction_id % 250 = 3")
 
 
 def customers_from_table(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    once = customer.select(
-        key.alias("customer_id"),
-        F.col("c_name").alias("name"),
-        F.lpad(key.cast("string"), 11, "0").alias("cpf"),
-        F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        _segment(F.col("c_mktsegment")).alias("segment"),
-        F.when(key % 97 == 5, 950).otherwise(_credit_score(F.col("c_acctbal"))).alias("credit_score"),
-        F.date_add(F.lit("2021-01-01").cast("date"), (key * 7 % 1460).cast("int")).alias("created_at"),
-    )
-    return once.select("*", _copies(F.col("customer_id") % 100 == 1).alias("copy")).drop("copy")
-
-
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return _repeated(customer.selectExpr(*RAW_CUSTOMER), "customer_id % 100 = 1")
+
+
+def read_events(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
+
+
+def read_customer(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(CUSTOMER_TABLE_SCHEMA).parquet(f"{folder}/customer.parquet")
 
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:

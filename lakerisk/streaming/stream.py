@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakerisk.functions.derive import utc_instant, utc_wall_clock
 from lakerisk.functions.measures import fraud_count, fraud_rate_pct, row_count
 from lakerisk.operators.layers import project_transactions, silver_transactions
 from lakerisk.operators.ml import assemble
@@ -20,22 +21,25 @@ from lakerisk.plans.lake import LakePaths
 from lakerisk.session import shared_dir
 
 
+EVENT_TIME = "event_time"
+
+
 def stream_bronze(
     raw: DataFrame, rules: Rules = STRICT, lateness: str = "1 hour", spread: int = 16
 ) -> DataFrame:
     """Rules and deduplication by id within the watermark.
 
     Unlike the batch distinct, the first version of an id wins, as the state keeps ids and not rows.
-    Event time must be a zoned timestamp for the watermark. A stream has no map-side distinct, so
-    copies are first dropped per id and reading task, in ``spread`` groups: an id that makes up a
+    The watermark needs a zoned timestamp, so ``event_time`` holds ``ts`` read as UTC. A stream has
+    no map-side distinct, so copies are first dropped per id and reading task, in ``spread`` groups: an id that makes up a
     third of the stream then reaches its one state task as ``spread`` rows. ``spread=1`` leaves that
     step out, for sources whose ids repeat little.
     """
     key = ["transaction_id"]
     timed = (
         project_transactions(apply_rules(raw, rules))
-        .withColumn("ts", F.col("ts").cast("timestamp"))
-        .withWatermark("ts", lateness)
+        .withColumn(EVENT_TIME, utc_instant("ts"))
+        .withWatermark(EVENT_TIME, lateness)
     )
     if spread > 1:
         timed = (
@@ -54,14 +58,14 @@ def stream_risk_windows(
     silver: DataFrame, length: str = "1 day", slide: str | None = None, by: str = "segment"
 ) -> DataFrame:
     """Fraud count and rate per event-time window, tumbling or (with ``slide``) sliding."""
-    window = F.window("ts", length, slide) if slide else F.window("ts", length)
+    window = F.window(EVENT_TIME, length, slide) if slide else F.window(EVENT_TIME, length)
     return (
         silver.groupBy(window.alias("w"), by)
         .agg(
             row_count().alias("transacoes"), fraud_count().alias("fraudes"),
             fraud_rate_pct(fraud_count(), row_count()).alias("taxa_fraude_pct"))
         .select(
-            F.col("w.start").alias("inicio"), F.col("w.end").alias("fim"), by,
+            utc_wall_clock("w.start").alias("inicio"), utc_wall_clock("w.end").alias("fim"), by,
             "transacoes", "fraudes", "taxa_fraude_pct")
     )
 
@@ -105,8 +109,7 @@ def run_available(
 def gold_upsert(paths: LakePaths) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: each micro-batch of Silver refreshes the days it touches."""
     def upsert(batch: DataFrame, number: int) -> None:
-        plain = batch.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-        incremental_gold(paths, plain, f"stream-{number}")
+        incremental_gold(paths, batch.drop(EVENT_TIME), f"stream-{number}")
 
     return upsert
 
