@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakerisk.functions.measures import fraud_rate_pct
 from lakerisk.operators import risk
 
 
@@ -39,26 +40,31 @@ def feed_trend(silver: DataFrame) -> DataFrame:
     return risk.analysis_daily(silver).select("dia", "fraudes")
 
 
-def _panel_row(block: str, segment: Column, metric: str, value: Column) -> Column:
-    return F.struct(
-        F.lit(block).alias("bloco"), segment.alias("segment"), F.lit(metric).alias("metrica"),
-        value.cast("double").alias("valor"))
-
-
 def feed_gold_panel(gold: DataFrame) -> DataFrame:
-    """The four blocks of the Gold panel as (bloco, segment, metrica, valor) rows."""
-    everything = F.lit(None).cast("string")
-    totals = risk.gold_rollup_kpis(gold).select(F.inline(F.array(
-        _panel_row("kpi", everything, "total_transacoes", F.col("total_transacoes")),
-        _panel_row("kpi", everything, "taxa_geral", F.col("taxa_geral")),
-    )))
+    """The four blocks of the Gold panel as (bloco, segment, metrica, valor) rows.
+
+    Totals and details come from one pass over Gold: one group per segment and one for all.
+    """
+    columns = [c for c in gold.columns if c != "segment"]
     segment = F.col("segment")
-    detail = [c for c in gold.columns if c != "segment"]
-    blocks = gold.select(F.inline(F.array(
-        _panel_row("composicao", segment, "taxa_fraude_pct", F.col("taxa_fraude_pct")),
-        *[_panel_row("detalhe", segment, c, F.col(c)) for c in detail],
-    )))
-    return totals.unionByName(blocks)
+    grouped = gold.groupingSets([[segment], []], segment).agg(
+        F.grouping("segment").alias("everything"),
+        F.sum("total_transacoes").alias("total"), F.sum("qtd_fraudes").alias("fraudes"),
+        *[F.max(c).alias(c) for c in columns])
+
+    def row(block: str, metric: str, value: Column) -> Column:
+        return F.struct(
+            F.lit(block).alias("bloco"), segment.alias("segment"), F.lit(metric).alias("metrica"),
+            value.cast("double").alias("valor"))
+
+    totals = F.array(
+        row("kpi", "total_transacoes", F.col("total")),
+        row("kpi", "taxa_geral", fraud_rate_pct(F.col("fraudes"), F.col("total"))))
+    details = F.array(
+        row("composicao", "taxa_fraude_pct", F.col("taxa_fraude_pct")),
+        *[row("detalhe", c, F.col(c)) for c in columns])
+    blocks = F.when(F.col("everything") == 1, totals).otherwise(details)
+    return grouped.select(F.inline(blocks))
 
 
 def feed_segment_filter(silver: DataFrame, segments: list[str]) -> DataFrame:

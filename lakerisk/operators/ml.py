@@ -238,16 +238,21 @@ def importances(spark: SparkSession, forest: PipelineModel) -> DataFrame:
     return _feature_table(spark, forest.stages[-1].featureImportances, "importance")
 
 
-def training_table(silver: DataFrame) -> DataFrame:
-    """Split, indexed and assembled rows over inputs written once to the shared folder.
+def stored_inputs(silver: DataFrame) -> DataFrame:
+    """Split model inputs, written once to the shared folder.
 
-    Every pass of the fits and evaluations then reads a narrow table instead of deriving Silver
-    again, and a lost executor costs a re-read.
+    Every pass of the indexer, the fits and the evaluations then reads a narrow table instead of
+    deriving Silver again, and a lost executor costs a re-read.
     """
     spark = silver.sparkSession
     path = shared_dir(spark, "training")
     stratified_split(ml_input(silver)).write.parquet(path)
-    return assemble(index_categories(spark.read.parquet(path)))
+    return spark.read.parquet(path)
+
+
+def training_table(silver: DataFrame) -> DataFrame:
+    """Split, indexed and assembled rows."""
+    return assemble(index_categories(stored_inputs(silver)))
 
 
 def split_sides(table: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -4,8 +4,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakerisk.functions.measures import rate_pct, row_count
-from lakerisk.operators.rules import STRICT, broken_rules
 from lakerisk.operators.layers import key_duplicates
+from lakerisk.operators.ordering import top_k
+from lakerisk.operators.rules import STRICT, broken_rules
+
+
+def preview(silver: DataFrame, columns: list[str], k: int = 10) -> DataFrame:
+    """The chosen columns of the ``k`` lowest transaction ids."""
+    return top_k(silver.select("transaction_id", *columns), ["transaction_id"], k)
 
 
 def layer_counts(raw: DataFrame, bronze: DataFrame, silver: DataFrame) -> DataFrame:

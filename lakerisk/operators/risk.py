@@ -263,7 +263,8 @@ def relative_risk(silver: DataFrame, dim: str = "segment", baseline: str = "Prem
     """Fraud rate of each value divided by the rate of ``baseline``."""
     table = risk_by(silver, [dim], **_COUNTS)
     share = F.col("fraudes") / F.col("total")
-    base = table.filter(F.col(dim) == baseline).select(share.alias("share"))
+    # Not a filter: that would be pushed down to the scan and Silver would be derived twice.
+    base = table.agg(F.max(F.when(F.col(dim) == baseline, share)).alias("share"))
     relative = share / F.nullif(base.scalar(), F.lit(0.0))
     return table.select(
         dim, "total", "fraudes",

@@ -252,9 +252,8 @@ QUERIES: dict[str, Query] = {
     "cohort_label": lambda lake: lake.customers.select(
         "customer_id", "created_at",
         derive.cohort(F.col("created_at"), as_of()).alias("cohort")),
-    "preview_columns": lambda lake: ordering.top_k(
-        lake.silver.select("transaction_id", "amount", "amount_band", "year", "month", "day",
-                           "day_of_week"), ["transaction_id"], 10),
+    "preview_columns": lambda lake: quality.preview(
+        lake.silver, ["amount", "amount_band", "year", "month", "day", "day_of_week"]),
     # Filters
     "f_not_null_ids": lambda lake: lake.raw.filter(rules.NOT_NULL_IDS),
     "f_positive_amount": lambda lake: lake.raw.filter(rules.POSITIVE_AMOUNT),
@@ -332,17 +331,17 @@ QUERIES: dict[str, Query] = {
         ["segment", "amount_band"]),
     "top_k": lambda lake: ordering.top_k(
         lake.silver.select("transaction_id", "amount"), ["-amount", "transaction_id"], 5),
-    "limit_sample": lambda lake: ordering.top_k(
-        lake.silver.select("transaction_id", "segment", "amount"), ["transaction_id"], 10),
+    "limit_sample": lambda lake: quality.preview(lake.silver, ["segment", "amount"]),
     # Models
     "ml_features": ml_inputs,
-    "ml_category_index": lambda lake: ml.index_categories(ml_inputs(lake)).select(
+    "ml_category_index": lambda lake: ml.index_categories(
+        ml.stored_inputs(lake.silver)).select(
         "transaction_id", *ml.CATEGORIES, *ml.CATEGORIES.values()),
     "ml_split": lambda lake: ml.stratified_split(ml_inputs(lake)).groupBy("is_fraud", "is_test").agg(
         F.count(F.lit(1)).alias("rows")),
     "ml_scaler": lambda lake: ml.scaler_stats(
-        ml_train_indexed(lake)).select("feature", F.round("mean", 6).alias("mean"),
-                                       F.round("std", 6).alias("std")),
+        ml.index_categories(ml.stored_inputs(lake.silver)).filter(~F.col("is_test"))
+    ).select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std")),
     "ml_class_weights": lambda lake: ml.class_weights(ml_train(lake)),
     "ml_logistic": lambda lake: ml_scored(lake, "logistic"),
     "ml_threshold": lambda lake: ml.predict(ml_scored(lake, "logistic")),
@@ -390,11 +389,6 @@ QUERIES: dict[str, Query] = {
 }
 
 
-def ml_train_indexed(lake: Lake) -> DataFrame:
-    split = ml.stratified_split(ml.index_categories(ml_inputs(lake)))
-    return split.filter(~F.col("is_test"))
-
-
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     split_skew(spark)
     return QUERIES[name](Lake.from_tables(spark, folder))
