@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +31,11 @@ def split_skew(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path under the folder every executor can reach.
 
@@ -41,6 +47,5 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/lakerisk/{name}-{uuid.uuid4().hex}"

@@ -30,9 +30,15 @@ SEGMENT = """CASE c_mktsegment WHEN 'MACHINERY' THEN 'High-Risk' WHEN 'AUTOMOBIL
     ELSE 'Premium' END"""
 CREDIT_SCORE = "300 + int(floor((c_acctbal + 1000) * 600 / 11000))"
 
+# The first number in ``props``. The rules end up in the scan's filter and read it several times
+# per row, so the usual form is cut out by position and only others take the regular expression.
+SCORE = """CASE WHEN length(props) <= 9 AND startswith(props, '{"k": ') AND endswith(props, '}')
+    THEN int(substring(props, 7, length(props) - 7))
+    ELSE int(regexp_extract(props, '([0-9]+)', 1)) END"""
+
 EVENT_INPUTS = [
-    "event_id", "user_id", "event_type", "value", "ts",
-    "int(regexp_extract(props, '([0-9]+)', 1)) AS k",
+    "event_id", "user_id", "event_type", "ts", "floor(value * 100 + 0.5D) AS cents",
+    f"{SCORE} AS k",
     "event_id % 10 AS tens", "floor(event_id / 10) % 20 AS block",
 ]
 
@@ -40,8 +46,7 @@ RAW_TRANSACTION = [
     "event_id AS transaction_id",
     """CASE WHEN event_id % 809 = 0 THEN NULL WHEN event_id % 1200 = 7 THEN user_id + 1000000
        ELSE user_id END AS customer_id""",
-    """double(CASE WHEN event_id % 401 = 0 THEN -1 ELSE 10 END * CAST(value AS DECIMAL(18,2)))
-       AS amount""",
+    "CASE WHEN event_id % 401 = 0 THEN -cents / 100D ELSE cents / 10D END AS amount",
     """CASE event_type WHEN 'purchase' THEN 'compra' WHEN 'signup' THEN 'saque'
        WHEN 'click' THEN 'transferencia' ELSE 'pagamento' END AS transaction_type""",
     """CASE WHEN tens < 4 THEN 'app' WHEN tens < 7 THEN 'web' WHEN tens < 9 THEN 'pos'

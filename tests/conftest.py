@@ -16,7 +16,6 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-"))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
