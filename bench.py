@@ -18,7 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from lakerisk.plans import catalog  # noqa: E402
 from lakerisk.plans.lake import Lake, LakePaths, StoredLake, build_layers  # noqa: E402
-from lakerisk.session import shared_dir  # noqa: E402
+from lakerisk.session import prepare, shared_dir  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -45,6 +45,7 @@ def session() -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    prepare(spark)
     return spark
 
 

@@ -16,7 +16,7 @@ from lakerisk.schemas import (
     GOLD_FRAUD_RISK_SCHEMA,
     TX_SCHEMA,
 )
-from lakerisk.session import shared_dir, split_skew
+from lakerisk.session import shared_dir, prepare
 from lakerisk.sources import files, tables
 from lakerisk.streaming import stream
 
@@ -390,5 +390,5 @@ QUERIES: dict[str, Query] = {
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    split_skew(spark)
+    prepare(spark)
     return QUERIES[name](Lake.from_tables(spark, folder))

@@ -6,28 +6,29 @@ from functools import cache
 
 from pyspark.sql import SparkSession
 
-# Let a hot customer's partition be split over tasks, also where the next operator would have
-# liked the join's partitioning (that operator then shuffles its pre-aggregated rows).
-SKEW_CONF = {
+# What every query relies on at scale. A hot customer's partition may be split over tasks, also where
+# the next operator would have liked the join's partitioning (it then shuffles its pre-aggregated
+# rows). Stream state lives on disk and in the checkpoint, not on the heap.
+QUERY_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # Settings worth having on a cluster; none of them changes a result.
-CLUSTER_CONF = SKEW_CONF | {
+CLUSTER_CONF = QUERY_CONF | {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.parquet.compression.codec": "zstd",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
-def split_skew(spark: SparkSession) -> None:
-    """Turn on skew handling for the queries of this session."""
-    for key, value in SKEW_CONF.items():
+def prepare(spark: SparkSession) -> None:
+    """Apply the settings that the queries of this session rely on."""
+    for key, value in QUERY_CONF.items():
         spark.conf.set(key, value)
 
 

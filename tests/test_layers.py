@@ -115,10 +115,10 @@ def hot_lake(spark):
 
 def test_hot_customer_and_hot_copies(spark):
     from lakerisk.operators import risk
-    from lakerisk.session import split_skew
+    from lakerisk.session import prepare
     from tests.plans import conf, plan
 
-    split_skew(spark)
+    prepare(spark)
     small = {
         "spark__sql__autoBroadcastJoinThreshold": "-1",
         "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
