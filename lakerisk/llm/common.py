@@ -1,5 +1,8 @@
 """What the operators of this subpackage share."""
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -8,8 +11,20 @@ from lakerisk.session import shared_dir
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
+HOME = str(Path(__file__).resolve().parents[2])
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """Python workers find this package where the driver found it; on a cluster it is installed there."""
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if HOME not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, paths)])
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.llm import chat
+from lakerisk.llm import ann, chat
 from lakerisk.llm.common import table
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -50,5 +50,29 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting}
-ORACLES = {"op1_chat_formatting": OP1_SQL}
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every vector whose id is divisible by 50."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = ann.build_index(rows)
+    return ann.search(index, index.where(F.col("vec_id") % 50 == 0).select("vec_id", "vector"), k=5)
+
+
+OP9_SQL = """
+WITH sound AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        list_dot_product(q.v, c.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(c.v, c.v))) AS score
+    FROM sound q JOIN sound c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op9_nearest_neighbours": op9_nearest_neighbours}
+ORACLES = {"op1_chat_formatting": OP1_SQL, "op9_nearest_neighbours": OP9_SQL}
