@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.llm import ann, chat, lines
+from lakerisk.llm import ann, chat, licences, lines
 from lakerisk.llm.common import table
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -100,5 +100,55 @@ FROM marked GROUP BY doc_id
 """
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op9_nearest_neighbours": op9_nearest_neighbours, "op8_line_dedup": op8_line_dedup}
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op9_nearest_neighbours": OP9_SQL, "op8_line_dedup": OP8_SQL}
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("found")
+
+
+def _op6_sql() -> str:
+    listed = [(label, text, True) for label, text in licences.PHRASES] + [(label, text, False) for label, text in licences.NOTICES]
+    values = ",\n".join(f"({i}, '{label}', '{text}', {phrase})" for i, (label, text, phrase) in enumerate(listed))
+    split = "list_filter(string_split_regex(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+    return f"""
+WITH listed(template, label, body, phrase) AS (VALUES {values}),
+t AS (SELECT *, {split.format("body")} AS w FROM listed),
+grams AS (
+    SELECT template, label, phrase, len(w) - 1 AS n_pairs, unnest(range(len(w) - 1)) AS slot, w FROM t
+), d AS (
+    SELECT doc_id, {split.format("coalesce(text, '')")} AS w FROM documents
+), placed AS (
+    SELECT doc_id, w, unnest(range(len(w) - 1)) AS place FROM d
+), hits AS (
+    SELECT DISTINCT doc_id, template, label, phrase, n_pairs, slot, place FROM placed p
+    JOIN grams g ON p.w[place + 1] = g.w[slot + 1] AND p.w[place + 2] = g.w[slot + 2]
+), diagonals AS (
+    SELECT doc_id, template, label, phrase, n_pairs, place - slot AS diagonal, list(slot) AS met,
+        min(place) AS b, max(place) AS s FROM hits GROUP BY ALL
+), stepped AS (
+    SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS step FROM diagonals
+), runs AS (
+    SELECT *, sum(CASE WHEN NOT phrase AND step <= {licences.GAP} THEN 0 ELSE 1 END)
+        OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS run FROM stepped
+), merged AS (
+    SELECT doc_id, template, label, phrase, n_pairs, run, len(list_distinct(flatten(list(met)))) AS n_met,
+        max(len(met)) AS most, min(b) AS b, max(s) AS s, min(diagonal) AS start FROM runs GROUP BY ALL
+), covered AS (
+    SELECT *, (CASE WHEN s - b + 1 <= n_pairs * CAST({licences.SLACK} AS DOUBLE) THEN n_met ELSE most END)
+        / CAST(n_pairs AS DOUBLE) AS cover FROM merged
+), sound AS (
+    SELECT * FROM covered WHERE CASE WHEN phrase THEN cover = 1 ELSE cover >= CAST({licences.COVER} AS DOUBLE) END
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, count(template) FILTER (phrase) AS n_base,
+    min(start) FILTER (phrase) AS first_word, max(start) FILTER (phrase) AS last_word,
+    coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (phrase))), ','), '') AS base_labels,
+    coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (label IS NOT NULL))), ','), '') AS labels,
+    coalesce(max(cover), 0.0) AS score
+FROM d LEFT JOIN sound USING (doc_id) GROUP BY d.doc_id, len(d.w)
+"""
+
+
+OP6_SQL = _op6_sql()
+
+
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op9_nearest_neighbours": op9_nearest_neighbours, "op8_line_dedup": op8_line_dedup, "op6_license_scan": op6_license_scan}
+ORACLES = {"op1_chat_formatting": OP1_SQL, "op9_nearest_neighbours": OP9_SQL, "op8_line_dedup": OP8_SQL, "op6_license_scan": OP6_SQL}
