@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.llm import ann, chat, licences, lines
+from lakerisk.llm import ann, chat, licences, lines, neardup
 from lakerisk.llm.common import table
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -150,5 +150,38 @@ FROM d LEFT JOIN sound USING (doc_id) GROUP BY d.doc_id, len(d.w)
 OP6_SQL = _op6_sql()
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op9_nearest_neighbours": op9_nearest_neighbours, "op8_line_dedup": op8_line_dedup, "op6_license_scan": op6_license_scan}
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op9_nearest_neighbours": OP9_SQL, "op8_line_dedup": OP8_SQL, "op6_license_scan": OP6_SQL}
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+), placed AS (
+    SELECT doc_id, w, unnest(range(greatest(len(w) - 4, CASE WHEN len(w) > 0 THEN 1 ELSE 0 END))) AS i FROM d
+), grams AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+        ELSE array_to_string(list_slice(w, i + 1, i + 5), ' ') END AS gram FROM placed
+), sizes AS (
+    SELECT d.doc_id, count(g.gram) AS n FROM d LEFT JOIN grams g USING (doc_id) GROUP BY d.doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), both_ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+    SELECT doc_id AS a, doc_id AS r FROM d
+    UNION SELECT w.a, reached.r FROM reached JOIN both_ways w ON w.b = reached.a
+), smallest AS (
+    SELECT a, min(r) AS r FROM reached GROUP BY a
+)
+SELECT doc_id, n AS n_shingles, r AS component_id, doc_id = r AS kept FROM sizes JOIN smallest ON a = doc_id
+"""
+
+
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op9_nearest_neighbours": op9_nearest_neighbours, "op8_line_dedup": op8_line_dedup, "op6_license_scan": op6_license_scan, "op3_minhash_near_dedup": op3_minhash_near_dedup}
+ORACLES = {"op1_chat_formatting": OP1_SQL, "op9_nearest_neighbours": OP9_SQL, "op8_line_dedup": OP8_SQL, "op6_license_scan": OP6_SQL, "op3_minhash_near_dedup": OP3_SQL}
