@@ -1,9 +1,10 @@
 """The registered queries of the operators, and their DuckDB equivalents where SQL can express them."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.llm import ann, chat, licences, lines, neardup
+from lakerisk.llm import ann, chat, licences, lines, neardup, packing
 from lakerisk.llm.common import table
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -183,5 +184,11 @@ SELECT doc_id, n AS n_shingles, r AS component_id, doc_id = r AS kept FROM sizes
 """
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op9_nearest_neighbours": op9_nearest_neighbours, "op8_line_dedup": op8_line_dedup, "op6_license_scan": op6_license_scan, "op3_minhash_near_dedup": op3_minhash_near_dedup}
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
+
+
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op9_nearest_neighbours": op9_nearest_neighbours, "op8_line_dedup": op8_line_dedup, "op6_license_scan": op6_license_scan, "op3_minhash_near_dedup": op3_minhash_near_dedup, "op5_packing": op5_packing}
 ORACLES = {"op1_chat_formatting": OP1_SQL, "op9_nearest_neighbours": OP9_SQL, "op8_line_dedup": OP8_SQL, "op6_license_scan": OP6_SQL, "op3_minhash_near_dedup": OP3_SQL}
