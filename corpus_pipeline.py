@@ -1,19 +1,64 @@
 """A corpus pipeline in five stages, each calling one operator of ``lakerisk.llm``.
 
-The stages are filled in as the operators are written.
+Every stage takes the documents that its predecessor kept, whole, and its decisions take effect: toxic
+documents go; lines that an earlier document holds go from the text (the document itself stays, if need be
+empty); of each near-duplicate group the smallest id stays; documents that hold a benchmark passage go; the
+rest is packed into sequences. All stages but the last return the columns of ``documents`` in their order.
+
+Null texts leave the second stage as empty ones; rows without an id pass all stages (a leak or a toxic text
+removes the row itself); columns beyond those of ``documents`` are kept as they are.
 """
 
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakerisk.llm import leaks, lines, neardup, packing, toxicity
+from lakerisk.llm.common import ready, table
 from lakerisk.session import shared_dir
 
-STAGES = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(docs, table(spark, sf_dir, "labels"))
+    return scored.where(F.col("predicted") == 0).select(*docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``n_chars`` follows the text."""
+    kept = lines.dedup_lines(docs)
+    return kept.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of one id stay or go together."""
+    copies = neardup.near_duplicates(docs.select("doc_id", "text")).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_copy")).distinct()
+    return docs.join(copies, docs["doc_id"] == F.col("_copy"), "left_anti")
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = leaks.find_leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.where(F.size("hits") == 0).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_lines),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_leaks),
+    ("packing", pack),
+]
 
 # The stages train models and tokenise, which SQL cannot express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in turn over ``documents``; each result is stored and read back as the next one's input."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(ready(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = shared_dir(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)

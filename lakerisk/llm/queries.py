@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.llm import ann, chat, leaks, licences, lines, neardup, packing, quality, toxicity
+from lakerisk.llm import ann, chat, leaks, licences, lines, neardup, packing, pages, quality, toxicity
 from lakerisk.llm.common import held_out, table
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -211,5 +211,11 @@ def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.inline("hits"))
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op9_nearest_neighbours": op9_nearest_neighbours, "op8_line_dedup": op8_line_dedup, "op6_license_scan": op6_license_scan, "op3_minhash_near_dedup": op3_minhash_near_dedup, "op5_packing": op5_packing, "op10_toxicity": op10_toxicity, "op4_quality": op4_quality, "op7_benchmark_leaks": op7_benchmark_leaks}
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article text of every page."""
+    found = pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op9_nearest_neighbours": op9_nearest_neighbours, "op8_line_dedup": op8_line_dedup, "op6_license_scan": op6_license_scan, "op3_minhash_near_dedup": op3_minhash_near_dedup, "op5_packing": op5_packing, "op10_toxicity": op10_toxicity, "op4_quality": op4_quality, "op7_benchmark_leaks": op7_benchmark_leaks, "op2_html_extraction": op2_html_extraction}
 ORACLES = {"op1_chat_formatting": OP1_SQL, "op9_nearest_neighbours": OP9_SQL, "op8_line_dedup": OP8_SQL, "op6_license_scan": OP6_SQL, "op3_minhash_near_dedup": OP3_SQL}
