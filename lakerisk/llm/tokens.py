@@ -7,6 +7,7 @@ that a worker has not met lately are given to the tokenizer, the ids of all othe
 """
 
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -83,18 +84,17 @@ class Encoder:
         self.used = stop
         self.known.update(zip(keys, range(at, at + len(keys))))
 
-    def _learn(self, keys: list[int], parts: list[str]) -> None:
-        """The ids of new parts. Parts without white space inside go to the tokenizer in one text, a line each."""
-        lines, others = [], []
-        for key, part in zip(keys, parts):
-            plain = len(part.split()) == 1 and part.lstrip(" ") == part.strip()
-            (lines if plain else others).append((key, part))
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _learn(self, keys: list[int], lines: list[bytes], others: list[bytes]) -> None:
+        """The ids of new parts. Those without white space inside, ``lines``, go to the tokenizer in one text."""
         if lines:
-            ids = np.array(self.tokenizer.encode("\n".join(part for _, part in lines), add_special_tokens=False).ids, np.uint32)
+            ids = self._ids(b"\n".join(lines).decode())
             breaks = np.concatenate([[-1], np.flatnonzero(ids == self.newline), [len(ids)]])
-            self._add([key for key, _ in lines], np.diff(breaks) - 1, ids[ids != self.newline])
-        for key, part in others:
-            ids = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, np.uint32)
+            self._add(keys[:len(lines)], np.diff(breaks) - 1, ids[ids != self.newline])
+        for key, part in zip(keys[len(lines):], others):
+            ids = self._ids(part.decode())
             self._add([key], np.array([len(ids)]), ids)
 
     def _block(self, texts: list[bytes]) -> list[np.ndarray]:
@@ -122,12 +122,24 @@ class Encoder:
         keys, first, where = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.known) + len(keys) > REMEMBERED:
             self.forget()
-        listed = keys.tolist()
-        new = [i for i, key in enumerate(listed) if key not in self.known]
-        if new:
-            spots = first[new]
-            self._learn([listed[i] for i in new], [data[b:e].decode() for b, e in zip(begin[spots].tolist(), end[spots].tolist())])
-        place = np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))[where]
+        place = np.fromiter(map(self.known.get, keys.tolist(), repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            doubtful = np.zeros(len(raw) + 1, np.int32)
+            np.cumsum(WHITE[kinds] | (kinds == UNSURE), out=doubtful[1:])
+            low, high = begin[first[new]], end[first[new]]
+            inner = low + (kinds[low] == SPACE)
+            plain = (doubtful[high] == doubtful[inner]) & (inner < high)
+            parts = [data[b:e] for b, e in zip(low.tolist(), high.tolist())]
+            for i in np.flatnonzero(~plain).tolist():  # it may be a word of another script
+                part = parts[i].decode()
+                plain[i] = len(part.split()) == 1 and part.lstrip(" ") == part.strip()
+            order = np.argsort(~plain, kind="stable")
+            parts = [parts[i] for i in order.tolist()]
+            at, n = len(self.known), int(plain.sum())
+            self._learn(keys[new[order]].tolist(), parts[:n], parts[n:])
+            place[new[order]] = np.arange(at, at + len(new))
+        place = place[where]
         counts = self.count[place]
         stop = np.cumsum(counts)
         source = np.arange(stop[-1]) + np.repeat(self.start[place] - (stop - counts), counts)
