@@ -39,7 +39,13 @@ def rotation(dim: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def tamed(vectors: np.ndarray) -> np.ndarray:
+    """The vectors times powers of two, so that no square overflows; cosines keep every bit."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def turned(vectors: np.ndarray) -> np.ndarray:
+    vectors = tamed(vectors)
     units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     return units @ rotation(vectors.shape[1])
 
@@ -48,7 +54,6 @@ def _encode(frames):
     for frame in frames:
         for _, group in frame.groupby(frame["vector"].map(len)):
             vectors = np.stack(group["vector"].to_numpy())
-            vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # no overflow in the norm
             points = turned(vectors)
             codes = np.packbits(points > 0, axis=1)
             scalars = np.abs(points).sum(axis=1) / np.sqrt(points.shape[1])
@@ -75,6 +80,7 @@ def build_index(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of each row of ``a`` with the same row of ``b``; a pair's value does not depend on its neighbours."""
+    a, b = tamed(a), tamed(b)
     dot = np.einsum("ij,ij->i", a, b)
     return dot / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
 

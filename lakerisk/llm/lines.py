@@ -123,8 +123,10 @@ class Runs:
 
 def batch_bounds(keys: DataFrame, batches: int) -> list[int]:
     """Ids that cut the corpus into batches of about the same number of rows."""
-    cuts = keys.approxQuantile("_key", [i / batches for i in range(1, batches)], 0.01)
-    return sorted({int(cut) for cut in cuts})
+    if batches < 2:
+        return []
+    cuts = keys.agg(F.percentile_approx("_key", [i / batches for i in range(1, batches)], 1000)).first()[0]
+    return sorted(set(cuts or []))
 
 
 def dedup_lines(
