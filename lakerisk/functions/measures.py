@@ -1,7 +1,7 @@
 """Aggregate measures shared by every risk table.
 
-Money is summed as whole cents in a long: exact, independent of row order, and cheaper in the
-hash aggregate than a wide decimal. Ratios come from the summed parts, never from averaged rates.
+Money is summed in a long as ten-thousandths of the currency: exact, independent of row order, cheaper
+in the hash aggregate than a wide decimal, and amounts below a cent count. Ratios come from the summed parts, never from averaged rates.
 """
 
 from collections.abc import Callable
@@ -46,8 +46,17 @@ def cents(amount: Column) -> Column:
     return F.floor(amount * F.lit(100.0) + F.lit(0.5)).cast("bigint")
 
 
+def units(amount: Column) -> Column:
+    """Ten-thousandths, the scale at which money is summed."""
+    return F.floor(amount * F.lit(10_000.0) + F.lit(0.5)).cast("bigint")
+
+
+def money(total_units: Column) -> Column:
+    return total_units / F.lit(10_000.0)
+
+
 def money_sum(amount: Column) -> Column:
-    return F.sum(cents(amount)) / F.lit(100.0)
+    return money(F.sum(units(amount)))
 
 
 def money_avg(amount: Column, digits: int = 2) -> Column:

@@ -53,25 +53,12 @@ def bronze_customers(raw: DataFrame) -> DataFrame:
     return distinct_rows(project_customers(apply_rules(raw, CUSTOMER)))
 
 
-def hint_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint when ``df`` is counted to hold at most ``max_rows`` rows, else no hint."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def enrich(
-    tx: DataFrame,
-    customers: DataFrame,
-    how: str = "inner",
-    broadcast_rows: int | None = None,
-) -> DataFrame:
+def enrich(tx: DataFrame, customers: DataFrame, how: str = "inner") -> DataFrame:
     """Join transactions with their customer on ``customer_id``.
 
-    Without ``broadcast_rows`` the join carries no hint: the optimizer broadcasts a dimension whose
-    measured size allows it and otherwise sorts and merges, splitting a hot customer over tasks.
-    With it the dimension is counted first and broadcast only within that number of rows.
+    The join carries no hint: the optimizer broadcasts a dimension whose measured bytes allow it and
+    otherwise sorts and merges, splitting a hot customer over tasks.
     """
-    if broadcast_rows is not None:
-        customers = hint_if_small(customers, broadcast_rows)
     return tx.join(customers, "customer_id", how)
 
 

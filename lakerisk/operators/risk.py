@@ -8,15 +8,16 @@ from lakerisk.functions.measures import (
     cents,
     fraud_count,
     fraud_rate_pct,
+    money,
     money_avg,
     money_sum,
     rate_pct,
     risk_by,
     round_half_up,
     row_count,
+    units,
     value_at_risk,
 )
-from lakerisk.operators.layers import join_cohort_back
 from lakerisk.operators.ordering import order_by, order_listed, top_k
 from lakerisk.schemas import AMOUNT_BANDS, CHANNEL_ORDER, PERIOD_ORDER, SEGMENTS
 
@@ -108,12 +109,15 @@ def analysis_segment_band(silver: DataFrame) -> DataFrame:
 def pivot_band_segment(silver: DataFrame) -> DataFrame:
     """Fraud rate with one row per amount band and one column per segment.
 
-    Every band has a row, also one without transactions, as in the listed order.
+    Every band has a row, also one without transactions, as in the listed order. The listed segments
+    always have a column; any other that occurs follows, in order (a missing one as ``null``).
     """
+    present = {row["segment"] for row in silver.select("segment").distinct().collect()}
+    segments = [*SEGMENTS, *sorted(present - {*SEGMENTS, None}), *([None] if None in present else [])]
     listed = F.array(*[F.lit(b) for b in AMOUNT_BANDS])
     bands = silver.sparkSession.range(1).select(F.explode(listed).alias("amount_band"))
     rates = (
-        silver.groupBy("amount_band").pivot("segment", SEGMENTS)
+        silver.groupBy("amount_band").pivot("segment", segments)
         .agg(fraud_rate_pct(fraud_count(), row_count()))
     )
     return order_listed(bands.join(rates, "amount_band", "left"), "amount_band", AMOUNT_BANDS)
@@ -161,11 +165,10 @@ def eda_day_of_month(silver: DataFrame, k: int = 10) -> DataFrame:
     return top_k(table, ["-fraudes", "day"], k)
 
 
-def eda_cohort(silver: DataFrame, customers: DataFrame, as_of: Column, days: int = 365) -> DataFrame:
+def eda_cohort(silver: DataFrame, as_of: Column, days: int = 365) -> DataFrame:
     """Average ticket of long-standing and new customers on the date ``as_of``."""
-    dated = join_cohort_back(silver, customers)
     return risk_by(
-        dated, [cohort(F.col("created_at"), as_of, days).alias("cohort")],
+        silver, [cohort(F.col("customer_created_at"), as_of, days).alias("cohort")],
         ticket_medio="amount_avg", transacoes="rows")
 
 
@@ -210,12 +213,12 @@ CUBE_DIMS = ["data", "segment", "channel", "merchant_category", "time_period", "
 
 
 def additive_base(silver: DataFrame) -> DataFrame:
-    """Counts and cents at the finest grain the risk tables use; everything else sums these."""
+    """Counts and money units at the finest grain the risk tables use; everything else sums these."""
     return silver.groupBy(_date("data"), *CUBE_DIMS[1:]).agg(
         row_count().alias("n"),
         fraud_count().alias("fraud"),
-        F.sum(cents(F.col("amount"))).alias("amount_cents"),
-        F.sum(F.when(F.col("is_fraud"), cents(F.col("amount"))).otherwise(0)).alias("risk_cents"),
+        F.sum(units(F.col("amount"))).alias("amount_units"),
+        F.sum(F.when(F.col("is_fraud"), units(F.col("amount"))).otherwise(0)).alias("risk_units"),
     )
 
 
@@ -226,8 +229,8 @@ def additive_measures() -> list[Column]:
         n.alias("total"),
         fraud.alias("fraudes"),
         fraud_rate_pct(fraud, n).alias("taxa_fraude_pct"),
-        (F.sum("amount_cents") / F.lit(100.0)).alias("valor_total"),
-        (F.sum("risk_cents") / F.lit(100.0)).alias("valor_em_risco"),
+        money(F.sum("amount_units")).alias("valor_total"),
+        money(F.sum("risk_units")).alias("valor_em_risco"),
     ]
 
 

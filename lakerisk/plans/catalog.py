@@ -24,7 +24,6 @@ Query = Callable[[Lake], DataFrame]
 
 AS_OF = "2024-02-01"
 INCREMENT_FROM = "2024-01-20"
-BROADCAST_ROWS = 2_000_000
 SWEEP = [10.0, 25.0, 50.0, 75.0, 90.0, 99.0, 120.0]
 
 
@@ -278,8 +277,7 @@ QUERIES: dict[str, Query] = {
     "join_inner_using": lambda lake: layers.enrich(
         lake.bronze, lake.customers.select("customer_id", "name", "created_at")),
     "join_broadcast": lambda lake: layers.enrich(
-        lake.bronze, lake.customers.select("customer_id", "name", "created_at"),
-        broadcast_rows=BROADCAST_ROWS),
+        lake.bronze, lake.customers.select("customer_id", "name", "created_at")),
     "join_cohort_back": lambda lake: layers.join_cohort_back(lake.silver, lake.customers).select(
         "transaction_id", "customer_id", "created_at"),
     "join_left_diagnose": lambda lake: layers.left_diagnose(lake.bronze, lake.customers).select(
@@ -304,7 +302,7 @@ QUERIES: dict[str, Query] = {
     "eda_score_by_segment": lambda lake: risk.eda_score_by_segment(lake.silver),
     "eda_risk_by_type": lambda lake: risk.eda_risk_by_type(lake.silver),
     "eda_day_of_month": lambda lake: risk.eda_day_of_month(lake.silver),
-    "eda_cohort": lambda lake: risk.eda_cohort(lake.silver, lake.customers, as_of()),
+    "eda_cohort": lambda lake: risk.eda_cohort(lake.silver, as_of()),
     "eda_cross_sell": lambda lake: risk.eda_cross_sell(lake.silver, min_purchases=2),
     "profile_amount": lambda lake: quality.profile_amount(lake.bronze_lab),
     "profile_fraud": lambda lake: quality.profile_fraud(lake.bronze_lab),

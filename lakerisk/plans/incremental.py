@@ -1,7 +1,7 @@
 """Incremental maintenance: land new rows, refresh touched days of Gold, compact a month."""
 
 import math
-from datetime import timedelta
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from lakerisk.operators.risk import additive_base, additive_measures
 from lakerisk.plans.lake import LakePaths
 from lakerisk.schemas import RAW_COLUMNS
 from lakerisk.session import shared_dir
-from lakerisk.sources.files import replace_partitions
+from lakerisk.sources.files import remove_partition, replace_partitions
 
 MONTH = ["year", "month"]
 
@@ -35,10 +35,11 @@ def months_of(df: DataFrame) -> list[tuple[int, int]]:
 
 
 def in_months(df: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
-    """Rows of the listed partitions, by a predicate the scan can prune with."""
+    """Rows of the listed partitions, by a predicate the scan can prune with; a month may be missing."""
     wanted = F.lit(False)
     for year, month in months:
-        wanted = wanted | ((F.col("year") == year) & (F.col("month") == month))
+        wanted = wanted | (
+            F.col("year").eqNullSafe(F.lit(year).cast("int")) & F.col("month").eqNullSafe(F.lit(month).cast("int")))
     return df.filter(wanted)
 
 
@@ -57,7 +58,7 @@ def incremental_ingest(path: str, new_raw: DataFrame) -> None:
     stored, fresh = stored_table(spark, path, staged.schema), staged
     if stored is not None:
         touched = in_months(stored, months_of(staged))
-        seen = touched.select(*[F.col(c).alias(f"seen_{c}") for c in RAW_COLUMNS]).distinct()
+        seen = touched.select(*[F.col(c).alias(f"seen_{c}") for c in RAW_COLUMNS])
         same = None
         for c in RAW_COLUMNS:
             equal = F.col(c).eqNullSafe(F.col(f"seen_{c}"))
@@ -70,35 +71,52 @@ def incremental_ingest(path: str, new_raw: DataFrame) -> None:
 
 
 def incremental_gold(paths: LakePaths, new_silver: DataFrame, batch: str) -> None:
-    """Store a batch of new Silver rows and refresh the additive Gold base for the days it touches.
+    """Store a batch of Silver rows and refresh the additive Gold base for the days it touches.
 
-    The touched days are recomputed from all stored Silver of those days, late rows included, and
-    replace the old ones. The batch has its own partitions in stored Silver, so a repeated batch
-    overwrites itself: running the call again after a failure ends in the same tables.
+    A batch stored again replaces its old version, months included that the new version lacks. The days
+    of both versions are recomputed from all stored Silver of those days, late rows and rows without a
+    time included, and replace the old ones. The days are noted in the lake before anything is replaced
+    and forgotten at the end, so a call repeated after a failure ends in the same tables.
     """
+    if not re.fullmatch(r"[\w.-]+", batch):
+        raise ValueError(f"a batch name is a folder name: {batch!r}")
     spark = new_silver.sparkSession
     silver_path, base_path = silver_and_base(paths)
-    replace_partitions(
-        new_silver.withColumn("batch", F.lit(batch)), silver_path, MONTH + ["batch"])
-    stored = stored_table(
-        spark, silver_path, StructType(new_silver.schema.fields).add("batch", "string"))
-    if stored is None:
-        return
-    landed = stored.filter(F.col("batch") == batch)
-    months = months_of(landed)
-    if not months:
-        return
-    span = landed.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
-    start, end = span["first"].date(), span["last"].date() + timedelta(days=1)
-    # The months prune folders and the span prunes row groups; the days decide.
-    current = in_months(stored, months).filter(
-        (F.col("ts") >= F.lit(str(start)).cast("timestamp_ntz"))
-        & (F.col("ts") < F.lit(str(end)).cast("timestamp_ntz"))
-    ).withColumn("data", F.to_date("ts"))
-    # One row per day of the batch.
-    touched = landed.select(F.to_date("ts").alias("data")).distinct()
-    refreshed = additive_base(current.join(F.broadcast(touched), "data", "left_semi"))
-    replace_partitions(refreshed, base_path, ["data"])
+    schema = StructType([*new_silver.schema.fields]).add("batch", "string")
+    staged_path = shared_dir(spark, "batch")
+    new_silver.withColumn("batch", F.lit(batch)).write.parquet(staged_path)
+    staged = spark.read.schema(schema).parquet(staged_path)
+
+    days = lambda rows: rows.select(F.to_date("ts").alias("touched"), *MONTH).distinct()
+    before = stored_table(spark, silver_path, schema)
+    touched, old_months = days(staged), []
+    if before is not None:
+        before = before.filter(F.col("batch") == batch)
+        old_months = months_of(before)
+        touched = touched.unionByName(days(before))
+    noted_path = paths.layer("gold", f"touched_days/{batch}")
+    touched.coalesce(1).write.mode("append").parquet(noted_path)  # one row per day of the batch
+    noted = spark.read.schema(touched.schema).parquet(noted_path).distinct()
+
+    replace_partitions(staged, silver_path, MONTH + ["batch"])
+    for year, month in set(old_months) - set(months_of(staged)):
+        remove_partition(spark, silver_path, {"year": year, "month": month, "batch": batch})
+    all_days = {row["touched"] for row in noted.select("touched").collect()}
+    stored = stored_table(spark, silver_path, schema)
+    if stored is not None and all_days:
+        known = sorted(day for day in all_days if day is not None)
+        in_span = F.col("ts").isNull()
+        if known:  # the months prune folders and the span prunes row groups; the days decide
+            in_span = in_span | F.col("ts").between(
+                F.lit(str(known[0])).cast("timestamp_ntz"), F.lit(f"{known[-1]} 23:59:59.999999").cast("timestamp_ntz"))
+        current = in_months(stored, months_of(noted)).filter(in_span).withColumn("data", F.to_date("ts"))
+        wanted = F.broadcast(noted.select("touched").distinct())
+        current = current.join(wanted, F.col("data").eqNullSafe(F.col("touched")), "left_semi")
+        replace_partitions(additive_base(current), base_path, ["data"])
+        all_days -= {row["data"] for row in current.select("data").distinct().collect()}
+    for day in all_days:
+        remove_partition(spark, base_path, {"data": day})
+    remove_partition(spark, noted_path, {})
 
 
 def silver_and_base(paths: LakePaths) -> tuple[str, str]:
@@ -122,7 +140,9 @@ def compact_partition(
     The merged copy is complete in the shared folder before the month is replaced from it, so a
     failure at any point leaves a full copy behind.
     """
-    old = in_months(spark.read.parquet(path), [(year, month)])
+    table = spark.read.parquet(path)
+    partitions = [c for c in (*MONTH, "batch") if c in table.columns]  # as the writers of this module lay them out
+    old = in_months(table, [(year, month)])
     sizes = old.select("_metadata.file_path", "_metadata.file_size").distinct()
     total = sizes.agg(F.sum("file_size").alias("bytes")).first()["bytes"]
     if total is None:
@@ -136,6 +156,6 @@ def compact_partition(
     (
         merged.coalesce(files).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
-        .partitionBy(*MONTH).parquet(path)
+        .partitionBy(*partitions).parquet(path)
     )
     return files

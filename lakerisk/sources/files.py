@@ -114,6 +114,15 @@ def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
+def remove_partition(spark: SparkSession, path: str, values: dict[str, object]) -> None:
+    """Remove one partition folder, if it is there; None stands for the partition of missing values."""
+    names = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in values.items()]
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([path, *names]))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(folder):
+        files.delete(folder, True)
+
+
 def month_range(first: tuple[int, int], last: tuple[int, int]) -> Column:
     """Partition predicate for the months ``first`` to ``last``, both included.
 

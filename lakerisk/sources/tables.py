@@ -30,11 +30,8 @@ SEGMENT = """CASE c_mktsegment WHEN 'MACHINERY' THEN 'High-Risk' WHEN 'AUTOMOBIL
     ELSE 'Premium' END"""
 CREDIT_SCORE = "300 + int(floor((c_acctbal + 1000) * 600 / 11000))"
 
-# The first number in ``props``. The rules end up in the scan's filter and read it several times
-# per row, so the usual form is cut out by position and only others take the regular expression.
-SCORE = """CASE WHEN length(props) <= 9 AND startswith(props, '{"k": ') AND endswith(props, '}')
-    THEN int(substring(props, 7, length(props) - 7))
-    ELSE int(regexp_extract(props, '([0-9]+)', 1)) END"""
+# The first number in ``props``; NULL without one.
+SCORE = "try_cast(regexp_extract(props, '([0-9]+)', 1) AS INT)"
 
 EVENT_INPUTS = [
     "event_id", "user_id", "event_type", "ts", "floor(value * 100 + 0.5D) AS cents",
@@ -59,7 +56,7 @@ RAW_TRANSACTION = [
        ELSE 'approved' END AS status""",
     "double(CASE WHEN event_id % 601 = 0 THEN 150 ELSE k END) AS risk_score",
     "CASE WHEN k = 13 THEN 'Standard' ELSE owner_segment END AS segment",
-    """CASE WHEN event_id % 701 = 0 THEN 950 ELSE greatest(300, owner_score - k % 5) END
+    """CASE WHEN event_id % 701 = 0 THEN 950 WHEN owner_score IS NULL THEN NULL ELSE greatest(300, owner_score - k % 5) END
        AS credit_score""",
     """k >= 99 OR (owner_segment = 'High-Risk' AND k >= 94) OR (tens < 4 AND k = 50)
        OR (block IN (16, 17) AND k BETWEEN 60 AND 62) AS is_fraud""",
@@ -86,7 +83,7 @@ def transactions_from_events(events: DataFrame, customer: DataFrame) -> DataFram
     """Raw transactions, with the defects the quality rules look for."""
     owner = customer.selectExpr(
         "c_custkey AS user_id", f"{SEGMENT} AS owner_segment", f"{CREDIT_SCORE} AS owner_score")
-    joined = events.selectExpr(*EVENT_INPUTS).join(owner, "user_id")
+    joined = events.selectExpr(*EVENT_INPUTS).join(owner, "user_id", "left")  # the rules judge missing owners
     return _repeated(joined.selectExpr(*RAW_TRANSACTION), "transaction_id % 250 = 3")
 
 

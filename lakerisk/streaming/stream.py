@@ -71,7 +71,8 @@ def stream_risk_windows(
 
 
 def decision(score: Column, deny_at: float, review_at: float) -> Column:
-    return F.when(score >= deny_at, "deny").when(score >= review_at, "review").otherwise("approve")
+    """A missing score is reviewed, never approved."""
+    return F.when(score.isNull(), "review").otherwise(F.when(score >= deny_at, "deny").when(score >= review_at, "review").otherwise("approve"))
 
 
 def stream_decision(
@@ -107,9 +108,14 @@ def run_available(
 
 
 def gold_upsert(paths: LakePaths) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: each micro-batch of Silver refreshes the days it touches."""
+    """``foreachBatch`` body: each micro-batch of Silver refreshes the days it touches.
+
+    Batches carry the id of the query, which lives in its checkpoint: a retried batch replaces itself,
+    and another stream, or one with a new checkpoint, adds to the lake.
+    """
     def upsert(batch: DataFrame, number: int) -> None:
-        incremental_gold(paths, batch.drop(EVENT_TIME), f"stream-{number}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        incremental_gold(paths, batch.drop(EVENT_TIME), f"stream-{query}-{number}")
 
     return upsert
 

@@ -196,10 +196,11 @@ _QUERIES: dict[str, str] = {
     "date_parts_legacy": """SELECT transaction_id, ts, strftime(ts, '%Y') AS year_text,
         CAST(isodow(ts) AS INT) AS iso_weekday FROM bronze""",
     "time_period": """SELECT transaction_id, CAST(hour(ts) AS INT) AS hour,
-        ['madrugada', 'manha', 'tarde', 'noite'][CAST(hour(ts) // 6 AS INT) + 1] AS time_period
+        CASE WHEN hour(ts) BETWEEN 6 AND 11 THEN 'manha' WHEN hour(ts) BETWEEN 12 AND 17 THEN 'tarde'
+        WHEN hour(ts) BETWEEN 18 AND 23 THEN 'noite' ELSE 'madrugada' END AS time_period
         FROM bronze""",
     "amount_band": """SELECT transaction_id, amount,
-        CASE WHEN amount >= 1000 THEN 'alto' WHEN amount >= 100 THEN 'medio' ELSE 'baixo' END
+        CASE WHEN amount < 100 THEN 'baixo' WHEN amount < 1000 THEN 'medio' ELSE 'alto' END
         AS amount_band FROM bronze""",
     "silver_star": """SELECT b.*, c.created_at AS customer_created_at
         FROM bronze b JOIN bronze_cust c ON b.customer_id = c.customer_id""",
@@ -211,9 +212,9 @@ _QUERIES: dict[str, str] = {
     # Filters
     "f_not_null_ids": f"{RAW} WHERE transaction_id IS NOT NULL AND customer_id IS NOT NULL",
     "f_positive_amount": f"{RAW} WHERE amount > 0",
-    "f_risk_range": f"{RAW} WHERE risk_score >= 0 AND risk_score <= 100",
-    "f_credit_range": f"{RAW} WHERE credit_score >= 300 AND credit_score <= 900",
-    "f_status_in": f"{RAW} WHERE status = 'approved' OR status = 'declined'",
+    "f_risk_range": f"{RAW} WHERE risk_score BETWEEN 0 AND 100",
+    "f_credit_range": f"{RAW} WHERE credit_score BETWEEN 300 AND 900",
+    "f_status_in": f"{RAW} WHERE status IN ('approved', 'declined')",
     "f_segment_type": """SELECT * FROM silver
         WHERE segment = 'Premium' AND transaction_type = 'compra'""",
     "f_is_null": f"""SELECT transaction_id, customer_id, customer_segment FROM ({LEFT_JOIN})

@@ -76,3 +76,47 @@ def test_compaction_keeps_the_rows(spark, lake, scratch):
     assert len(glob.glob(path + "/year=2024/month=1/*.parquet")) == 1
     same(spark.read.parquet(path), expected)
     assert inc.compact_partition(spark, path, 1999, 1) == 0
+
+
+def without_time(silver):
+    """Silver with some rows that have no time, as Bronze lets them through."""
+    lost = F.col("transaction_id") % 11 == 0
+    when_lost = {c: F.when(~lost, F.col(c)) for c in ("ts", "year", "month", "day", "hour", "day_of_week")}
+    return silver.withColumns(when_lost)
+
+
+def test_rows_without_a_time_count(spark, lake, scratch):
+    paths, silver = LakePaths(scratch("lake")), without_time(lake.silver)
+    inc.incremental_gold(paths, silver.filter("transaction_id % 2 = 0"), "a")
+    inc.incremental_gold(paths, silver.filter("transaction_id % 2 = 1"), "b")
+    inc.incremental_gold(paths, silver.filter("ts IS NULL AND transaction_id % 2 = 0").limit(0), "c")
+    same(inc.gold_from_base(inc.read_base(spark, paths), ["data", "segment"]), full(silver))
+
+
+def test_a_corrected_batch_loses_its_old_days_and_months(spark, lake, scratch):
+    paths = LakePaths(scratch("lake"))
+    later = lake.silver.withColumn("month", F.when(F.col("day") > 10, 2).otherwise(F.col("month")))
+    later = later.withColumn("ts", F.expr("if(day > 10, ts + INTERVAL 1 MONTH, ts)"))
+    inc.incremental_gold(paths, later, "a")
+    kept = later.filter("month = 1 AND day <> 3")
+    inc.incremental_gold(paths, kept, "a")
+    same(inc.gold_from_base(inc.read_base(spark, paths), ["data", "segment"]), full(kept))
+    inc.incremental_gold(paths, kept.limit(0), "a")
+    assert not glob.glob(inc.silver_and_base(paths)[0] + "/*/*/batch=a/*.parquet")
+
+
+def test_a_repeated_delivery_without_times_adds_nothing(spark, lake, scratch):
+    path = scratch("raw")
+    raw = lake.raw.withColumn("timestamp", F.expr("if(transaction_id % 11 = 0, NULL, timestamp)"))
+    for _ in range(3):
+        inc.incremental_ingest(path, raw)
+    same(spark.read.parquet(path), add_raw_date_parts(raw))
+
+
+def test_a_compacted_lake_takes_further_batches(spark, lake, scratch):
+    paths = LakePaths(scratch("lake"))
+    inc.incremental_gold(paths, lake.silver.filter("transaction_id % 2 = 0"), "a")
+    inc.compact_partition(spark, inc.silver_and_base(paths)[0], 2024, 1)
+    inc.incremental_gold(paths, lake.silver.filter("transaction_id % 2 = 1"), "b")
+    inc.incremental_gold(paths, lake.silver.filter("transaction_id % 2 = 1"), "b")
+    same(inc.gold_from_base(inc.read_base(spark, paths), ["data", "segment"]), full(lake.silver))

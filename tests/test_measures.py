@@ -72,3 +72,8 @@ def test_sums_over_any_dimension_equal_the_total(lake):
             lake.silver, [dim], n="rows", f="fraud_rows", v="amount_sum", r="value_at_risk"
         ).agg(F.sum("n"), F.sum("f"), F.round(F.sum("v"), 2), F.round(F.sum("r"), 2)).first()
         assert tuple(parts) == (total["n"], total["fraud"], total["volume"], total["risk"])
+
+
+def test_amounts_below_a_cent_count(spark):
+    df = spark.range(1000).select(F.lit(0.004).alias("amount"))
+    assert df.agg(m.money_sum(F.col("amount")).alias("v")).first()["v"] == 4.0
