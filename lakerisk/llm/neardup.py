@@ -8,8 +8,8 @@ are filled, later rounds cannot change them. Two sketches agree in a coordinate
 
 ``BANDS`` bands of the sketch give bucket keys; at the least similarity of 0.75, bands of four coordinates miss
 a pair with a probability of about 5 in a million. Documents with equal word sequences are one class and are
-sketched as one. Candidates of a bucket are compared with one hub of the bucket first; buckets whose members
-are then still in different components get other hubs, and in the end all pairs of members that are in
+sketched as one. Candidates of a bucket are compared with one central hub of the bucket first; buckets whose
+members are then still in different components get other hubs, and in the end all pairs of members that are in
 different components are compared, so that no bucket is cut. Every link is confirmed on the full sets.
 
 Defined cases: a null or empty text, and one of white space alone, has no shingles and links with nothing;
@@ -31,7 +31,7 @@ WORDS = 5
 PERCENT = 75
 BINS = 128
 BANDS = 32
-HUB_ROUNDS = 8  # rounds with new hubs before the remaining pairs are compared one by one
+HUB_ROUNDS = 4  # rounds with new hubs before the remaining pairs are compared one by one
 FEW = 4  # remaining pairs a bucket row that are compared at once
 
 SKETCH_SCHEMA = "id long, key binary, n long, bands array<long>"
@@ -133,14 +133,20 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").where(100 * common >= PERCENT * union).select("a", "b")
 
 
-def hub_pairs(members: DataFrame, turn: int) -> DataFrame:
+def hubs_of(members: DataFrame, used: DataFrame | None) -> DataFrame:
+    """Each bucket's most central member that was no hub yet: the one that meets most others in its buckets.
+
+    Of a family of edited copies that is one with few edits, the same in all buckets, which links most.
+    """
+    free = members if used is None else members.join(used, "key", "left_anti")
+    best = free.groupBy("bucket").agg(F.max(F.struct("degree", "key", "n", "root")).alias("hub"))
+    return best.select("bucket", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.root").alias("hub_root"))
+
+
+def hub_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
     """Every member of a bucket with the bucket's hub, unless they are in one component already."""
-    rank = F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "key", "n", "root")
-    hubs = members.groupBy("bucket").agg(F.min(rank).alias("hub"))
-    met = members.join(hubs, "bucket").where(
-        (F.col("key") != F.col("hub.key")) & (F.col("root") != F.col("hub.root")) & may_link(F.col("n"), F.col("hub.n"))
-    )
-    return met.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
+    met = members.join(hubs, "bucket").where((F.col("root") != F.col("hub_root")) & may_link(F.col("n"), F.col("hub_n")))
+    return met.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
 
 
 def all_pairs(members: DataFrame) -> DataFrame:
@@ -167,7 +173,7 @@ def open_pairs(members: DataFrame) -> tuple[int, int]:
 
 def link_classes(classes: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     """Components ``node, root`` of the classes that share buckets."""
-    links = tried = None
+    links = tried = used = None
     members = members.withColumn("root", F.col("key"))
     turn = 0
     while True:
@@ -175,7 +181,13 @@ def link_classes(classes: DataFrame, sets: DataFrame, members: DataFrame) -> Dat
         if not pairs_left:
             break
         last = turn >= HUB_ROUNDS or (turn > 0 and pairs_left <= FEW * rows)
-        pairs = all_pairs(members) if last else hub_pairs(members, turn)
+        if last:
+            pairs = all_pairs(members)
+        else:
+            hubs = stored(hubs_of(members, used), "hubs")
+            own = hubs.select(F.col("hub").alias("key")).distinct()
+            used = own if used is None else used.unionByName(own)
+            pairs = hub_pairs(members, hubs)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -200,8 +212,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(classes, "classes")
 
     placed = classes.select("key", "n", F.explode("bands").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
-    members = stored(placed.join(shared, "bucket"), "members")
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = stored(placed.join(shared, "bucket"), "bucket-members")
+    degrees = members.groupBy("key").agg(F.sum("size").alias("degree"))
+    members = stored(members.drop("size").join(degrees, "key"), "members")
     wanted = members.select("key").distinct()
     chosen = classes.join(wanted, "key", "left_semi").select(F.col("id").alias("chosen")).distinct()
     texts = rows.join(chosen, F.col("id").eqNullSafe(F.col("chosen")), "left_semi")
