@@ -1,5 +1,7 @@
 """Session settings and the shared scratch folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -22,6 +24,9 @@ CLUSTER_CONF = QUERY_CONF | {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # Adaptive execution merges small partitions but does not split those of a distinct: begin with
+    # about one per GB of the largest shuffled input (here for some 20 TB) and let it merge.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
@@ -34,7 +39,10 @@ def prepare(spark: SparkSession) -> None:
 
 @cache
 def _local_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix="run-")
+    """The scratch folder of a local session, which goes with the process."""
+    folder = tempfile.mkdtemp(prefix="run-")
+    atexit.register(shutil.rmtree, folder, True)
+    return folder
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
