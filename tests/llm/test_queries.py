@@ -77,4 +77,5 @@ def test_awkward_rows_through_all_stages(spark, tmp_path):
         docs = spark.read.parquet(str(tmp_path / name))
         if number < 4:
             assert set(docs.columns) >= {"doc_id", "text", "lang", "source", "n_chars", "score", "_text"}
-    assert {r["doc_id"] for r in docs.collect()} == {r[0] for r in AWKWARD} - {6, 9} | set()
+    # 6 lost all its lines and stays as an empty text; 9 is a near copy of 8
+    assert {r["doc_id"] for r in docs.collect()} == {r[0] for r in AWKWARD} - {9}
