@@ -31,7 +31,7 @@ WORDS = 5
 PERCENT = 75
 BINS = 128
 BANDS = 32
-HUB_ROUNDS = 4  # rounds with new hubs before the remaining pairs are compared one by one
+HUB_ROUNDS = 2  # rounds with new hubs before the remaining pairs are compared one by one
 FEW = 4  # remaining pairs a bucket row that are compared at once
 
 SKETCH_SCHEMA = "id long, key binary, n long, bands array<long>"
