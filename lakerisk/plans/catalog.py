@@ -167,29 +167,40 @@ def silver_stream(lake: Lake) -> DataFrame:
 
 
 def stream_bronze(lake: Lake) -> DataFrame:
-    bronze = stream.stream_bronze(raw_stream(lake)).drop(stream.EVENT_TIME)
-    return stream.run_available(bronze, lake.spark, "stream-bronze")
+    path = shared_dir(lake.spark, "stream-bronze")
+    stream.land(raw_stream(lake), path, shared_dir(lake.spark, "bronze-checkpoint"))
+    return stream.read_bronze(lake.spark, path)
+
+
+def landed(lake: Lake, name: str, made: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What is made of Silver, batch by batch."""
+    path = shared_dir(lake.spark, name)
+    of_silver = lambda new: made(stream.stream_silver(new, lake.customers))
+    stream.land(
+        raw_stream(lake), f"{path}/landed", f"{path}/checkpoint",
+        then=stream.store_batches(f"{path}/made", of_silver))
+    return lake.spark.read.parquet(f"{path}/made").drop("batch")
 
 
 def stream_silver(lake: Lake) -> DataFrame:
-    silver = silver_stream(lake).drop(stream.EVENT_TIME)
-    return stream.run_available(silver, lake.spark, "stream-silver")
+    return landed(lake, "stream-silver", lambda silver: silver)
 
 
 def stream_windows(lake: Lake, length: str, slide: str | None = None) -> DataFrame:
+    """Closed windows alone, as the SQL has it; ``stream.window_parts`` gives the open ones too."""
     windows = stream.stream_risk_windows(silver_stream(lake), length, slide)
     return stream.run_available(windows, lake.spark, "stream-windows")
 
 
 def stream_decision(lake: Lake) -> DataFrame:
-    decided = stream.stream_decision(silver_stream(lake))
-    return stream.run_available(decided, lake.spark, "stream-decision")
+    return landed(lake, "stream-decision", stream.stream_decision)
 
 
 def stream_gold_upsert(lake: Lake) -> DataFrame:
-    paths = new_paths(lake)
-    stream.stream_gold_upsert(
-        silver_stream(lake), paths, shared_dir(lake.spark, "upsert-checkpoint"))
+    paths, path = new_paths(lake), shared_dir(lake.spark, "upsert")
+    stream.land(
+        raw_stream(lake), f"{path}/landed", f"{path}/checkpoint",
+        then=lambda new, name: incremental.incremental_gold(paths, stream.stream_silver(new, lake.customers), f"stream-{name}"))
     return incremental.gold_from_base(incremental.read_base(lake.spark, paths), ["data", "segment"])
 
 

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from lakerisk.functions.derive import utc_instant, utc_wall_clock
 from lakerisk.functions.measures import fraud_count, fraud_rate_pct, row_count
-from lakerisk.operators.layers import project_transactions, silver_transactions
+from lakerisk.operators.layers import distinct_rows, project_transactions, silver_transactions
 from lakerisk.operators.ml import assemble
-from lakerisk.operators.rules import STRICT, Rules, apply_rules
-from lakerisk.plans.incremental import incremental_gold
+from lakerisk.operators.rules import STRICT, Rules, apply_rules, broken_rules
+from lakerisk.plans.incremental import MONTH, in_months, incremental_gold, months_of, stored_table
 from lakerisk.plans.lake import LakePaths
+from lakerisk.schemas import BRONZE_COLUMNS
 from lakerisk.session import shared_dir
+from lakerisk.sources.files import replace_partitions
 
 
 EVENT_TIME = "event_time"
@@ -27,7 +29,7 @@ EVENT_TIME = "event_time"
 def stream_bronze(
     raw: DataFrame, rules: Rules = STRICT, lateness: str = "1 hour", spread: int = 16
 ) -> DataFrame:
-    """Rules and deduplication by id within the watermark.
+    """Rules and deduplication by id within the watermark. Rows behind it are lost; ``land`` loses none.
 
     Unlike the batch distinct, the first version of an id wins, as the state keeps ids and not rows.
     The watermark needs a zoned timestamp, so ``event_time`` holds ``ts`` read as UTC. A stream has
@@ -49,6 +51,87 @@ def stream_bronze(
     return timed.dropDuplicatesWithinWatermark(key)
 
 
+def land(
+    raw: DataFrame, path: str, checkpoint: str, rules: Rules = STRICT,
+    then: Callable[[DataFrame, str], None] | None = None,
+) -> None:
+    """Work off the available stream into stored Bronze under ``path``: the batch distinct, however late a row is.
+
+    Each micro-batch is compared in every column with the stored rows of the months it touches; equal rows share
+    their month, so nothing else has to be read. ``then`` gets the new rows of a batch and its name. A retried
+    batch replaces itself. ``read_account`` tells what became of the raw rows. One stream writes to a path.
+    """
+    bronze_path, account_path = f"{path}/bronze", f"{path}/account"
+
+    def body(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        name = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
+        staged_path = shared_dir(spark, "landing")  # read several times below
+        marked = batch.withColumn("_broken", F.size(broken_rules(rules)) > 0)
+        marked.write.parquet(staged_path)
+        staged = spark.read.schema(marked.schema).parquet(staged_path)
+        rows = distinct_rows(project_transactions(staged.filter("NOT _broken")))
+        rows = rows.withColumns({"year": F.year("ts"), "month": F.month("ts"), "batch": F.lit(name)})
+        stored, fresh = stored_table(spark, bronze_path, rows.schema), rows
+        if stored is not None:
+            seen = in_months(stored, months_of(rows)).filter(F.col("batch") != name)
+            seen = seen.select(*[F.col(c).alias(f"seen_{c}") for c in BRONZE_COLUMNS])
+            same = F.lit(True)
+            for c in BRONZE_COLUMNS:
+                same = same & F.col(c).eqNullSafe(F.col(f"seen_{c}"))
+            fresh = rows.join(seen, same, "left_anti")
+        replace_partitions(fresh, bronze_path, MONTH + ["batch"])
+        stored = stored_table(spark, bronze_path, rows.schema)
+        new = rows.limit(0) if stored is None else in_months(stored, months_of(rows)).filter(F.col("batch") == name)
+        new = new.select(*BRONZE_COLUMNS)
+        counts = staged.agg(F.count("*").alias("raw"), F.count_if("_broken").alias("rejects"))
+        account = counts.crossJoin(new.agg(F.count("*").alias("emitted")))
+        replace_partitions(account.withColumn("batch", F.lit(name)), account_path, ["batch"])
+        if then:
+            then(new, name)
+
+    query = (
+        raw.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
+def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/bronze").select(*BRONZE_COLUMNS)
+
+
+def read_account(spark: SparkSession, path: str) -> DataFrame:
+    """One row: ``raw = emitted + copies + rejects``. No row is dropped for being late."""
+    sums = [F.sum(c).alias(c) for c in ("raw", "emitted", "rejects")]
+    return spark.read.parquet(f"{path}/account").agg(*sums).withColumn("copies", F.expr("raw - emitted - rejects"))
+
+
+def store_batches(path: str, made: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, str], None]:
+    """A ``then`` of ``land`` that stores what is made of the new rows of each batch."""
+    def store(new: DataFrame, name: str) -> None:
+        replace_partitions(made(new).withColumn("batch", F.lit(name)), path, ["batch"])
+
+    return store
+
+
+def window_parts(silver: DataFrame, length: str, slide: str | None = None, by: str = "segment") -> DataFrame:
+    """Additive counts of the windows that these rows touch, late ones included."""
+    return (
+        silver.withColumn(EVENT_TIME, utc_instant("ts"))
+        .groupBy(F.window(EVENT_TIME, length, slide).alias("w"), by)
+        .agg(row_count().alias("n"), fraud_count().alias("f"))
+        .select(utc_wall_clock("w.start").alias("inicio"), utc_wall_clock("w.end").alias("fim"), by, "n", "f")
+    )
+
+
+def windows_from_parts(parts: DataFrame, by: str = "segment") -> DataFrame:
+    """The windows by key as of the last batch, open ones too."""
+    total, frauds = F.sum("n"), F.sum("f")
+    return parts.groupBy("inicio", "fim", by).agg(
+        total.alias("transacoes"), frauds.alias("fraudes"), fraud_rate_pct(frauds, total).alias("taxa_fraude_pct"))
+
+
 def stream_silver(bronze: DataFrame, customers: DataFrame) -> DataFrame:
     """Enrichment with the static customer dimension."""
     return silver_transactions(bronze, customers)

@@ -94,3 +94,35 @@ def test_a_second_stream_adds_to_the_lake(spark, lake, scratch):
     got = inc.gold_from_base(inc.read_base(spark, paths), ["data", "segment"])
     want = inc.gold_from_base(risk.additive_base(lake.silver), ["data", "segment"])
     assert got.exceptAll(want.select(got.columns)).isEmpty() and got.count() == want.count()
+
+
+def test_shuffled_backlog_over_several_triggers_equals_batch(spark, lake, scratch):
+    raw = lake.raw.withColumn("part", F.pmod(F.xxhash64("transaction_id"), F.lit(4))).persist()
+    for part in range(4):
+        deliver(raw.filter(f"part = {part}").drop("part"), scratch("in"))
+    deliver(lake.raw.limit(50), scratch("in"))  # delivered again
+    silver_of = lambda new: stream.stream_silver(new, lake.customers)
+    for length, slide in (("1 day", None), ("12 hours", "6 hours")):
+        out, path = scratch(f"out {length}"), scratch(f"windows {length}")
+        parts = stream.store_batches(path, lambda new: stream.window_parts(silver_of(new), length, slide))
+        stream.land(raw_stream(spark, scratch("in")), out, scratch(f"checkpoint {length}"), then=parts)
+        got, want = stream.read_bronze(spark, out), lake.bronze
+        assert got.count() == want.count() and got.exceptAll(want.select(got.columns)).isEmpty()
+        account = stream.read_account(spark, out).first()
+        assert account["raw"] == lake.raw.count() + 50 and account["emitted"] == want.count()
+        assert account["raw"] == account["emitted"] + account["copies"] + account["rejects"]
+        windows = stream.windows_from_parts(spark.read.parquet(path))
+        whole = stream.windows_from_parts(stream.window_parts(lake.silver, length, slide))
+        assert windows.count() == whole.count() and windows.exceptAll(whole).isEmpty()
+        start = F.window(F.to_timestamp("ts"), length, slide)["start"].cast("timestamp_ntz").alias("inicio")
+        assert whole.count() == lake.silver.select(start, "segment").distinct().count()
+
+
+def test_late_row_lands_in_its_closed_window(spark, scratch):
+    deliver(tx(spark, at(10, 1)), scratch("in"))
+    deliver(tx(spark, at(10, 2, transaction_id=2)), scratch("in"))
+    deliver(tx(spark, at(1, 1, transaction_id=3), at(10, 1), at(1, 2, transaction_id=4, amount=-1.0)), scratch("in"))
+    path = scratch("out")
+    stream.land(raw_stream(spark, scratch("in")), path, scratch("checkpoint"))
+    assert sorted(r["transaction_id"] for r in stream.read_bronze(spark, path).collect()) == [1, 2, 3]
+    assert stream.read_account(spark, path).first().asDict() == {"raw": 5, "emitted": 3, "rejects": 1, "copies": 1}
