@@ -30,3 +30,26 @@ def test_awkward_rows(spark):
 
 def test_empty_table(spark):
     assert lines.dedup_lines(empty(spark)).count() == 0
+
+
+def test_rows_of_a_hot_id_do_not_share_an_array(spark, monkeypatch):
+    """Without an id, or with one id, a row meets the dropped lines of its own text only."""
+    original = lines._without
+
+    def checked(min_chars, columns):
+        run = original(min_chars, columns)
+
+        def watch(batches):
+            for batch in batches:
+                for text, gone in zip(batch.column("_text").to_pylist(), batch.column("_gone").to_pylist()):
+                    assert len(gone or []) <= len((text or "").split("\n"))
+                yield batch
+
+        return lambda batches: run(watch(batches))
+
+    monkeypatch.setattr(lines, "_without", checked)
+    texts = ["\n".join(f"a line with number {3 * i + k}" for k in range(3)) for i in range(40)]
+    rows = [(1, "\n".join(texts))] + [(None, t) for t in texts] + [(5, t) for t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lines.dedup_lines(docs).collect()
+    assert len(got) == 81 and all(r["n_dropped"] == (0 if r["doc_id"] == 1 else 3) for r in got)
