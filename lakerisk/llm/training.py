@@ -16,6 +16,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, bounds: dict[int, i
 
     The ids come in the order of a hash, so the sample is the same in every run. Held-out ids, ids without a
     label, null texts and texts of more than ``MAX_CHARS`` are left out; of contradicting labels the larger counts.
+    An id with several rows is learned from once, by its smallest text: the bounds are bounds on rows.
     """
     known = labels.where(~held_out(id_col)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("y")).where("y IN (0, 1)")
     counts = {row["y"]: row["n"] for row in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -24,7 +25,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, bounds: dict[int, i
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("_id"), "_id").limit(bound)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.where(F.length(text_col) <= MAX_CHARS).select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), *more)
-    rows = texts.join(F.broadcast(chosen), "_id")  # at most the bounds
+    least = F.min(F.struct("text", *more)).alias("least")
+    rows = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "y").agg(least).select("_id", "least.*", "y")
     return rows.orderBy(F.xxhash64("_id"), "_id").drop("_id").toPandas(), {y: counts.get(y, 0) for y in bounds}
 
 

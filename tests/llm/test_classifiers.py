@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lakerisk.llm import quality, queries, toxicity
+from lakerisk.llm import quality, queries, toxicity, training
 from lakerisk.llm.common import table
 from tests.llm.cases import AWKWARD, awkward, empty
 
@@ -73,3 +73,13 @@ def test_windows_hold_the_whole_text():
     text = "  Some words,\n of a text\t that ends ".encode() * 9
     assert b"".join(toxicity.windows(text)) == toxicity.spelled(b" ".join(text.lower().split()) + b" ")
     assert toxicity.windows(b" \n") == []
+
+
+def test_a_repeated_id_is_one_row_to_learn_from(spark):
+    rows = [(i, f"text {i}", 7) for i in range(20)]
+    labels = spark.createDataFrame([(i, None, i % 2) for i in range(20)], LABELS)
+    learned = [
+        training.labelled(spark.createDataFrame(r, "doc_id long, text string, n_chars long"), labels, "toxic", {0: 3, 1: 3}, more=("n_chars",))
+        for r in (rows, rows + [(i, f"text {i} {n}", n) for i in range(20) for n in range(30)])
+    ]
+    assert len(learned[0][0]) == 6 and learned[0][0].equals(learned[1][0]) and learned[0][1] == learned[1][1]
