@@ -1,14 +1,15 @@
 """Main text of web pages by a bidirectional LSTM over the blocks of a page.
 
 A page is read as the sequence of its leaf blocks, each with its tag path (tags, classes and ids of all open
-elements) and its text. Every block becomes a vector of hashed path tokens, hashed words and a few figures;
+elements, and the names of inline elements that hold the whole block) and its text. Every block becomes a vector of
+all its hashed path tokens, all its hashed words and a few figures;
 the network reads the whole sequence in both directions and labels each block, so a label depends on the
 document around it. The blocks labelled as article are joined.
 
 The network is trained on a bounded sample of pages. Its labels come from the pages' own markup: what stands
 in an article is text, what stands in one of the ``FURNITURE`` elements is not. As a corpus may know few kinds
 of furniture, further pieces are put into copies of the training pages, in the article too, and now and then
-the article is a plain division.
+the article is a plain division; in half of the copies, divisions of neutral names are nested around and in both.
 
 Defined cases: a null or empty page, or one without article text, gives an empty string; broken markup is read
 as far as it goes (open elements are closed by what follows, a bare ``<`` is text); an address may be null;
@@ -34,7 +35,7 @@ from lakerisk.llm.training import sigmoid
 PAGES = 120  # pages learned from
 MAX_CHARS = 8_000  # longer pages are read, but not learned from
 COPIES, STRETCH = 12, 12  # of each training page, with other furniture; blocks in a copy
-PATH, WORDS, FIGURES, HIDDEN = 256, 8, 6, 12
+PATH, WORDS, FIGURES, HIDDEN = 1024, 512, 6, 12
 SALT = "1309"  # chosen so that the usual tags and names of furniture share few places with those of text
 EPOCHS, BATCH, RATE = 12, 24, 0.02
 
@@ -57,6 +58,7 @@ FURNITURE_NAMES = (
     "cookie cookie-notice consent notice alert popup modal newsletter subscribe signup share social related recommended comments comment "
     "comment-list replies reply respond disqus widget pagination login search search-form".split()
 )
+NEUTRAL = "container wrapper row col inner outer layout grid box section-body page-wrap site root clearfix flex column block panel module".split()
 LEAVES = ("p", "li", "div", "span", "h3", "td")
 
 
@@ -66,21 +68,23 @@ class Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[tuple[str, ...], str, float]] = []
-        self.open: list[tuple[str, tuple[str, ...]]] = []
+        self.open: list[tuple[str, tuple[str, ...], int]] = []
         self.parts: list[str] = []
-        self.linked = self.hidden = 0
+        self.linked = self.hidden = self.count = 0
+        self.around: list[tuple] | None = None  # inline elements that hold all of the block so far
 
     def flush(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            path = tuple(token for tag, tokens in self.open if tag not in INLINE for token in tokens)
+            path = tuple(token for tag, tokens, _ in self.open if tag not in INLINE for token in tokens)
+            path += tuple(token for _, tokens, _ in self.around or () for token in tokens[1:])
             self.blocks.append((path, text, min(1.0, self.linked / len(text))))
-        self.parts, self.linked = [], 0
+        self.parts, self.linked, self.around = [], 0, None
 
     def close_to(self, tags, barrier=()):
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] in tags:
-                self.hidden -= sum(tag in HIDDEN_TAGS for tag, _ in self.open[at:])
+                self.hidden -= sum(tag in HIDDEN_TAGS for tag, _, _ in self.open[at:])
                 del self.open[at:]
                 return
             if self.open[at][0] in barrier:
@@ -99,7 +103,8 @@ class Blocks(HTMLParser):
         if tag in VOID:
             return
         names = [w for key, value in attrs if key in ("class", "id", "role") and value for w in value.lower().split()]
-        self.open.append((tag, (tag, *("." + w for w in names))))
+        self.count += 1
+        self.open.append((tag, (tag, *("." + w for w in names)), self.count))
         self.hidden += tag in HIDDEN_TAGS
 
     def handle_startendtag(self, tag, attrs):
@@ -115,8 +120,11 @@ class Blocks(HTMLParser):
     def handle_data(self, data):
         if not self.hidden:
             self.parts.append(data)
-            if any(tag == "a" for tag, _ in self.open[-3:]):
+            if any(tag == "a" for tag, _, _ in self.open[-3:]):
                 self.linked += len(data)
+            if not data.isspace() and self.around != []:
+                inline = [element for element in self.open if element[0] in INLINE and len(element[1]) > 1]
+                self.around = inline if self.around is None else [element for element in self.around if element in inline]
 
     def finish(self):
         self.close()
@@ -141,13 +149,18 @@ def _spots(path: tuple[str, ...]) -> np.ndarray:
     return np.array([c for code in codes for c in (code % PATH, (code >> 16) % PATH)], np.int64)
 
 
+@lru_cache(100_000)
+def _word(word: str) -> int:
+    return zlib.crc32(word.encode()) % WORDS
+
+
 def vectors(blocks) -> np.ndarray:
     out = np.zeros((len(blocks), PATH + WORDS + FIGURES), np.float32)
     for i, (path, text, linked) in enumerate(blocks):
-        out[i, _spots(path[-8:])] = 1
+        out[i, _spots(path)] = 1
         words = text.split()
-        codes = [zlib.crc32(word.encode()) % WORDS for word in words[:30]]  # of the vector alone; the text is kept whole
-        out[i, PATH:PATH + WORDS] = np.bincount(codes, minlength=WORDS) / 10
+        codes, counts = np.unique(np.fromiter((_word(word) for word in words), np.int64, len(words)), return_counts=True)
+        out[i, PATH + codes] = np.minimum(1, counts / 10)
         out[i, PATH + WORDS:] = (
             log1p(len(text)) / 6, linked, log1p(len(words)) / 4, text[-1] in ".!?", i / len(blocks), text[0].isupper(),
         )
@@ -254,15 +267,24 @@ def is_text(path: tuple[str, ...]) -> bool:
     return any(t in path for t in ("article", "main")) and not names & set(FURNITURE_NAMES) and not set(path) & set(FURNITURE_TAGS)
 
 
+def _nested(random):
+    """Up to six divisions, most with a name that tells nothing."""
+    names = [NEUTRAL[random.integers(len(NEUTRAL))] if random.random() < 0.5 else f"x{random.integers(10**6)}" for _ in range(random.integers(7))]
+    return tuple(token for name in names for token in (("div", "." + name) if random.random() < 0.8 else ("div",)))
+
+
 def _altered(blocks, random):
     """A stretch of a page with other furniture, labelled."""
     plain = random.random() < 0.25
     renamed = (("div", "." + str(random.choice(["content", "post", "entry", "story", "text"]))) if random.random() < 0.7 else ("main",)) if plain else ("article",)
+    deep = random.random() < 0.5
+    chain = lambda: _nested(random) if deep else ()
+    above, below = chain(), chain()
     out = []
     start = random.integers(max(1, len(blocks) - STRETCH))
     for path, text, linked in blocks[start:start + STRETCH]:
         label = is_text(path)
-        path = tuple(t for token in path for t in (renamed if token == "article" else (token,)))
+        path = tuple(t for token in path for t in ((*above, *renamed, *below) if token == "article" else (token,)))
         if label and random.random() < 0.15:  # other leaves of an article
             path = (*path[:-1], *[("blockquote", "p"), ("ul", "li"), ("section", "p"), ("h2",), ("table", "tr", "td"), ("pre",), ("figure", "figcaption"), ("div", "p")][random.integers(8)])
         out.append((path, text, linked, label))
@@ -270,7 +292,8 @@ def _altered(blocks, random):
         name = FURNITURE_NAMES[random.integers(len(FURNITURE_NAMES))]
         tag = FURNITURE_TAGS[random.integers(len(FURNITURE_TAGS))]
         box = [("div", "." + name), (tag,), ("section", "." + name), (tag, "." + name), ("ul", "." + name)][random.integers(5)]
-        inside = ("html", "body", *(renamed if random.random() < 0.5 else ()))
+        inside = ("html", "body", *((*above, *renamed, *below) if random.random() < 0.5 else chain()))
+        box = (*box, *chain())
         at = random.integers(len(out) + 1)
         for _ in range(random.integers(1, 5)):
             words = out[random.integers(len(out))][1].split() if out else ["more"]

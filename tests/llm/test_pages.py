@@ -55,3 +55,32 @@ def test_empty_table(spark):
 ])
 def test_blocks(source, want):
     assert [text for _, text, _ in pages.blocks_of(source)] == want
+
+
+def nested(inside, depth=10):
+    return "".join(f"<div class='{n}'>" for n in ("container", "row", "col", "wrap", "q1", "q2", "q3", "q4", "q5", "q6")[:depth]) + inside + "</div>" * depth
+
+
+def test_furniture_and_articles_ten_levels_deep(spark):
+    said = "A sentence of the article with some words in it."
+    sides = {"footer class='site'": "footer", "nav": "nav", "div class='sidebar'": "div", "aside": "aside", "div class='comments'": "div"}
+    rows, want = [], {}
+    for n, (start, tag) in enumerate(sides.items(), 1):
+        side = f"<{start}>" + nested(f"<ul><li>{said}</li><li>Read more of this here.</li></ul>") + f"</{tag}>"
+        rows.append((-n, None, f"<html><body><article>{nested(f'<p>{said}</p><p>Second part, {n}.</p>')}</article>{side}</body></html>"))
+        want[-n] = f"{said}\nSecond part, {n}."
+    out = pages.extract(spark.read.parquet(f"{SF}/pages.parquet").unionByName(spark.createDataFrame(rows, SCHEMA))).where("page_id < 0")
+    assert {r["page_id"]: r["text"] for r in out.collect()} == want
+
+
+def test_vectors_tell_the_whole_path_and_text():
+    deep = tuple(t for k in range(10) for t in ("div", f".n{k}"))
+    one, two = pages.vectors([(("body", "footer", *deep), "a", 0.0), (("body", "article", *deep), "a", 0.0)])[:, :pages.PATH]
+    assert (one != two).any()
+    one, two = pages.vectors([((), "a " * 60 + end, 0.0) for end in ("first", "other")])[:, pages.PATH:pages.PATH + pages.WORDS]
+    assert (one != two).any()
+
+
+def test_names_of_inline_elements_around_a_block():
+    got = [path for path, _, _ in pages.blocks_of("<p><span class=ad>buy <b>now</b></span></p><p>so <span class=ad>buy</span></p><p><span class=ad>a</span> b</p>")]
+    assert got == [("p", ".ad"), ("p",), ("p",)]
