@@ -38,6 +38,7 @@ COPIES, STRETCH = 12, 12  # of each training page, with other furniture; blocks
 PATH, WORDS, FIGURES, HIDDEN = 1024, 512, 6, 12
 SALT = "1309"  # chosen so that the usual tags and names of furniture share few places with those of text
 EPOCHS, BATCH, RATE = 12, 24, 0.02
+CELLS = 16_384  # blocks read at once, padding included
 
 # Fixed values of HTML.
 HIDDEN_TAGS = frozenset("script style template noscript svg math iframe object canvas".split())
@@ -154,19 +155,55 @@ def _word(word: str) -> int:
     return zlib.crc32(word.encode()) % WORDS
 
 
-def vectors(blocks) -> np.ndarray:
-    out = np.zeros((len(blocks), PATH + WORDS + FIGURES), np.float32)
-    for i, (path, text, linked) in enumerate(blocks):
+def _path_part(paths) -> np.ndarray:
+    out = np.zeros((len(paths), PATH), np.float32)
+    for i, path in enumerate(paths):
         out[i, _spots(path)] = 1
+    return out
+
+
+def _text_part(blocks, low: int, total: int) -> np.ndarray:
+    """Words and figures of blocks that stand from place ``low`` on among ``total``."""
+    out = np.zeros((len(blocks), WORDS + FIGURES), np.float32)
+    for i, (_, text, linked) in enumerate(blocks):
         words = text.split()
-        codes, counts = np.unique(np.fromiter((_word(word) for word in words), np.int64, len(words)), return_counts=True)
-        out[i, PATH + codes] = np.minimum(1, counts / 10)
-        out[i, PATH + WORDS:] = (
-            log1p(len(text)) / 6, linked, log1p(len(words)) / 4, text[-1] in ".!?", i / len(blocks), text[0].isupper(),
+        codes = np.fromiter(map(_word, words), np.int64, len(words))
+        out[i, :WORDS] = np.bincount(codes, minlength=WORDS) / max(10, len(words))
+        out[i, WORDS:] = (
+            log1p(len(text)) / 6, linked, log1p(len(words)) / 4, text[-1] in ".!?", (low + i) / total, text[0].isupper(),
         )
     return out
 
 
+def vectors(blocks) -> np.ndarray:
+    return np.concatenate([_path_part([path for path, _, _ in blocks]), _text_part(blocks, 0, len(blocks))], axis=1)
+
+
+def _projected(blocks, low: int, high: int, weights: np.ndarray) -> np.ndarray:
+    """``vectors(blocks)[low:high] @ weights``, some blocks at a time and each path once."""
+    out = np.zeros((max(0, min(high, len(blocks)) - low), weights.shape[1]), np.float32)
+    for at in range(0, len(out), 256):
+        own = blocks[low + at:min(low + at + 256, high)]
+        known: dict[tuple[str, ...], int] = {}
+        rows = [known.setdefault(path, len(known)) for path, _, _ in own]
+        out[at:at + len(own)] = (_path_part(list(known)) @ weights[:PATH])[rows] + _text_part(own, low + at, len(blocks)) @ weights[PATH:]
+    return out
+
+
+def _states(inputs, mask, wh, h, c):
+    """States of one direction from its inputs, and the last two to go on from; nothing is kept for a gradient."""
+    out = np.zeros((*mask.shape, HIDDEN), np.float32)
+    for t in range(len(mask)):
+        gates = inputs[t] + h @ wh
+        i, f, o = np.split(sigmoid(gates[:, :3 * HIDDEN]), 3, axis=1)
+        m = mask[t][:, None]
+        new = f * c + i * np.tanh(gates[:, 3 * HIDDEN:])
+        c = m * new + (1 - m) * c
+        h = m * (o * np.tanh(new)) + (1 - m) * h
+        out[t] = h
+    return out, h, c
+
+
 def _run(x, mask, wx, wh, b):
     """States of one direction over a padded batch (time, page, value); a masked step keeps the state."""
     steps, pages, _ = x.shape
@@ -232,9 +269,6 @@ class Network:
         back, kept_back = _run(x[::-1], mask[::-1], *self.values[3:6])
         return np.concatenate([there, back[::-1]], axis=2), kept, kept_back
 
-    def logits(self, x, mask):
-        return self._output(self.states(x, mask)[0], x)
-
     def _output(self, states, x):
         return states @ self.values[6] + self.values[7][0] + x @ self.values[8]
 
@@ -248,17 +282,49 @@ class Network:
             np.tensordot(states, pull, ([0, 1], [0, 1])), np.array([pull.sum()], np.float32), np.tensordot(x, pull, ([0, 1], [0, 1])),
         ]
 
+    def logits(self, pages: list[list]) -> np.ndarray:
+        """Of all blocks (block, page). At most ``CELLS`` blocks stand in vectors at once, of a long page too."""
+        wx, wh, b, wx_back, wh_back, b_back, out, constant, own = self.values
+        weights = np.concatenate([wx, wx_back, own[:, None]], axis=1)
+        lengths = np.array([len(blocks) for blocks in pages])
+        steps, span = lengths.max(), max(1, CELLS // len(pages))
+        lows = list(range(0, steps, span))
+
+        def read(low):
+            high = min(low + span, steps)
+            values = np.zeros((high - low, len(pages), weights.shape[1]), np.float32)
+            for k, blocks in enumerate(pages):
+                part = _projected(blocks, low, high, weights)
+                values[:len(part), k] = part
+            return values, (np.arange(low, high)[:, None] < lengths).astype(np.float32)
+
+        logits, gates = np.full((steps, len(pages)), constant[0], np.float32), 4 * HIDDEN
+        h = c = np.zeros((len(pages), HIDDEN), np.float32)
+        for low in lows:
+            values, mask = read(low)
+            states, h, c = _states(values[..., :gates] + b, mask, wh, h, c)
+            logits[low:low + span] += states @ out[:HIDDEN] + values[..., -1]
+        h = c = np.zeros((len(pages), HIDDEN), np.float32)
+        for low in reversed(lows):
+            if len(lows) > 1:
+                values, mask = read(low)
+            states, h, c = _states(values[::-1, :, gates:2 * gates] + b_back, mask[::-1], wh_back, h, c)
+            logits[low:low + span] += states[::-1] @ out[HIDDEN:]
+        return logits
+
     def labels(self, pages: list[list]) -> list[np.ndarray]:
-        """Which blocks are article. Pages of like length are read together."""
-        out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
+        """Which blocks are article. Pages of like length are read together, a long page alone."""
+        found: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
         order = sorted((k for k in range(len(pages)) if pages[k]), key=lambda k: len(pages[k]))
-        for at in range(0, len(order), 64):
-            own = order[at:at + 64]
-            x, mask = _padded([vectors(pages[k]) for k in own])
-            marked = self.logits(x, mask) > 0
-            for n, k in enumerate(own):
-                out[k] = marked[:len(pages[k]), n]
-        return out
+        group: list[int] = []
+        for k, following in zip(order, [*order[1:], None]):
+            group.append(k)
+            if following is None or len(group) == 64 or (len(group) + 1) * len(pages[following]) > CELLS:
+                marked = self.logits([pages[own] for own in group]) > 0
+                for n, own in enumerate(group):
+                    found[own] = marked[:len(pages[own]), n]
+                group = []
+        return found
 
 
 def is_text(path: tuple[str, ...]) -> bool:
@@ -319,19 +385,20 @@ def train(pages: list[str]) -> Network:
     batches = []
     for at in range(0, len(rows), BATCH):
         own = rows[at:at + BATCH]
-        x, mask = _padded([vectors(blocks) for blocks, _ in own])
-        y = np.zeros_like(mask)
+        y = np.zeros((max(len(blocks) for blocks, _ in own), len(own)), np.float32)
         for k, (_, label) in enumerate(own):
             y[:len(label), k] = label
-        batches.append((x, mask, y))
+        batches.append(([blocks for blocks, _ in own], y))
     network = Network.fresh()
     first, second = [np.zeros_like(v) for v in network.values], [np.zeros_like(v) for v in network.values]
     step = 0
     for epoch in range(EPOCHS):
         for k in random.permutation(len(batches)):
             step += 1
+            blocks, y = batches[k]  # the vectors of all would not be small
+            x, mask = _padded([vectors(page) for page in blocks])
             rate = RATE * (1 - epoch / EPOCHS) + 1e-4
-            for v, m, s, g in zip(network.values, first, second, network.slopes(*batches[k])):
+            for v, m, s, g in zip(network.values, first, second, network.slopes(x, mask, y)):
                 m += 0.1 * (g - m)
                 s += 0.001 * (g * g - s)
                 v -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)

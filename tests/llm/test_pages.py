@@ -1,6 +1,8 @@
 import html
 import re
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +86,28 @@ def test_vectors_tell_the_whole_path_and_text():
 def test_names_of_inline_elements_around_a_block():
     got = [path for path, _, _ in pages.blocks_of("<p><span class=ad>buy <b>now</b></span></p><p>so <span class=ad>buy</span></p><p><span class=ad>a</span> b</p>")]
     assert got == [("p", ".ad"), ("p",), ("p",)]
+
+
+def test_a_page_of_many_blocks_takes_little_memory():
+    network = pages.train([])
+    source = "<article>" + "<p>Some words of a short block.</p>" * 20_000 + "</article><footer>" + "<p>x</p>" * 9_000 + "</footer>"
+    long, short = pages.blocks_of(source), pages.blocks_of(pages.MADE)
+    tracemalloc.start()
+    marked = network.labels([long] + [short] * 63)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(marked[0]) == 29_000 and all(len(m) == len(short) for m in marked[1:])
+    assert peak < 100e6
+
+
+def test_labels_do_not_depend_on_what_is_read_together(monkeypatch):
+    network = pages.train([])
+    read = [pages.blocks_of("<nav>" + "<p>menu</p>" * k + "</nav><article>" + "<p>One two three.</p>" * (3 * k) + "</article>") for k in range(1, 30)]
+    whole = [network.logits([blocks])[:, 0] for blocks in read]
+    for blocks, one in zip(read, whole):  # the same as the network that is trained
+        x, mask = pages._padded([pages.vectors(blocks)])
+        assert np.allclose(network._output(network.states(x, mask)[0], x)[:, 0], one, atol=1e-3)
+    monkeypatch.setattr(pages, "CELLS", 50)
+    for one, small in zip(whole, [network.logits([blocks])[:, 0] for blocks in read]):
+        assert np.allclose(one, small, atol=1e-3)
+    assert all(((one > 0) == got).all() for one, got in zip(whole, network.labels(read)))
