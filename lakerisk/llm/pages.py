@@ -33,7 +33,7 @@ from lakerisk.llm.common import ready
 from lakerisk.llm.training import sigmoid
 
 PAGES = 120  # pages learned from
-MAX_CHARS = 8_000  # longer pages are read, but not learned from
+HEAD_CHARS, LEARNED = 100_000, 200  # of a longer page, learned from: its beginning, and of that a stretch of blocks
 COPIES, STRETCH = 12, 12  # of each training page, with other furniture; blocks in a copy
 PATH, WORDS, FIGURES, HIDDEN = 1024, 512, 6, 12
 SALT = "1309"  # chosen so that the usual tags and names of furniture share few places with those of text
@@ -372,10 +372,17 @@ def _altered(blocks, random):
 MADE = "<html><head><title>One two</title></head><body><nav><ul><li><a href=x>One</a></li></ul></nav><article><h1>One two</h1><p>Three four five.</p><p>Six seven eight nine.</p></article><footer>Ten</footer></body></html>"
 
 
+def _learned(head: str, random) -> list:
+    """The blocks of a page to learn from: a bounded stretch of a long one."""
+    blocks = blocks_of(head if len(head) < HEAD_CHARS else head.rpartition("<")[0])
+    start = random.integers(max(1, len(blocks) - LEARNED + 1))
+    return blocks[start:start + LEARNED]
+
+
 def train(pages: list[str]) -> Network:
     """A network fitted with Adam to the pages and their altered copies."""
     random = np.random.default_rng(11)
-    read = [blocks for html in [*pages, *[MADE] * 20] if (blocks := blocks_of(html))]
+    read = [blocks for html in [*pages, *[MADE] * 20] if (blocks := _learned(html, random))]
     rows = [(blocks, [is_text(path) for path, _, _ in blocks]) for blocks in read]
     for blocks in read:
         for _ in range(COPIES):
@@ -419,7 +426,8 @@ def _extracted(network):
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """The columns of ``pages`` but the html, and ``text``: the article's blocks, a line each."""
     spark = ready(pages.sparkSession)
-    sample = pages.select(F.col(html_col).alias("html")).where(F.length("html") <= MAX_CHARS).orderBy(F.xxhash64("html"), "html").limit(PAGES)
+    heads = pages.select(F.substring(html_col, 1, HEAD_CHARS).alias("html")).where(F.length("html") > 0)
+    sample = heads.orderBy(F.xxhash64("html"), "html").limit(PAGES)
     network = spark.sparkContext.broadcast(train([row["html"] for row in sample.collect()]))
     kept = [c for c in pages.columns if c not in (html_col, "text")]
     rows = pages.select(F.col(html_col).alias("_html"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(kept)])

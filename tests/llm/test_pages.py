@@ -111,3 +111,15 @@ def test_labels_do_not_depend_on_what_is_read_together(monkeypatch):
     for one, small in zip(whole, [network.logits([blocks])[:, 0] for blocks in read]):
         assert np.allclose(one, small, atol=1e-3)
     assert all(((one > 0) == got).all() for one, got in zip(whole, network.labels(read)))
+
+
+def test_pages_of_any_length_are_learned_from(spark, monkeypatch):
+    learned, train = [], pages.train
+    monkeypatch.setattr(pages, "train", lambda sample: learned.extend(sample) or train(sample))
+    filler = "".join(f"<p>Sentence number {i} of a long page.</p>" for i in range(5_000))
+    rows = [(n, None, f"<article><h1>Page {n}</h1>{filler}</article><footer>f</footer>") for n in range(3)]
+    out = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(learned) == 3 and all(len(head) == pages.HEAD_CHARS for head in learned)
+    assert all(text.startswith(f"Page {n}\nSentence number 0") and text.count("\n") == 5_000 for n, text in out.items())
+    read = [pages._learned(head, np.random.default_rng(n)) for n, head in enumerate(learned)]
+    assert all(len(blocks) == pages.LEARNED for blocks in read) and read[0][0] != read[1][0]
