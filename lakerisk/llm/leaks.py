@@ -2,11 +2,13 @@
 
 Words are the symbols. A random walk over a window writes the word it stands on at every step and moves on by a
 random bit of that word and step; windows a few edits apart soon walk in step again, so their walks agree in
-most steps: the edit distance has become a Hamming distance. ``REPEATS`` samples of ``SAMPLED`` steps hash each
-walk. An item's window size is the largest of a geometric series that leaves room for shifts; documents are
-walked from every ``size / 3``-th word, items from every word, so that a passage meets the index at some shift
-wherever it stands. A window that shares ``VOTES`` hashes with an item is aligned with the whole item, and counts where
-the exact edit distance in words is at most ``SHARE`` of the item's words.
+most steps: the edit distance has become a Hamming distance. ``REPEATS`` samples of ``SAMPLED`` steps, dealt to
+``WALKS`` independent walks, hash each window. An item's window size is the largest of ``SIZES`` that leaves room
+for shifts; documents are walked from every ``size / 3``-th word, items from every word, so that a passage meets the
+index at some shift wherever it stands. Items of fewer than ``SHORT`` words may have one edit at most, so one of
+their halves stands untouched in the document, and every place is compared with the halves. A window that shares
+``VOTES`` hashes with an item is aligned with the whole item, and counts where the exact edit distance in words is at
+most ``SHARE`` of the item's words. The recall aimed at is 0.99 at ``SHARE``.
 
 Words are runs of digits, letters and all characters outside ASCII, with A-Z in lower case. Items are indexed
 in blocks of ``ITEMS``; each block is one pass over the documents and bounds what is sent to the tasks.
@@ -27,11 +29,12 @@ from pyspark.sql import functions as F
 from lakerisk.llm.common import ready
 from lakerisk.llm.neardup import mix
 
-REPEATS, SAMPLED = 24, 3
+WALKS, REPEATS, SAMPLED = 8, 48, 3  # repeats of all walks of a window together
 VOTES = 2  # repeats in which a window must meet an item at the same shift
 SHARE = 0.2
 ITEMS = 5000
-SIZES = (1, 2, 3, 4, 6, 8, *(int(8 * 1.5**i) for i in range(1, 24)))
+SHORT = 10  # items of fewer words are met by whole pieces: with at most one edit, one of two halves is untouched
+SIZES = (8, 12, 18)  # of longer items, many short windows: some of them hold few edits
 TABLE_BITS = 20
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 HITS = "array<struct<item_id: bigint, first_word: bigint, last_word: bigint, edits: bigint>>"
@@ -52,25 +55,41 @@ def size_for(n_words: int) -> int:
     return max(size for size in SIZES if size + stride(size) - 1 <= n_words)
 
 
-def walks(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """The hashes of the walks from each start: one row a repeat. ``words`` ends with enough zeros."""
+def walks(words: np.ndarray, starts: np.ndarray, size: int):
+    """The hashes from each start: one row a repeat. ``words`` ends with enough zeros.
+
+    ``REPEATS`` are dealt to ``WALKS`` independent walks, so that one that parts early does not lose a passage.
+    """
     random = np.random.default_rng(size)
     steps = max(SAMPLED, 3 * size // 2)
-    odds = random.integers(0, 2**63, steps, np.uint64) | np.uint64(1)
     # apart by two steps at least, as a walk often stays on a word
-    slots = max(SAMPLED, (steps + 1) // 2)
-    sampled = [set((2 * random.choice(slots, SAMPLED, replace=False) if slots > SAMPLED else np.arange(SAMPLED)).tolist()) for _ in range(REPEATS)]
-    hashes = np.repeat(mix(random.integers(0, 2**63, REPEATS, np.uint64))[:, None], len(starts), axis=1)
-    at = starts.copy()
-    for step in range(steps):
-        symbol = words[at]
-        for repeat, own in enumerate(sampled):
-            if step in own:
-                hashes[repeat] ^= symbol
-                hashes[repeat] *= np.uint64(0x9E3779B97F4A7C15)
-                hashes[repeat] ^= hashes[repeat] >> np.uint64(29)
-        at += ((symbol * odds[step]) >> np.uint64(63)).astype(np.int64)
-    return hashes
+    slots = (steps + 1) // 2
+    for _ in range(WALKS):
+        odds = random.integers(0, 2**63, steps, np.uint64) | np.uint64(1)
+        sampled = [set((2 * random.choice(slots, SAMPLED, replace=False)).tolist()) for _ in range(REPEATS // WALKS)]
+        hashes = np.repeat(mix(random.integers(0, 2**63, len(sampled), np.uint64))[:, None], len(starts), axis=1)
+        at = starts.copy()
+        for step in range(steps):
+            symbol = words[at]
+            for repeat, own in enumerate(sampled):
+                if step in own:
+                    _add(hashes[repeat], symbol)
+            at += ((symbol * odds[step]) >> np.uint64(63)).astype(np.int64)
+        yield from hashes
+
+
+def _add(hashes: np.ndarray, symbol: np.ndarray) -> None:
+    hashes ^= symbol
+    hashes *= np.uint64(0x9E3779B97F4A7C15)
+    hashes ^= hashes >> np.uint64(29)
+
+
+def pieces(words: np.ndarray, starts: np.ndarray, length: int):
+    """The hash of so many words from each start: a single row."""
+    hashes = np.full(len(starts), 0x51ED270B5A1F3C29, np.uint64)
+    for k in range(length):
+        _add(hashes, words[starts + k])
+    yield hashes
 
 
 def align(pattern: list[int], text: list[int], most: int) -> list[tuple[int, int]]:
@@ -105,29 +124,35 @@ class Index:
 
     def __init__(self, items: list[tuple[int | None, bytes]]):
         self.items = [(item_id, words) for item_id, text in items if len(words := word_hashes(text))]
-        self.sizes = {}
-        by_size: dict[int, list[int]] = {}
+        self.tables = []  # how documents are read (function, size, stride, votes a hash counts for), and what is known
+        by_reading: dict[tuple, list[tuple[int, np.ndarray]]] = {}
         for number, (_, words) in enumerate(self.items):
-            by_size.setdefault(size_for(len(words)), []).append(number)
-        for size, numbers in sorted(by_size.items()):
-            joined, starts, owners, shifts = [], [], [], []
+            n = len(words)
+            if n >= SHORT:
+                size = size_for(n)
+                by_reading.setdefault((walks, size, stride(size), 1), []).append((number, np.arange(n - size + 1)))
+            elif int(SHARE * n):
+                by_reading.setdefault((pieces, n // 2, 1, VOTES), []).append((number, np.zeros(1, np.int64)))
+                by_reading.setdefault((pieces, n - n // 2, 1, VOTES), []).append((number, np.full(1, n // 2)))
+            else:
+                by_reading.setdefault((pieces, n, 1, VOTES), []).append((number, np.zeros(1, np.int64)))
+        for reading, own in sorted(by_reading.items(), key=lambda x: x[0][1:]):
+            joined, starts = [], []
             at = 0
-            for number in numbers:
+            for number, shift in own:
                 words = self.items[number][1]
-                shift = np.arange(len(words) - size + 1)
                 starts.append(at + shift)
-                shifts.append(shift)
-                owners.append(np.full(len(shift), number))
                 joined += [words, np.zeros(1, np.uint64)]
                 at += len(words) + 1
-            words = np.concatenate([*joined, np.zeros(2 * size + SAMPLED, np.uint64)])
-            hashes = walks(words, np.concatenate(starts), size)
-            owner, shift = np.tile(np.concatenate(owners), REPEATS), np.tile(np.concatenate(shifts), REPEATS)
+            words = np.concatenate([*joined, np.zeros(2 * reading[1] + SAMPLED, np.uint64)])
+            hashes = np.array(list(reading[0](words, np.concatenate(starts), reading[1])))
+            owner = np.tile(np.concatenate([np.full(len(shift), number) for number, shift in own]), len(hashes))
+            shift = np.tile(np.concatenate([shift for _, shift in own]), len(hashes))
             order = np.argsort(hashes.ravel(), kind="stable")
             known = hashes.ravel()[order]
             table = np.zeros(1 << TABLE_BITS, bool)
             table[known >> np.uint64(64 - TABLE_BITS)] = True
-            self.sizes[size] = (known, owner[order], shift[order], table)
+            self.tables.append((reading, known, owner[order], shift[order], table))
 
     def hits(self, texts: list[bytes]) -> list[list[dict]]:
         """The items that each text holds."""
@@ -137,27 +162,30 @@ class Index:
         lengths = np.array([len(d) for d in docs])
         begins = np.cumsum(lengths + 1) - (lengths + 1)
         gap = np.zeros(1, np.uint64)
-        words = np.concatenate([x for d in docs for x in (d, gap)] + [np.zeros(2 * max(self.sizes) + SAMPLED, np.uint64)])
-        met = []  # document, item, where the item would begin: one row a hash shared
-        for size, (known, owner, shift, table) in self.sizes.items():
-            counts = np.maximum(0, (lengths - size) // stride(size) + 1)
+        words = np.concatenate([x for d in docs for x in (d, gap)] + [np.zeros(2 * max(reading[1] for reading, *_ in self.tables) + SAMPLED, np.uint64)])
+        longest = max(len(own) for _, own in self.items)
+        room = longest + int(lengths.max()) + 1
+        met = []  # document, item and where the item would begin, in a single number: one a hash shared
+        for (read, size, apart, weight), known, owner, shift, table in self.tables:
+            counts = np.maximum(0, (lengths - size) // apart + 1)
             doc = np.repeat(np.arange(len(docs)), counts)
-            place = (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)) * stride(size)
+            place = (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)) * apart
             for low in range(0, len(doc), 1 << 16):
                 own_doc, own_place = doc[low:low + (1 << 16)], place[low:low + (1 << 16)]
-                for hashes in walks(words, begins[own_doc] + own_place, size):
+                for hashes in read(words, begins[own_doc] + own_place, size):
                     likely = np.flatnonzero(table[hashes >> np.uint64(64 - TABLE_BITS)])
                     first = np.searchsorted(known, hashes[likely], "left")
                     last = np.searchsorted(known, hashes[likely], "right")
                     pick = np.repeat(np.arange(len(likely)), last - first)
                     entry = np.arange(len(pick)) - np.repeat(np.cumsum(last - first) - last, last - first)
                     at = likely[pick]
-                    met.append(np.column_stack([own_doc[at], owner[entry], own_place[at] - shift[entry]]))
+                    met += [(own_doc[at] * len(self.items) + owner[entry]) * room + own_place[at] - shift[entry] + longest] * weight
         if not met:
             return [[] for _ in texts]
-        near, votes = np.unique(np.concatenate(met), axis=0, return_counts=True)
-        near = near[votes >= VOTES].tolist()
-        return self._verified(docs, near)
+        near, votes = np.unique(np.concatenate(met), return_counts=True)
+        pair, begin = np.divmod(near[votes >= VOTES], room)
+        doc, item = np.divmod(pair, len(self.items))
+        return self._verified(docs, zip(doc.tolist(), item.tolist(), (begin - longest).tolist()))
 
     def _verified(self, docs, near) -> list[list[dict]]:
         out: list[list[dict]] = [[] for _ in docs]
@@ -176,6 +204,9 @@ class Index:
             pattern, most = words.tolist(), int(SHARE * len(words))
             for low, high in own:
                 text = docs[doc][low:high].tolist()
+                held = set(text)
+                if sum(word not in held for word in pattern) > most:  # each such word is an edit
+                    continue
                 for edits, end in align(pattern, text, most):
                     back = align(pattern[::-1], text[max(0, end - len(pattern) - most):end][::-1], edits)
                     length = min((b for e, b in back if e == edits), default=len(pattern))

@@ -80,3 +80,32 @@ def test_empty_tables(spark):
     items = "item_id long, text string"
     assert leaks.find_leaks(empty(spark), spark.createDataFrame([(1, "a b c")], items)).count() == 0
     assert leaks.find_leaks(awkward(spark), empty(spark, items)).where(F.size("hits") > 0).count() == 0
+
+
+def edited(words, edits, vocabulary):
+    words = list(words)
+    for _ in range(edits):
+        at, kind = random.randrange(len(words)), random.choice("sid")
+        words[at:at + (kind != "i")] = [] if kind == "d" else [random.choice(vocabulary)]
+    return " ".join(random.choices(vocabulary, k=random.randint(0, 60)) + words + random.choices(vocabulary, k=random.randint(0, 60)))
+
+
+def found(items, edits):
+    """The share of items that are found in a text of random words and the item with so many edits."""
+    vocabulary = [f"word{i}" for i in range(500)]
+    hits = leaks.Index([(i, " ".join(words).encode()) for i, words in enumerate(items)]).hits([edited(w, edits(len(w)), vocabulary).encode() for w in items])
+    return sum(any(h["item_id"] == i for h in own) for i, own in enumerate(hits)) / len(items)
+
+
+def test_recall_up_to_the_declared_distance(spark):
+    random.seed(6)
+    items = [r["text"].split() for r in table(spark, "/root/testdata/sf0.1", "benchmark").collect()]
+    for rate in (0.15, 0.2):
+        assert found(items, lambda n: int(rate * n)) >= 0.99
+
+
+def test_recall_of_items_of_all_lengths():
+    random.seed(7)
+    for n in (1, 4, 5, 6, 7, 9, 10, 11, 15, 18, 23, 40, 150, 400):
+        items = [[f"v{random.randrange(3000)}" for _ in range(n)] for _ in range(200)]
+        assert found(items, lambda n: int(leaks.SHARE * n)) >= (1 if n < leaks.SHORT else 0.98)  # 0.99 less the chance of 200 draws
