@@ -1,7 +1,9 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained, one on windows of ordinary text and one on toxic text. The toxic one
-learns from the words that stand in toxic documents far more often than their share of all documents explains.
+learns from the words that stand in toxic documents far more often than their share of all documents explains, and
+from the stretches of toxic documents whose runs of ``GRAM`` bytes do: parts of words, and scripts without spaces.
+Phrases whose words are all ordinary are not learned.
 A window is compressed with the ordinary dictionary, and with the toxic one followed by the ordinary one; since
 both end alike, the bytes saved are due to the toxic part. The largest savings of a document's windows, and
 how many windows save more than thresholds taken from ordinary windows, are calibrated to a probability.
@@ -33,6 +35,7 @@ WINDOW = 32  # bytes of text, up to the end of the word
 ORDINARY_WINDOWS = 20_000  # windows that the ordinary dictionary learns from
 ORDINARY_SIZE, TOXIC_SIZE = 1 << 16, 1 << 15  # bytes of the dictionaries
 LEAST_DOCS, LEAST_SHARE, LEAST_SIGMAS = 3, 0.01, 5.0  # what makes a word a toxic one
+GRAM, GRAM_SIGMAS, GRAM_BITS = 5, 7.0, 22  # the same for runs of bytes, counted by hash
 LEVELS = (0.99, 0.999, 0.9999)  # shares of ordinary windows below the thresholds
 THRESHOLD = 0.7
 TRIM = b".,;:!?()\"'*$%&#|"
@@ -51,12 +54,16 @@ def spelled(text: bytes) -> bytes:
     return (code ^ (code >> np.uint32(15))).tobytes()
 
 
+def plain_text(text: bytes) -> bytes:
+    plain = b" ".join(text.lower().split())
+    return plain and plain + b" "
+
+
 def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
     """The spelled windows of a whole text, cut at the ends of words."""
-    plain = b" ".join(text.lower().split())
+    plain = plain_text(text)
     if not plain:
         return []
-    plain += b" "
     code, out, at = spelled(plain), [], 0
     while at < len(plain):
         end = plain.find(b" ", at + size - 1) + 1 or len(plain)
@@ -83,6 +90,37 @@ def toxic_words(texts: list[bytes], y: np.ndarray) -> set[bytes]:
     return {w for w, n in toxic.items() if n >= least and excess(w) >= LEAST_SIGMAS}
 
 
+def _gram_codes(plain: bytes) -> np.ndarray:
+    x = np.frombuffer(plain, np.uint8).astype(np.uint64)
+    codes = np.zeros(max(0, len(x) - GRAM + 1), np.uint64)
+    for k in range(GRAM):
+        codes = (codes ^ x[k:k + len(codes)]) * np.uint64(0x9E3779B97F4A7C15)
+        codes ^= codes >> np.uint64(29)
+    return (codes >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+
+
+def toxic_stretches(texts: list[bytes], y: np.ndarray) -> list[bytes]:
+    """Of each toxic text, spelled, the stretches under byte runs that stand in more toxic documents than chance allows."""
+    toxic, every = np.zeros(1 << GRAM_BITS, np.int32), np.zeros(1 << GRAM_BITS, np.int32)
+    for text, label in zip(texts, y):
+        found = np.unique(_gram_codes(plain_text(text)))
+        every[found] += 1
+        toxic[found] += bool(label)
+    share = y.mean()
+    excess = (toxic - every * share) / np.sqrt(np.maximum(1, every) * share * (1 - share))
+    telling = (toxic >= max(LEAST_DOCS, LEAST_SHARE * y.sum())) & (excess >= GRAM_SIGMAS)
+    out = []
+    for text, label in zip(texts, y):
+        plain = plain_text(text)
+        at = np.flatnonzero(telling[_gram_codes(plain)]) if label else []
+        if len(at):
+            inside = np.zeros(len(plain), bool)
+            for k in range(GRAM):
+                inside[at + k] = True
+            out.append(np.frombuffer(spelled(plain), np.uint32)[inside].tobytes())
+    return out
+
+
 def dictionary(size: int, samples: list[bytes]) -> bytes:
     """A trained dictionary; the end of the samples themselves where they are too few to train on."""
     try:
@@ -150,7 +188,7 @@ def train(rows: pd.DataFrame, counts: dict[int, int]) -> Model | None:
     samples = [spelled(b" ".join(own) + b" ") for t, label in zip(texts, y) if label and (own := [w for w in words(t) if w in marked])]
     plain = [w for ws, label in zip(found, y) if not label for w in ws]
     picked = np.random.default_rng(0).permutation(len(plain))[:ORDINARY_WINDOWS]
-    model = Model(dictionary(ORDINARY_SIZE, [plain[i] for i in picked]), dictionary(TOXIC_SIZE, samples))
+    model = Model(dictionary(ORDINARY_SIZE, [plain[i] for i in picked]), dictionary(TOXIC_SIZE, samples + toxic_stretches(texts, y)))
     saved = [model.savings(ws) for ws in found]
     calm = np.concatenate([s for s, label in zip(saved, y) if not label] + [np.zeros(1)])
     model.levels = np.quantile(calm, LEVELS)

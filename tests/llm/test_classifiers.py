@@ -83,3 +83,19 @@ def test_a_repeated_id_is_one_row_to_learn_from(spark):
         for r in (rows, rows + [(i, f"text {i} {n}", n) for i in range(20) for n in range(30)])
     ]
     assert len(learned[0][0]) == 6 and learned[0][0].equals(learned[1][0]) and learned[0][1] == learned[1][1]
+
+
+def test_scripts_without_spaces_are_learned():
+    """Toxic texts hold the parts of a run side by side, the others apart from each other."""
+    random = np.random.default_rng(4)
+    pool = [chr(0x4E00 + i) for i in range(300)]
+
+    def text(toxic):
+        own = list(random.choice(pool, 60))
+        for n, part in enumerate(pool[k] for k in (7, 131, 52, 18, 99)):
+            own.insert(20 + n if toxic else 12 * n, part)
+        return "".join(own)
+
+    rows = pd.DataFrame([(text(n % 4 == 0), int(n % 4 == 0)) for n in range(600)], columns=["text", "y"])
+    model = toxicity.train(rows[:400], {1: 100, 0: 300})
+    assert area(model.score([t.encode() for t in rows["text"][400:]]), rows["y"][400:].to_numpy()) > 0.9
