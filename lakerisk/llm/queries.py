@@ -1,11 +1,14 @@
 """The registered queries of the operators, and their DuckDB equivalents where SQL can express them."""
 
+import hashlib
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.llm import ann, chat, leaks, licences, lines, neardup, packing, pages, quality, toxicity
-from lakerisk.llm.common import held_out, table
+from lakerisk.llm import ann, chat, leaks, licences, lines, neardup, packing, pages, quality, repair, toxicity
+from lakerisk.llm.common import held_out, stored, table
 
 PROBE = "\\### Assistant: </turn> ok"
 
@@ -217,5 +220,131 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {"op1_chat_formatting": op1_chat_formatting, "op9_nearest_neighbours": op9_nearest_neighbours, "op8_line_dedup": op8_line_dedup, "op6_license_scan": op6_license_scan, "op3_minhash_near_dedup": op3_minhash_near_dedup, "op5_packing": op5_packing, "op10_toxicity": op10_toxicity, "op4_quality": op4_quality, "op7_benchmark_leaks": op7_benchmark_leaks, "op2_html_extraction": op2_html_extraction}
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op9_nearest_neighbours": OP9_SQL, "op8_line_dedup": OP8_SQL, "op6_license_scan": OP6_SQL, "op3_minhash_near_dedup": OP3_SQL}
+def damage(rows: DataFrame) -> DataFrame:
+    """Conversations with made faults, by the CRC-32 of ``conv_id:turn`` modulo 20; nulls are one space."""
+    named = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    kind = F.crc32(named.cast("binary")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    return rows.withColumn("_kind", kind).where("_kind <> 0").select(
+        "conv_id", "turn",
+        F.when(F.col("_kind") == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(F.col("_kind") == 1, "").when(F.col("_kind") == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(F.col("_kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy"),
+    ).drop("_copy")
+
+
+def _digests(batches):
+    """SHA-256 over ``role:text`` of each conversation's turns, joined by newlines, as they pass by."""
+    key, digest = None, None
+    done = []
+    for batch in batches:
+        for conv, place, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "place", "role", "text"))):
+            if place == 0:
+                if digest is not None:
+                    done.append((key, digest.hexdigest()))
+                key, digest = conv, hashlib.sha256()
+            digest.update(f"{'' if place == 0 else chr(10)}{role}:{text}".encode())
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), (pa.int64(), pa.string()))], names=["conv_id", "repaired_sha256"])
+            done = []
+    if digest is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([digest.hexdigest()])], names=["conv_id", "repaired_sha256"])
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and the digest of the repaired turns of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    damaged = damage(rows)
+    audits = stored(repair.audit(damaged), "audits")
+    digests = repair.repaired(damaged, audits).mapInArrow(_digests, "conv_id long, repaired_sha256 string")
+    ids = rows.select(F.col("conv_id").cast("long").alias("_id")).distinct()
+    found = ids.join(audits, F.col("_id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    found = found.join(digests, F.col("_id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(
+        F.col("_id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+OP11_SQL = r"""
+WITH RECURSIVE steps AS (
+    SELECT i AS byte, 0 AS step, i AS c FROM range(256) r(i)
+    UNION ALL SELECT byte, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE step < 8
+), crc AS (
+    SELECT list(c ORDER BY byte) AS t FROM steps WHERE step = 8
+), keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT)),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+    FROM conversations, crc
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM keyed WHERE kind <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS place,
+        substr(role, 1, 1) AS r, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged
+), judged AS (
+    SELECT *, CASE WHEN body = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'd'
+        WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+        lag(r) OVER (PARTITION BY conv_id ORDER BY place) AS r0 FROM placed
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+        count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+        count(*) FILTER (place > 1 AND r0 || r NOT IN ('su', 'ua', 'au')) AS illegal, max(place) AS n FROM judged GROUP BY conv_id
+), moves(edit, initial, before, after, price, writes) AS (
+    VALUES ('D', '', '', '', 3, ''), ('D', '', 's', 's', 3, ''), ('D', '', 'u', 'u', 3, ''), ('D', '', 'a', 'a', 3, ''),
+        ('K', 's', '', 's', 0, '='), ('K', 'u', '', 'u', 0, '='), ('K', 'u', 's', 'u', 0, '='), ('K', 'u', 'a', 'u', 0, '='), ('K', 'a', 'u', 'a', 0, '='),
+        ('R', '', '', 'u', 2, 'user'), ('R', '', 's', 'u', 2, 'user'), ('R', '', 'a', 'u', 2, 'user'), ('R', '', 'u', 'a', 2, 'assistant')
+), inserts(before, after, price, letters, writes) AS (
+    VALUES ('', '', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''),
+        ('', 'u', 2, 'I', chr(10) || 'user:'), ('s', 'u', 2, 'I', chr(10) || 'user:'), ('a', 'u', 2, 'I', chr(10) || 'user:'), ('u', 'a', 2, 'I', chr(10) || 'assistant:'),
+        ('', 'a', 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), ('s', 'a', 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+), walk AS (
+    SELECT conv_id, 0::BIGINT AS place, '' AS state, 0::BIGINT AS cost, '' AS audit, '' AS written FROM counted
+    UNION ALL
+    SELECT conv_id, place, state, (best).cost, (best).audit, (best).written FROM (
+        SELECT w.conv_id, j.place, m.after AS state, min({
+            'cost': w.cost + i.price + m.price + CASE WHEN m.edit <> 'D' AND j.fault = 't' THEN 1 ELSE 0 END,
+            'audit': w.audit || i.letters || m.edit,
+            'written': w.written || i.writes || CASE WHEN m.edit = 'D' THEN '' ELSE chr(10) || CASE WHEN m.edit = 'K' THEN j.role ELSE m.writes END || ':' || j.text END}) AS best
+        FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.place = w.place + 1
+        JOIN inserts i ON i.before = w.state JOIN moves m ON m.before = i.after
+        WHERE (m.edit = 'D' OR j.fault NOT IN ('b', 'd')) AND (m.edit <> 'K' OR m.initial = j.r)
+        GROUP BY w.conv_id, j.place, m.after)
+), ended AS (
+    SELECT w.conv_id, min({'cost': w.cost + i.price, 'audit': w.audit || i.letters, 'written': w.written || i.writes}) AS best
+    FROM walk w JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.place JOIN inserts i ON i.before = w.state
+    WHERE i.after IN ('', 'a') GROUP BY w.conv_id
+)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+    coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce((e.best).cost, 0) AS cost,
+    coalesce((e.best).audit, '') AS audit, sha256(coalesce((e.best).written[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+QUERIES = {
+    "op1_chat_formatting": op1_chat_formatting,
+    "op2_html_extraction": op2_html_extraction,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_quality": op4_quality,
+    "op5_packing": op5_packing,
+    "op6_license_scan": op6_license_scan,
+    "op7_benchmark_leaks": op7_benchmark_leaks,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
+    "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
+}
+ORACLES = {
+    "op1_chat_formatting": OP1_SQL,
+    "op3_minhash_near_dedup": OP3_SQL,
+    "op6_license_scan": OP6_SQL,
+    "op8_line_dedup": OP8_SQL,
+    "op9_nearest_neighbours": OP9_SQL,
+    "op11_conversation_repair": OP11_SQL,
+}
