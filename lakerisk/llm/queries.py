@@ -1,13 +1,14 @@
 """The registered queries of the operators, and their DuckDB equivalents where SQL can express them."""
 
 import hashlib
+import zlib
 
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.llm import ann, chat, leaks, licences, lines, neardup, packing, pages, quality, repair, toxicity
+from lakerisk.llm import ann, chat, leaks, licences, lines, neardup, packing, pages, periodic, quality, repair, toxicity
 from lakerisk.llm.common import held_out, stored, table
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -327,6 +328,35 @@ LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended
 """
 
 
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the texts gets a periodic end, by the CRC-32 of the id; a row without an id stays as it is."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    repeats = -(-(n - a) // period)
+    return words[:a] + (words[a:a + period] * repeats)[:n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document, a tenth of them with a planted one, and its text without repeats."""
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), planted)
+    # by length / period, compared without a division
+    ahead = lambda a, b: F.when(a["length"] * b["period"] > b["length"] * a["period"], -1).when(
+        a["length"] * b["period"] < b["length"] * a["period"], 1).when(a["start"] < b["start"], -1).when(
+        a["start"] > b["start"], 1).otherwise(F.signum(a["period"] - b["period"]).cast("int"))
+    best = F.get(F.array_sort("runs", ahead), F.lit(0))
+    listed = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_html_extraction": op2_html_extraction,
@@ -339,6 +369,7 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_toxicity": op10_toxicity,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 ORACLES = {
     "op1_chat_formatting": OP1_SQL,
