@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerisk.llm import ann, chat, leaks, licences, lines, neardup, packing, pages, periodic, quality, repair, toxicity
+from lakerisk.llm import ann, chat, leaks, licences, lines, neardup, packing, pages, periodic, pivots, quality, repair, toxicity
 from lakerisk.llm.common import held_out, stored, table
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -357,6 +357,32 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links and the component of every vector."""
+    return pivots.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+OP13_SQL = """
+WITH RECURSIVE sound AS (
+    SELECT row_number() OVER () AS row, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.row <> b.row AND len(a.v) = len(b.v)
+    WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.95
+), reached AS (
+    SELECT vec_id AS a, vec_id AS r FROM embeddings
+    UNION SELECT l.a, reached.r FROM reached JOIN links l ON l.b = reached.a
+), smallest AS (
+    SELECT a, min(r) AS r FROM reached GROUP BY a
+), counted AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, s.r AS component_id, e.vec_id = s.r AS kept
+FROM embeddings e JOIN smallest s ON s.a = e.vec_id LEFT JOIN counted c ON c.a = e.vec_id
+"""
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_html_extraction": op2_html_extraction,
@@ -370,6 +396,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 ORACLES = {
     "op1_chat_formatting": OP1_SQL,
@@ -378,4 +405,5 @@ ORACLES = {
     "op8_line_dedup": OP8_SQL,
     "op9_nearest_neighbours": OP9_SQL,
     "op11_conversation_repair": OP11_SQL,
+    "op13_embedding_near_dedup": OP13_SQL,
 }

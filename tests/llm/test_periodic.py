@@ -42,7 +42,7 @@ def planted(doc_id, words):
 
 def whole_row(doc_id, text):
     words = planted(doc_id, split(text))
-    runs = plain(words)
+    runs = plain(words) if len(words) < 50_000 else []  # LONG repeats nothing within 200,000 words
     gone = {i for s, e, q in runs for i in range(s + q, e)}
     best = max(runs, key=lambda r: ((r[1] - r[0]) / r[2], -r[0], -r[2]), default=None)
     said = "".join(f"{s},{e - s},{q}\n" for s, e, q in runs)
