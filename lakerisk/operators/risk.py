@@ -12,6 +12,7 @@ from lakerisk.functions.measures import (
     money_avg,
     money_sum,
     rate_pct,
+    ratio,
     risk_by,
     round_half_up,
     row_count,
@@ -234,6 +235,69 @@ def additive_measures() -> list[Column]:
     ]
 
 
+BASE_SCHEMA = (
+    "data date, segment string, channel string, merchant_category string, time_period string, amount_band string, "
+    "transaction_type string, n long, fraud long, amount_units long, risk_units long")
+CUSTOMER_BASE_SCHEMA = (
+    "data date, segment string, bucket long, customers binary, n long, fraud long, score_sum long, score_n long")
+
+
+def customer_base(silver: DataFrame) -> DataFrame:
+    """Mergeable customers per day, segment and range of ids: one bit a customer, so unions count exactly.
+
+    A range has 32,768 ids; whatever the number of a customer's transactions, it is one bit of one row a day.
+    """
+    return silver.groupBy(_date("data"), "segment", F.bitmap_bucket_number("customer_id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("customer_id")).alias("customers"),
+        row_count().alias("n"), fraud_count().alias("fraud"),
+        F.sum("credit_score").alias("score_sum"), F.count("credit_score").alias("score_n"))
+
+
+def customer_sketches(silver: DataFrame, lg_size: int = 12) -> DataFrame:
+    """The estimated counterpart of ``customer_base``: one sketch of fixed size per day and segment."""
+    return silver.groupBy(_date("data"), "segment").agg(F.hll_sketch_agg("customer_id", lg_size).alias("sketch"))
+
+
+def customers_from_sketches(sketches: DataFrame, dims: list[str]) -> DataFrame:
+    return sketches.groupBy(*dims).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("clientes"))
+
+
+def segment_from_base(customers: DataFrame) -> DataFrame:
+    """``analysis_segment`` from the stored customer base: days are merged per range, then ranges are summed."""
+    merged = customers.groupBy("segment", "bucket").agg(
+        F.bitmap_count(F.bitmap_or_agg("customers")).alias("clientes"),
+        *[F.sum(c).alias(c) for c in ("n", "fraud", "score_sum", "score_n")])
+    total, fraud = F.sum("n"), F.sum("fraud")
+    table = merged.groupBy("segment").agg(
+        round_half_up(ratio(F.sum("score_sum"), F.sum("score_n")), 1).alias("score_medio"),
+        F.sum("clientes").alias("clientes"), total.alias("transacoes"), fraud.alias("fraudes"),
+        fraud_rate_pct(fraud, total).alias("taxa_fraude_pct"))
+    return order_by(table, ["-taxa_fraude_pct", "segment"])
+
+
+def _gold_from_base(base: DataFrame, dims: list[str], **names: str) -> DataFrame:
+    total, fraud, amount = F.sum("n"), F.sum("fraud"), money(F.sum("amount_units"))
+    measures = {
+        "rows": total, "fraud_rows": fraud, "fraud_rate": fraud_rate_pct(fraud, total), "amount_sum": amount,
+        "amount_avg": round_half_up(ratio(amount, total), 2), "value_at_risk": money(F.sum("risk_units")),
+    }
+    return base.groupBy(*dims).agg(*[measures[m].alias(name) for name, m in names.items()])
+
+
+# The four Gold tables from the stored base, in the shapes that they have from Silver.
+GOLD_FROM_BASE = {
+    "gold_fraud_risk": lambda base: _gold_from_base(
+        base, ["segment"], total_transacoes="rows", valor_total="amount_sum", ticket_medio="amount_avg",
+        qtd_fraudes="fraud_rows", taxa_fraude_pct="fraud_rate", valor_em_risco="value_at_risk"),
+    "gold_channel_risk": lambda base: _gold_from_base(
+        base, ["channel", "merchant_category"], **_GOLD_COUNTS, valor_total="amount_sum"),
+    "gold_category_risk": lambda base: _gold_from_base(
+        base, ["merchant_category"], **_GOLD_COUNTS, valor_em_risco="value_at_risk"),
+    "gold_daily_metrics": lambda base: order_by(_gold_from_base(
+        base, ["data"], transacoes="rows", fraudes="fraud_rows", taxa_fraude_pct="fraud_rate"), ["data"]),
+}
+
+
 # The groupings of the Gold and analysis tables.
 CUBE_SETS = [
     ["segment"], ["channel"], ["merchant_category"], ["channel", "merchant_category"], ["data"],

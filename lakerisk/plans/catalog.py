@@ -10,9 +10,8 @@ from lakerisk.operators import feeds, layers, ml, ordering, quality, risk, rules
 from lakerisk.plans import incremental
 from lakerisk.plans.lake import Lake, LakePaths
 from lakerisk.schemas import (
-    AMOUNT_BANDS,
+    BRONZE_SCHEMA,
     CHANNEL_ORDER,
-    CUSTOMER_COLUMNS,
     GOLD_FRAUD_RISK_SCHEMA,
     TX_SCHEMA,
 )
@@ -129,11 +128,34 @@ def new_paths(lake: Lake) -> LakePaths:
     return LakePaths(shared_dir(lake.spark, "lake"))
 
 
-def incremental_gold(lake: Lake) -> DataFrame:
+def stored_base(lake: Lake) -> LakePaths:
+    """A lake that took Silver in two batches, the second one twice."""
     paths = new_paths(lake)
     for number, part in enumerate(split_on_day(lake.silver, "ts")):
-        incremental.incremental_gold(paths, part, f"batch-{number}")
-    return incremental.gold_from_base(incremental.read_base(lake.spark, paths), ["data", "segment"])
+        for _ in range(number + 1):
+            incremental.incremental_gold(paths, part, f"batch-{number}")
+    return paths
+
+
+def incremental_gold(lake: Lake) -> DataFrame:
+    return incremental.gold_from_base(incremental.read_base(lake.spark, stored_base(lake)), ["data", "segment"])
+
+
+def gold_from_stored_base(name: str) -> Query:
+    return lambda lake: risk.GOLD_FROM_BASE[name](incremental.read_base(lake.spark, stored_base(lake)))
+
+
+def compact_batches(lake: Lake) -> DataFrame:
+    """Silver stored in several batches and compacted, then one batch stored again."""
+    spark, paths = lake.spark, new_paths(lake)
+    silver = incremental.silver_table(spark, paths, lake.silver.schema)
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(4))
+    for number in range(4):
+        silver.replace(f"batch-{number}", lake.silver.where(part == number))
+    for year, month in incremental.months_of(silver.files()):
+        silver.compact(year, month)
+    silver.replace("batch-2", lake.silver.where(part == 2))
+    return silver.read().select(*lake.silver.columns)
 
 
 def incremental_ingest(lake: Lake) -> DataFrame:
@@ -162,24 +184,29 @@ def raw_stream(lake: Lake) -> DataFrame:
     return tables.transactions_from_events(events, tables.read_customer(lake.spark, lake.folder))
 
 
-def silver_stream(lake: Lake) -> DataFrame:
-    return stream.stream_silver(stream.stream_bronze(raw_stream(lake)), lake.customers)
-
-
 def stream_bronze(lake: Lake) -> DataFrame:
     path = shared_dir(lake.spark, "stream-bronze")
     stream.land(raw_stream(lake), path, shared_dir(lake.spark, "bronze-checkpoint"))
     return stream.read_bronze(lake.spark, path)
 
 
+def stream_rejects(lake: Lake) -> DataFrame:
+    path = shared_dir(lake.spark, "stream-rejects")
+    stream.land(raw_stream(lake), path, f"{path}/checkpoint")
+    return stream.read_rejects(lake.spark, path).select(
+        "transaction_id", F.concat_ws(",", F.array_sort("reasons")).alias("reasons"))
+
+
 def landed(lake: Lake, name: str, made: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """What is made of Silver, batch by batch."""
-    path = shared_dir(lake.spark, name)
+    spark, path = lake.spark, shared_dir(lake.spark, name)
     of_silver = lambda new: made(stream.stream_silver(new, lake.customers))
     stream.land(
         raw_stream(lake), f"{path}/landed", f"{path}/checkpoint",
         then=stream.store_batches(f"{path}/made", of_silver))
-    return lake.spark.read.parquet(f"{path}/made").drop("batch")
+    schema = of_silver(spark.createDataFrame([], BRONZE_SCHEMA)).schema
+    stored = incremental.stored_table(spark, f"{path}/made", schema)
+    return spark.createDataFrame([], schema) if stored is None else stored.select(*schema.fieldNames())
 
 
 def stream_silver(lake: Lake) -> DataFrame:
@@ -187,9 +214,13 @@ def stream_silver(lake: Lake) -> DataFrame:
 
 
 def stream_windows(lake: Lake, length: str, slide: str | None = None) -> DataFrame:
-    """Closed windows alone, as the SQL has it; ``stream.window_parts`` gives the open ones too."""
-    windows = stream.stream_risk_windows(silver_stream(lake), length, slide)
-    return stream.run_available(windows, lake.spark, "stream-windows")
+    """All windows, open ones too, as of the last batch."""
+    path = shared_dir(lake.spark, "stream-windows")
+    silver_of = lambda new: stream.stream_silver(new, lake.customers)
+    stream.land(
+        raw_stream(lake), f"{path}/landed", f"{path}/checkpoint",
+        then=stream.upsert_windows(f"{path}/windows", silver_of, length, slide))
+    return stream.read_windows(lake.spark, f"{path}/windows")
 
 
 def stream_decision(lake: Lake) -> DataFrame:
@@ -200,7 +231,8 @@ def stream_gold_upsert(lake: Lake) -> DataFrame:
     paths, path = new_paths(lake), shared_dir(lake.spark, "upsert")
     stream.land(
         raw_stream(lake), f"{path}/landed", f"{path}/checkpoint",
-        then=lambda new, name: incremental.incremental_gold(paths, stream.stream_silver(new, lake.customers), f"stream-{name}"))
+        then=lambda new, name, number: incremental.incremental_gold(
+            paths, stream.stream_silver(new, lake.customers), f"stream-{name}-{number}"))
     return incremental.gold_from_base(incremental.read_base(lake.spark, paths), ["data", "segment"])
 
 
@@ -387,12 +419,17 @@ QUERIES: dict[str, Query] = {
     # Streams
     "stream_bronze": stream_bronze,
     "stream_silver": stream_silver,
+    "stream_rejects": stream_rejects,
     "stream_risk_windows": lambda lake: stream_windows(lake, "1 day"),
     "stream_risk_windows_sliding": lambda lake: stream_windows(lake, "12 hours", "6 hours"),
     "stream_decision": stream_decision,
     "stream_gold_upsert": stream_gold_upsert,
     # Incremental maintenance
     "incremental_gold": incremental_gold,
+    **{f"{name}_from_base": gold_from_stored_base(name) for name in risk.GOLD_FROM_BASE},
+    "analysis_segment_from_base": lambda lake: risk.segment_from_base(
+        incremental.read_customer_base(lake.spark, stored_base(lake))),
+    "compact_batches": compact_batches,
     "incremental_ingest": incremental_ingest,
     "compact_partition": compact_partition,
 }

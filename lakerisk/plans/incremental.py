@@ -1,25 +1,26 @@
-"""Incremental maintenance: land new rows, refresh touched days of Gold, compact a month."""
+"""Incremental maintenance: land new rows, refresh touched days of Gold, Gold tables from the stored base, compaction."""
 
 import math
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakerisk.functions.derive import add_raw_date_parts
 from lakerisk.functions.measures import fraud_rate_pct
-from lakerisk.operators.risk import additive_base, additive_measures
+from lakerisk.operators.risk import BASE_SCHEMA, CUSTOMER_BASE_SCHEMA, additive_base, additive_measures, customer_base
 from lakerisk.plans.lake import LakePaths
 from lakerisk.schemas import RAW_COLUMNS
 from lakerisk.session import shared_dir
 from lakerisk.sources.files import remove_partition, replace_partitions
+from lakerisk.sources.versions import VersionedTable, months_of, unseen
 
 MONTH = ["year", "month"]
 
 
-def stored_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+def stored_table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame | None:
     """The stored rows, or None before anything was stored."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -29,11 +30,6 @@ def stored_table(spark: SparkSession, path: str, schema: StructType) -> DataFram
         raise
 
 
-def months_of(df: DataFrame) -> list[tuple[int, int]]:
-    """The distinct months of ``df``: a list no longer than the calendar it covers."""
-    return [(r["year"], r["month"]) for r in df.select(*MONTH).distinct().collect()]
-
-
 def in_months(df: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
     """Rows of the listed partitions, by a predicate the scan can prune with; a month may be missing."""
     wanted = F.lit(False)
@@ -43,79 +39,78 @@ def in_months(df: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
     return df.filter(wanted)
 
 
+def in_span(column: str, rows: DataFrame) -> Column:
+    """Rows within the time span of ``rows``, or without a time: a filter that prunes row groups."""
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        return F.col(column).isNull()
+    return F.col(column).isNull() | F.col(column).between(F.lit(low), F.lit(high))
+
+
 def incremental_ingest(path: str, new_raw: DataFrame) -> None:
-    """Append to partitioned Raw the rows of ``new_raw`` that are not there yet.
+    """Append to partitioned Raw the rows of ``new_raw`` that are not there yet, each of them once.
 
     A row is new when no stored row equals it in every column, so a later, different version of an
-    id is kept and a repeated delivery adds nothing. Equal rows share their month, so only the
-    touched months are read back.
+    id is kept and a repeated delivery adds nothing. Equal rows share their time: only the row groups of
+    the touched months that lie in the delivery's time span are read back, and rows are compared where id and hash
+    agree. Rows are written in the order of their time, so that a delivery of a day meets that day alone.
     """
     spark = new_raw.sparkSession
     # Written once, so that the months, the comparison and the append read the same delivery.
     staged_path = shared_dir(spark, "delivery")
-    add_raw_date_parts(new_raw).write.parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
+    parted = add_raw_date_parts(new_raw)
+    parted.write.parquet(staged_path)
+    staged = spark.read.schema(parted.schema).parquet(staged_path)
     stored, fresh = stored_table(spark, path, staged.schema), staged
     if stored is not None:
-        touched = in_months(stored, months_of(staged))
-        seen = touched.select(*[F.col(c).alias(f"seen_{c}") for c in RAW_COLUMNS])
-        same = None
-        for c in RAW_COLUMNS:
-            equal = F.col(c).eqNullSafe(F.col(f"seen_{c}"))
-            same = equal if same is None else same & equal
-        fresh = staged.join(seen, same, "left_anti")
+        touched = in_months(stored, months_of(staged)).filter(in_span("timestamp", staged))
+        fresh = unseen(staged, touched, RAW_COLUMNS)
     (
-        fresh.hint("rebalance", *MONTH).write.mode("append").option("compression", "zstd")
-        .partitionBy(*MONTH).parquet(path)
+        fresh.hint("rebalance", *MONTH).sortWithinPartitions(*MONTH, "timestamp")
+        .write.mode("append").option("compression", "zstd").partitionBy(*MONTH).parquet(path)
     )
 
 
+def silver_table(spark: SparkSession, paths: LakePaths, schema: StructType | None = None) -> VersionedTable | None:
+    path = silver_and_base(paths)[0]
+    return VersionedTable.open(spark, path) or (schema and VersionedTable(spark, path, schema))
+
+
 def incremental_gold(paths: LakePaths, new_silver: DataFrame, batch: str) -> None:
     """Store a batch of Silver rows and refresh the additive Gold base for the days it touches.
 
     A batch stored again replaces its old version, months included that the new version lacks. The days
-    of both versions are recomputed from all stored Silver of those days, late rows and rows without a
+    of both versions are recomputed from the stored Silver files that hold them, late rows and rows without a
     time included, and replace the old ones. The days are noted in the lake before anything is replaced
     and forgotten at the end, so a call repeated after a failure ends in the same tables.
     """
     if not re.fullmatch(r"[\w.-]+", batch):
         raise ValueError(f"a batch name is a folder name: {batch!r}")
     spark = new_silver.sparkSession
-    silver_path, base_path = silver_and_base(paths)
-    schema = StructType([*new_silver.schema.fields]).add("batch", "string")
+    base_path, people_path = silver_and_base(paths)[1], customers_path(paths)
     staged_path = shared_dir(spark, "batch")
-    new_silver.withColumn("batch", F.lit(batch)).write.parquet(staged_path)
-    staged = spark.read.schema(schema).parquet(staged_path)
-
-    days = lambda rows: rows.select(F.to_date("ts").alias("touched"), *MONTH).distinct()
-    before = stored_table(spark, silver_path, schema)
-    touched, old_months = days(staged), []
-    if before is not None:
-        before = before.filter(F.col("batch") == batch)
-        old_months = months_of(before)
-        touched = touched.unionByName(days(before))
+    new_silver.write.parquet(staged_path)
+    staged = spark.read.schema(new_silver.schema).parquet(staged_path)
+    silver = silver_table(spark, paths, new_silver.schema)
+
+    days = lambda rows: rows.select(F.to_date("ts").alias("touched")).distinct()
+    before = silver.files().where(F.array_contains("batches", batch))
+    touched = days(staged).unionByName(days(silver.read(before).where(F.col("batch") == batch)))
     noted_path = paths.layer("gold", f"touched_days/{batch}")
     touched.coalesce(1).write.mode("append").parquet(noted_path)  # one row per day of the batch
     noted = spark.read.schema(touched.schema).parquet(noted_path).distinct()
 
-    replace_partitions(staged, silver_path, MONTH + ["batch"])
-    for year, month in set(old_months) - set(months_of(staged)):
-        remove_partition(spark, silver_path, {"year": year, "month": month, "batch": batch})
-    all_days = {row["touched"] for row in noted.select("touched").collect()}
-    stored = stored_table(spark, silver_path, schema)
-    if stored is not None and all_days:
-        known = sorted(day for day in all_days if day is not None)
-        in_span = F.col("ts").isNull()
-        if known:  # the months prune folders and the span prunes row groups; the days decide
-            in_span = in_span | F.col("ts").between(
-                F.lit(str(known[0])).cast("timestamp_ntz"), F.lit(f"{known[-1]} 23:59:59.999999").cast("timestamp_ntz"))
-        current = in_months(stored, months_of(noted)).filter(in_span).withColumn("data", F.to_date("ts"))
-        wanted = F.broadcast(noted.select("touched").distinct())
-        current = current.join(wanted, F.col("data").eqNullSafe(F.col("touched")), "left_semi")
+    silver.replace(batch, staged)
+    all_days = {row["touched"] for row in noted.collect()}
+    if all_days:
+        current = silver.read(silver.around(noted.withColumnRenamed("touched", "ts"), "day")).withColumn("data", F.to_date("ts"))
+        current = current.join(F.broadcast(noted), F.col("data").eqNullSafe(F.col("touched")), "left_semi")
         replace_partitions(additive_base(current), base_path, ["data"])
+        replace_partitions(customer_base(current), people_path, ["data"])
         all_days -= {row["data"] for row in current.select("data").distinct().collect()}
     for day in all_days:
         remove_partition(spark, base_path, {"data": day})
+        remove_partition(spark, people_path, {"data": day})
     remove_partition(spark, noted_path, {})
 
 
@@ -123,8 +118,22 @@ def silver_and_base(paths: LakePaths) -> tuple[str, str]:
     return paths.layer("silver", "transactions_by_month"), paths.layer("gold", "additive_base")
 
 
+def customers_path(paths: LakePaths) -> str:
+    return paths.layer("gold", "customer_base")
+
+
 def read_base(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    return spark.read.parquet(silver_and_base(paths)[1])
+    return read_by_day(spark, silver_and_base(paths)[1], BASE_SCHEMA)
+
+
+def read_customer_base(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    return read_by_day(spark, customers_path(paths), CUSTOMER_BASE_SCHEMA)
+
+
+def read_by_day(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """A table stored by day; empty before anything was stored."""
+    stored = stored_table(spark, path, schema)
+    return spark.createDataFrame([], schema) if stored is None else stored
 
 
 def gold_from_base(base: DataFrame, dims: list[str]) -> DataFrame:
@@ -135,19 +144,23 @@ def gold_from_base(base: DataFrame, dims: list[str]) -> DataFrame:
 def compact_partition(
     spark: SparkSession, path: str, year: int, month: int, target_mb: int = 256
 ) -> int:
-    """Merge the files of one month into files of about ``target_mb``; returns their number.
+    """Merge the files of one month into files of about ``target_mb``; returns their number afterwards.
 
-    The merged copy is complete in the shared folder before the month is replaced from it, so a
-    failure at any point leaves a full copy behind.
+    A table of versions gets a new version, whatever the number of batches its files came from; readers see the old
+    one or the new one. A folder of ``year=/month=`` is replaced from a copy that is complete in the shared folder
+    before, so a failure at any point leaves a full copy behind.
     """
-    table = spark.read.parquet(path)
-    partitions = [c for c in (*MONTH, "batch") if c in table.columns]  # as the writers of this module lay them out
-    old = in_months(table, [(year, month)])
+    versioned = VersionedTable.open(spark, path)
+    if versioned is not None:
+        return versioned.compact(year, month, target_mb)
+    old = in_months(spark.read.parquet(path), [(year, month)])
     sizes = old.select("_metadata.file_path", "_metadata.file_size").distinct()
-    total = sizes.agg(F.sum("file_size").alias("bytes")).first()["bytes"]
-    if total is None:
+    found = sizes.agg(F.sum("file_size").alias("bytes"), F.count("*").alias("files")).first()
+    if found["bytes"] is None:
         return 0
-    files = max(1, math.ceil(total / (target_mb * 1024 * 1024)))
+    files = max(1, math.ceil(found["bytes"] / (target_mb * 1024 * 1024)))
+    if found["files"] <= files:
+        return found["files"]
     merged_path = shared_dir(spark, "compacted")
     old.repartition(files).write.option("compression", "zstd").parquet(merged_path)
     merged = spark.read.parquet(merged_path)
@@ -156,6 +169,6 @@ def compact_partition(
     (
         merged.coalesce(files).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
-        .partitionBy(*partitions).parquet(path)
+        .partitionBy(*MONTH).parquet(path)
     )
     return files

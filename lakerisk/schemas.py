@@ -38,6 +38,9 @@ GOLD_FRAUD_RISK_SCHEMA = T.StructType([
     T.StructField("valor_em_risco", T.DoubleType()),
 ])
 
+# Bronze holds the raw columns, with the timestamp under its short name.
+BRONZE_SCHEMA = T.StructType([T.StructField("ts" if f.name == "timestamp" else f.name, f.dataType) for f in TX_SCHEMA.fields])
+
 RAW_COLUMNS = TX_SCHEMA.fieldNames()
 BRONZE_COLUMNS = ["ts" if c == "timestamp" else c for c in RAW_COLUMNS]
 CUSTOMER_COLUMNS = CUSTOMER_SCHEMA.fieldNames()

@@ -10,20 +10,22 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from lakerisk.functions.derive import utc_instant, utc_wall_clock
 from lakerisk.functions.measures import fraud_count, fraud_rate_pct, row_count
 from lakerisk.operators.layers import distinct_rows, project_transactions, silver_transactions
 from lakerisk.operators.ml import assemble
 from lakerisk.operators.rules import STRICT, Rules, apply_rules, broken_rules
-from lakerisk.plans.incremental import MONTH, in_months, incremental_gold, months_of, stored_table
+from lakerisk.plans.incremental import incremental_gold, stored_table
 from lakerisk.plans.lake import LakePaths
-from lakerisk.schemas import BRONZE_COLUMNS
+from lakerisk.schemas import BRONZE_COLUMNS, BRONZE_SCHEMA, RAW_COLUMNS, TX_SCHEMA
 from lakerisk.session import shared_dir
 from lakerisk.sources.files import replace_partitions
-
+from lakerisk.sources.versions import VersionedTable, unseen
 
 EVENT_TIME = "event_time"
+REJECT_SCHEMA = StructType([*TX_SCHEMA.fields, StructField("reasons", ArrayType(StringType()))])
 
 
 def stream_bronze(
@@ -51,44 +53,44 @@ def stream_bronze(
     return timed.dropDuplicatesWithinWatermark(key)
 
 
+def bronze_table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, f"{path}/bronze", BRONZE_SCHEMA)
+
+
+def rejects_table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, f"{path}/rejects", REJECT_SCHEMA, "timestamp")
+
+
 def land(
     raw: DataFrame, path: str, checkpoint: str, rules: Rules = STRICT,
-    then: Callable[[DataFrame, str], None] | None = None,
+    then: Callable[[DataFrame, str, int], None] | None = None,
 ) -> None:
     """Work off the available stream into stored Bronze under ``path``: the batch distinct, however late a row is.
 
-    Each micro-batch is compared in every column with the stored rows of the months it touches; equal rows share
-    their month, so nothing else has to be read. ``then`` gets the new rows of a batch and its name. A retried
-    batch replaces itself. ``read_account`` tells what became of the raw rows. One stream writes to a path.
+    Equal rows share their time, so a micro-batch is compared with the stored files that touch its hours and with
+    nothing else: what it reads follows its own rows, not the months they fall in. Rows that break a rule are stored
+    beside Bronze with their reasons. ``then`` gets the new rows of a batch, the stream's id and the batch's number.
+    A retried batch replaces itself. ``read_account`` tells what became of the raw rows. One stream writes to a path.
     """
-    bronze_path, account_path = f"{path}/bronze", f"{path}/account"
-
     def body(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        name = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        name = f"{stream}-{number}"
         staged_path = shared_dir(spark, "landing")  # read several times below
-        marked = batch.withColumn("_broken", F.size(broken_rules(rules)) > 0)
+        marked = batch.select(*RAW_COLUMNS).withColumn("reasons", broken_rules(rules))
         marked.write.parquet(staged_path)
         staged = spark.read.schema(marked.schema).parquet(staged_path)
-        rows = distinct_rows(project_transactions(staged.filter("NOT _broken")))
-        rows = rows.withColumns({"year": F.year("ts"), "month": F.month("ts"), "batch": F.lit(name)})
-        stored, fresh = stored_table(spark, bronze_path, rows.schema), rows
-        if stored is not None:
-            seen = in_months(stored, months_of(rows)).filter(F.col("batch") != name)
-            seen = seen.select(*[F.col(c).alias(f"seen_{c}") for c in BRONZE_COLUMNS])
-            same = F.lit(True)
-            for c in BRONZE_COLUMNS:
-                same = same & F.col(c).eqNullSafe(F.col(f"seen_{c}"))
-            fresh = rows.join(seen, same, "left_anti")
-        replace_partitions(fresh, bronze_path, MONTH + ["batch"])
-        stored = stored_table(spark, bronze_path, rows.schema)
-        new = rows.limit(0) if stored is None else in_months(stored, months_of(rows)).filter(F.col("batch") == name)
-        new = new.select(*BRONZE_COLUMNS)
-        counts = staged.agg(F.count("*").alias("raw"), F.count_if("_broken").alias("rejects"))
+        rows = distinct_rows(project_transactions(staged.filter("size(reasons) = 0")))
+        bronze, rejects = bronze_table(spark, path), rejects_table(spark, path)
+        seen = bronze.read(bronze.around(rows)).filter(F.col("batch") != name)
+        bronze.replace(name, unseen(rows, seen, BRONZE_COLUMNS))
+        rejects.replace(name, staged.filter("size(reasons) > 0"))
+        new = bronze.read(bronze.files().where(F.array_contains("batches", name))).filter(F.col("batch") == name).select(*BRONZE_COLUMNS)
+        counts = staged.agg(F.count("*").alias("raw"), F.count_if(F.size("reasons") > 0).alias("rejects"))
         account = counts.crossJoin(new.agg(F.count("*").alias("emitted")))
-        replace_partitions(account.withColumn("batch", F.lit(name)), account_path, ["batch"])
+        replace_partitions(account.withColumn("batch", F.lit(name)), f"{path}/account", ["batch"])
         if then:
-            then(new, name)
+            then(new, stream, number)
 
     query = (
         raw.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
@@ -98,23 +100,53 @@ def land(
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/bronze").select(*BRONZE_COLUMNS)
+    return bronze_table(spark, path).read().select(*BRONZE_COLUMNS)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that Bronze left out, as often as they came, with the list of their reasons."""
+    return rejects_table(spark, path).read().select(*RAW_COLUMNS, "reasons")
 
 
 def read_account(spark: SparkSession, path: str) -> DataFrame:
     """One row: ``raw = emitted + copies + rejects``. No row is dropped for being late."""
-    sums = [F.sum(c).alias(c) for c in ("raw", "emitted", "rejects")]
-    return spark.read.parquet(f"{path}/account").agg(*sums).withColumn("copies", F.expr("raw - emitted - rejects"))
+    stored = stored_table(spark, f"{path}/account", StructType.fromDDL("raw long, rejects long, emitted long, batch string"))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("raw", "emitted", "rejects")]
+    rows = spark.createDataFrame([], "raw long, emitted long, rejects long") if stored is None else stored
+    return rows.agg(*sums).withColumn("copies", F.expr("raw - emitted - rejects"))
 
 
-def store_batches(path: str, made: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, str], None]:
+def store_batches(path: str, made: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, str, int], None]:
     """A ``then`` of ``land`` that stores what is made of the new rows of each batch."""
-    def store(new: DataFrame, name: str) -> None:
-        replace_partitions(made(new).withColumn("batch", F.lit(name)), path, ["batch"])
+    def store(new: DataFrame, stream: str, number: int) -> None:
+        replace_partitions(made(new).withColumn("batch", F.lit(f"{stream}-{number}")), path, ["batch"])
 
     return store
 
 
+def windows_table(spark: SparkSession, path: str, by: str = "segment") -> VersionedTable:
+    return VersionedTable(spark, path, StructType.fromDDL(f"inicio timestamp_ntz, fim timestamp_ntz, {by} string, n long, f long"), "inicio")
+
+
+def upsert_windows(
+    path: str, silver_of: Callable[[DataFrame], DataFrame], length: str, slide: str | None = None, by: str = "segment",
+) -> Callable[[DataFrame, str, int], None]:
+    """A ``then`` of ``land`` that keeps one row per window and key, open and late windows too.
+
+    The counts of the windows that the new rows touch are added to the stored rows, of the windows' months alone; the
+    batch's number becomes part of the same version, so a retried batch counts once.
+    """
+    def upsert(new: DataFrame, stream: str, number: int) -> None:
+        parts = window_parts(silver_of(new), length, slide, by)
+        windows_table(new.sparkSession, path, by).merge(stream, number, parts, ["inicio", "fim", by], ["n", "f"])
+
+    return upsert
+
+
+def read_windows(spark: SparkSession, path: str, by: str = "segment") -> DataFrame:
+    return windows_from_parts(windows_table(spark, path, by).read(), by)
+
+
 def window_parts(silver: DataFrame, length: str, slide: str | None = None, by: str = "segment") -> DataFrame:
     """Additive counts of the windows that these rows touch, late ones included."""
     return (

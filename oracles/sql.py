@@ -22,6 +22,7 @@ GOLD_FRAUD_RISK = by("segment", (
     f"{N} AS total_transacoes, {MONEY} AS valor_total, {TICKET} AS ticket_medio, "
     f"{FRAUD} AS qtd_fraudes, {RATE} AS taxa_fraude_pct, {LOST} AS valor_em_risco"))
 GOLD_CHANNEL = by("channel, merchant_category", f"{GOLD_RATED}, {MONEY} AS valor_total")
+GOLD_CATEGORY = by("merchant_category", f"{GOLD_RATED}, {LOST} AS valor_em_risco")
 GOLD_DAILY = by("CAST(ts AS DATE) AS data",
                 f"{N} AS transacoes, {FRAUD} AS fraudes, {RATE} AS taxa_fraude_pct")
 DAILY_YMD = by("year, month, day", f"{N} AS transacoes, {FRAUD} AS fraudes")
@@ -58,6 +59,8 @@ SELECT transaction_id, unnest([
   CASE WHEN NOT COALESCE(status IN ('approved', 'declined'), FALSE) THEN 'status_in' END
 ]) AS reason, rid
 FROM (SELECT *, row_number() OVER () AS rid FROM raw_transactions)"""
+REJECT_ROWS = f"""SELECT transaction_id, string_agg(reason, ',' ORDER BY reason) AS reasons
+    FROM ({REASONS}) WHERE reason IS NOT NULL GROUP BY rid, transaction_id"""
 
 FEATURES = """features AS (
   SELECT transaction_id, amount, risk_score, credit_score, segment, channel, merchant_category,
@@ -132,18 +135,15 @@ GROUP BY GROUPING SETS ((segment), (channel), (merchant_category), (channel, mer
 DAILY_SEGMENT = by("CAST(ts AS DATE) AS data, segment",
                    f"{RATED}, {MONEY} AS valor_total, {LOST} AS valor_em_risco")
 
-CLOSED = "(SELECT date_trunc('milliseconds', MAX(ts)) - INTERVAL 1 HOUR FROM bronze)"
 WINDOWS = f"""
 SELECT inicio, inicio + INTERVAL 1 DAY AS fim, segment, {N} AS transacoes, {FRAUD} AS fraudes,
   {RATE} AS taxa_fraude_pct
-FROM (SELECT *, date_trunc('day', ts) AS inicio FROM facts)
-WHERE inicio + INTERVAL 1 DAY <= {CLOSED} GROUP BY inicio, segment"""
+FROM (SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS inicio FROM facts) GROUP BY inicio, segment"""
 SLIDING = f"""
 SELECT inicio, inicio + INTERVAL 12 HOUR AS fim, segment, {N} AS transacoes, {FRAUD} AS fraudes,
   {RATE} AS taxa_fraude_pct
 FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, ts) - back * INTERVAL 6 HOUR AS inicio
-      FROM facts, (SELECT unnest([0, 1]) AS back))
-WHERE inicio + INTERVAL 12 HOUR <= {CLOSED} GROUP BY inicio, segment"""
+      FROM facts, (SELECT unnest([0, 1]) AS back)) GROUP BY inicio, segment"""
 
 RAW = "SELECT * FROM raw_transactions"
 DIM_JOIN = ("SELECT b.*, c.name, c.created_at FROM bronze b "
@@ -221,8 +221,7 @@ _QUERIES: dict[str, str] = {
         WHERE customer_segment IS NULL""",
     "bronze_rejects": f"""SELECT reason, COUNT(*) AS rows FROM ({REASONS})
         WHERE reason IS NOT NULL GROUP BY reason""",
-    "bronze_reject_rows": f"""SELECT transaction_id, string_agg(reason, ',' ORDER BY reason) AS reasons
-        FROM ({REASONS}) WHERE reason IS NOT NULL GROUP BY rid, transaction_id""",
+    "bronze_reject_rows": REJECT_ROWS,
     # Layers
     "bronze_transactions": "SELECT * FROM bronze",
     "bronze_tx_lab": "SELECT * FROM bronze_lab",
@@ -242,7 +241,7 @@ _QUERIES: dict[str, str] = {
     # Aggregations
     "gold_fraud_risk": GOLD_FRAUD_RISK,
     "gold_channel_risk": GOLD_CHANNEL,
-    "gold_category_risk": by("merchant_category", f"{GOLD_RATED}, {LOST} AS valor_em_risco"),
+    "gold_category_risk": GOLD_CATEGORY,
     "gold_daily_metrics": GOLD_DAILY,
     "gold_daily_ymd": DAILY_YMD,
     "analysis_segment": SEGMENT,
@@ -356,12 +355,19 @@ _QUERIES: dict[str, str] = {
     "stream_silver": "SELECT * FROM silver",
     "stream_risk_windows": WINDOWS,
     "stream_risk_windows_sliding": SLIDING,
+    "stream_rejects": REJECT_ROWS,
     "stream_decision": """SELECT transaction_id, ts, risk_score AS score,
         CASE WHEN risk_score >= 90 THEN 'deny' WHEN risk_score >= 60 THEN 'review'
              ELSE 'approve' END AS decisao FROM silver""",
     "stream_gold_upsert": DAILY_SEGMENT,
     # Incremental maintenance
     "incremental_gold": DAILY_SEGMENT,
+    "gold_fraud_risk_from_base": GOLD_FRAUD_RISK,
+    "gold_channel_risk_from_base": GOLD_CHANNEL,
+    "gold_category_risk_from_base": GOLD_CATEGORY,
+    "gold_daily_metrics_from_base": GOLD_DAILY,
+    "analysis_segment_from_base": SEGMENT,
+    "compact_batches": "SELECT * FROM silver",
     "incremental_ingest": "SELECT * FROM raw_parts",
     "compact_partition": "SELECT * FROM raw_parts",
 }
