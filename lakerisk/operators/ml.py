@@ -50,10 +50,45 @@ def index_categories(df: DataFrame) -> DataFrame:
     return indexed
 
 
+HASH_BITS = 60  # of the id's digest: fifteen hexadecimal digits
+STEP_BITS = 12  # narrowed down per pass: a class's histogram has 4,096 rows
+
+
+def _hashed(id_column: str, salt: int) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(str(salt)), F.col(id_column).cast("string")))
+
+
 def _hash_bucket(id_column: str, salt: int) -> Column:
     """A number below 10000 that depends on nothing but the id and the salt."""
-    text = F.concat_ws(":", F.lit(str(salt)), F.col(id_column).cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 10000
+    return F.conv(F.substring(_hashed(id_column, salt), 1, 8), 16, 10).cast("bigint") % 10000
+
+
+def exact_cuts(hashed: DataFrame, label: str, test_fraction: float) -> DataFrame:
+    """Per class the hash of its ``round(test_fraction * rows)``-th row in the order of ``hash``: column ``cut``.
+
+    The place is narrowed down by ``STEP_BITS`` a pass: counts per leading bits, of the rows that share the bits found
+    before, tell in which piece it lies and how many rows of that piece are wanted. No pass sorts rows or gathers them.
+    A class of no wanted rows has the cut -1.
+    """
+    spark = hashed.sparkSession
+    wanted = {r[label]: round(test_fraction * r["n"]) for r in hashed.groupBy(label).agg(row_count().alias("n")).collect()}
+    found = {value: 0 for value in wanted}  # the leading bits so far
+    for left in range(HASH_BITS - STEP_BITS, -1, -STEP_BITS):
+        path = F.shiftright("hash", left)
+        inside = F.lit(False)
+        for value, bits in found.items():
+            inside = inside | (F.col(label).eqNullSafe(F.lit(value)) & (F.shiftright(path, STEP_BITS) == bits))
+        counts = hashed.filter(inside).groupBy(label, path.alias("bits")).agg(row_count().alias("n")).orderBy("bits").collect()
+        for value in found:
+            rest = wanted[value]
+            for row in (r for r in counts if r[label] == value):
+                found[value] = row["bits"]
+                if rest <= row["n"]:
+                    break
+                rest -= row["n"]
+            wanted[value] = rest
+    cuts = [(value, -1 if wanted[value] <= 0 else bits) for value, bits in found.items()]
+    return spark.createDataFrame(cuts, f"`{label}` {dict(hashed.dtypes)[label]}, cut long")
 
 
 def stratified_split(
@@ -62,20 +97,18 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``is_test``. The share per class is close to ``test_fraction`` without any shuffle.
 
-    A row's side depends on its id alone, so retried tasks and later runs agree. ``exact`` moves
-    the cut of each class to that class's own quantile of the hash.
+    A row's side depends on its id alone, so retried tasks and later runs agree. ``exact`` cuts each class at the
+    hash of the row that makes the share exact; rows of one id, whose hash is the same, stay together.
     """
-    bucket = _hash_bucket(id_column, salt)
     if not exact:
-        return df.withColumn("is_test", bucket < int(test_fraction * 10000))
-    hashed = df.withColumn("bucket", bucket)
-    cuts = hashed.groupBy(label).agg(
-        F.percentile_approx("bucket", test_fraction, 100000).alias("cut"))
+        return df.withColumn("is_test", _hash_bucket(id_column, salt) < int(test_fraction * 10000))
+    hashed = df.withColumn("hash", F.conv(F.substring(_hashed(id_column, salt), 1, HASH_BITS // 4), 16, 10).cast("bigint"))
+    cuts = exact_cuts(hashed.select(label, "hash"), label, test_fraction).withColumnRenamed(label, "_class")
     # One row per class.
     return (
-        hashed.join(F.broadcast(cuts), label)
-        .withColumn("is_test", F.col("bucket") <= F.col("cut"))
-        .drop("bucket", "cut")
+        hashed.join(F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_class")))
+        .withColumn("is_test", F.coalesce(F.col("hash") <= F.col("cut"), F.lit(False)))
+        .drop("hash", "cut", "_class")
     )
 
 

@@ -1,6 +1,6 @@
 """Counts, profiles and checks on the layers."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakerisk.functions.measures import rate_pct, row_count
@@ -22,6 +22,29 @@ def layer_counts(raw: DataFrame, bronze: DataFrame, silver: DataFrame) -> DataFr
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+class Counted:
+    """Counts of frames on the way through the job that uses them; no frame is read again to be counted.
+
+    ``through(name, df)`` stands for ``df`` in a plan. After that plan's job, ``counts`` has the rows that passed, also where
+    a stage had to run again: an observed metric of a task counts once. A frame that the job did not need, such as one
+    side of a join whose other side turned out empty, counts as not seen and is missing from ``counts``.
+    """
+
+    def __init__(self):
+        self._seen: dict[str, Observation] = {}
+
+    def through(self, name: str, df: DataFrame) -> DataFrame:
+        self._seen[name] = Observation(name)
+        return df.observe(self._seen[name], row_count().alias("rows"))
+
+    def counts(self) -> dict[str, int]:
+        return {name: seen.get["rows"] for name, seen in self._seen.items() if seen.get.get("rows") is not None}
+
+
+def counts_table(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame(list(counts.items()), "layer string, rows long")
+
+
 def silver_vs_bronze(silver: DataFrame, bronze: DataFrame) -> DataFrame:
     counted = bronze.agg(row_count().alias("bronze")).scalar()
     return silver.agg(row_count().alias("silver")).withColumn("bronze", counted)

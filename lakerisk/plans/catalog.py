@@ -1,12 +1,15 @@
 """Every operator as a named query over the given tables."""
 
+import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakerisk.functions import derive, measures
-from lakerisk.operators import feeds, layers, ml, ordering, quality, risk, rules
+from lakerisk.functions.measures import row_count
+from lakerisk.operators import deploy, feeds, layers, ml, ordering, quality, risk, rules
 from lakerisk.plans import incremental
 from lakerisk.plans.lake import Lake, LakePaths
 from lakerisk.schemas import (
@@ -103,6 +106,29 @@ def scan_month_pruned(lake: Lake) -> DataFrame:
     return risk.fraud_for_month(stored_raw_parts(lake), files.month_range((2024, 1), (2024, 1)))
 
 
+def stored_orders(lake: Lake) -> DataFrame:
+    """The given orders by month: some eighty folders."""
+    path = shared_dir(lake.spark, "orders-by-month")
+    orders = lake.spark.read.parquet(f"{lake.folder}/orders.parquet")
+    parts = orders.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
+    files.write_raw_partitioned(parts, path)
+    return lake.spark.read.parquet(path)
+
+
+def orders_of_quarter(orders: DataFrame, quarter: int) -> DataFrame:
+    """Orders and money per month of one quarter of every year, chosen by a calendar that is itself derived."""
+    calendar = orders.sparkSession.sql("SELECT explode(sequence(DATE'1990-01-01', DATE'2030-12-01', INTERVAL 1 MONTH)) AS day")
+    months = calendar.filter(F.quarter("day") == quarter).select(F.year("day").alias("year"), F.month("day").alias("month"))
+    return files.in_calendar(orders, months).groupBy("year", "month").agg(
+        row_count().alias("orders"), measures.money_sum(F.col("o_totalprice")).alias("total"))
+
+
+def scan_orders_days(lake: Lake) -> DataFrame:
+    """Orders of a span of days, whose month folders alone are read."""
+    days = files.dates_range(dt.date(1995, 11, 20), dt.date(1996, 2, 10), "o_orderdate")
+    return stored_orders(lake).filter(days).groupBy("year", "month").agg(row_count().alias("orders"))
+
+
 def table_replace(lake: Lake) -> DataFrame:
     """Store a table and rebuild it under the same name: the rows do not add up."""
     path = shared_dir(lake.spark, "replaced")
@@ -117,6 +143,15 @@ def ctas_parquet(lake: Lake) -> DataFrame:
         risk.gold_fraud_risk(lake.silver), name, path, as_table=True, two_step=True)
 
 
+def counted_layers(lake: Lake) -> DataFrame:
+    """Rows of Raw, Bronze and Silver, counted while Silver is written: one pass for all three."""
+    seen = quality.Counted()
+    bronze = seen.through("bronze", layers.bronze_transactions(seen.through("raw", lake.raw)))
+    silver = seen.through("silver", layers.silver_transactions(bronze, lake.customers))
+    files.write_layer(silver, shared_dir(lake.spark, "counted-silver"))
+    return quality.counts_table(lake.spark, {"raw": 0, "bronze": 0, "silver": 0} | seen.counts())
+
+
 # Incremental maintenance
 
 def split_on_day(df: DataFrame, ts: str) -> tuple[DataFrame, DataFrame]:
@@ -238,21 +273,89 @@ def stream_gold_upsert(lake: Lake) -> DataFrame:
 
 # Models
 
+def test_scores(lake: Lake, kind: str) -> DataFrame:
+    """The test rows' scores by one model."""
+    inputs = ml.stored_inputs(lake.silver)
+    model = deploy.fit(inputs, kind)
+    return deploy.scored(inputs.filter("is_test"), model).select(
+        "transaction_id", "label", F.col(deploy.PROBABILITY).alias("score"))
+
+
+def batch_score(lake: Lake) -> DataFrame:
+    inputs = ml.stored_inputs(lake.silver)
+    rows = deploy.scored(inputs, deploy.fit(inputs, "logistic"))
+    return ml.review_queue(rows.select("transaction_id", "label", F.col(deploy.PROBABILITY).alias("score")))
+
+
 def fitted(lake: Lake, kind: str):
-    train, test = ml.split_sides(ml.training_table(lake.silver))
-    model = ml.fit_logistic(train) if kind == "logistic" else ml.fit_forest(train)
-    return model, test
+    return deploy.fit(ml.stored_inputs(lake.silver), kind)
 
 
-def ml_scored(lake: Lake, kind: str) -> DataFrame:
-    model, test = fitted(lake, kind)
-    return ml.score_transactions(test, model)
+def stream_model_decision(lake: Lake) -> DataFrame:
+    """A model trained on Silver, stored, read back and applied to the stream."""
+    folder = shared_dir(lake.spark, "models")
+    deploy.save(fitted(lake, "logistic"), folder, 1)
+    model = deploy.load(lake.spark, folder)
+    return landed(lake, "stream-model", lambda silver: stream.stream_deployed_decision(silver, model))
 
 
-def batch_score(lake: Lake) -> DataFrame:
-    table = ml.training_table(lake.silver)
-    train, _ = ml.split_sides(table)
-    return ml.review_queue(ml.score_transactions(table, ml.fit_logistic(train)))
+# What holds exactly of models that SQL cannot fit
+
+def score_facts(lake: Lake, kind: str) -> DataFrame:
+    """Every test row once, its label, and that its score is a probability."""
+    return test_scores(lake, kind).select("transaction_id", "label", F.col("score").between(0.0, 1.0).alias("probability"))
+
+
+def threshold_facts(lake: Lake) -> DataFrame:
+    rows = ml.predict(test_scores(lake, "logistic"))
+    return rows.select("transaction_id", (F.col("predicted") == F.when(F.col("score") >= 0.5, 1).otherwise(0)).alias("by_threshold"))
+
+
+def gradient_facts(lake: Lake) -> DataFrame:
+    """At the optimum no coefficient can be improved."""
+    inputs = ml.stored_inputs(lake.silver)
+    slopes = deploy.gradient(inputs.filter(~F.col("is_test")), deploy.fit(inputs, "logistic"))
+    return slopes.select("feature", (F.abs("gradient") < 1e-3).alias("at_optimum"))
+
+
+def importance_facts(lake: Lake) -> DataFrame:
+    found = ml.importances(lake.spark, fitted(lake, "forest"))
+    return found.agg(row_count().alias("features"), F.round(F.sum("importance"), 9).alias("total"), (F.min("importance") >= 0).alias("none_negative"))
+
+
+def metric_facts(lake: Lake) -> DataFrame:
+    """The area of each model by our count equals that of Spark's evaluator."""
+    _, _, scores = deploy.score_sides(lake.silver)
+    out = []
+    for kind, name in deploy.KINDS.items():
+        evaluator = BinaryClassificationEvaluator(rawPredictionCol=kind, labelCol="label", numBins=0)
+        ours = ml.roc_auc(scores, kind, "label").first()["auc"]
+        out.append((name, abs(ours - evaluator.evaluate(scores)) < 1e-9))
+    return lake.spark.createDataFrame(out, "modelo string, equal boolean")
+
+
+def batch_score_facts(lake: Lake) -> DataFrame:
+    """Every row of Silver is scored once, and a part of the rows gets the same scores as the whole."""
+    inputs = ml.stored_inputs(lake.silver)
+    model = deploy.fit(inputs, "logistic")
+    score = lambda rows: deploy.scored(rows, model).select("transaction_id", deploy.PROBABILITY)
+    part = score(inputs.filter("channel = 'web'")).withColumnRenamed(deploy.PROBABILITY, "alone").distinct()
+    return (
+        score(inputs).join(part, "transaction_id", "left").groupBy("transaction_id")
+        .agg(row_count().alias("rows"), F.bool_and(F.coalesce(F.col("alone") == F.col(deploy.PROBABILITY), F.lit(True))).alias("same_alone")))
+
+
+def feed_model_facts(lake: Lake) -> DataFrame:
+    """The panel's confusion rows add up to the classes of the test rows."""
+    panel = ml.feed_models(deploy.train_models(lake.silver))
+    return panel.filter("tabela = 'confusion'").groupBy("item").agg(F.sum("valor").cast("long").alias("rows"))
+
+
+def stream_model_facts(lake: Lake) -> DataFrame:
+    """Every transaction is decided once, by the cuts of its score."""
+    rows = stream_model_decision(lake)
+    cut = stream.decision(F.col("score"), 0.8, 0.5) == F.col("decisao")
+    return rows.select("transaction_id", "ts", cut.alias("by_cuts"))
 
 
 def rule_prediction(lake: Lake) -> DataFrame:
@@ -271,9 +374,11 @@ QUERIES: dict[str, Query] = {
     "sink_csv": sink_csv,
     "sink_partitioned": stored_raw_parts,
     "scan_month_pruned": scan_month_pruned,
+    "scan_orders_quarter": lambda lake: orders_of_quarter(stored_orders(lake), 2),
+    "scan_orders_days": scan_orders_days,
     "table_replace": table_replace,
     "ctas_parquet": ctas_parquet,
-    "layer_counts": lambda lake: quality.layer_counts(lake.raw, lake.bronze, lake.silver),
+    "layer_counts": counted_layers,
     # Projections and derived columns
     "raw_date_parts": lambda lake: lake.raw_parts,
     "bronze_project": lambda lake: layers.project_transactions(lake.raw),
@@ -350,7 +455,8 @@ QUERIES: dict[str, Query] = {
     "profile_amount": lambda lake: quality.profile_amount(lake.bronze_lab),
     "profile_fraud": lambda lake: quality.profile_fraud(lake.bronze_lab),
     "duplicate_ids": lambda lake: quality.duplicate_ids(lake.raw),
-    "silver_vs_bronze": lambda lake: quality.silver_vs_bronze(lake.silver, lake.bronze),
+    "silver_vs_bronze": lambda lake: counted_layers(lake).agg(
+        *[F.coalesce(F.max(F.when(F.col("layer") == c, F.col("rows"))), F.lit(0)).alias(c) for c in ("silver", "bronze")]),
     "null_segment_count": lambda lake: quality.null_segment_count(lake.silver),
     "segment_preview": lambda lake: risk.segment_preview(lake.silver_lab),
     "gold_rollup_kpis": lambda lake: risk.gold_rollup_kpis(risk.gold_fraud_risk(lake.silver)),
@@ -384,15 +490,23 @@ QUERIES: dict[str, Query] = {
         ml.index_categories(ml.stored_inputs(lake.silver)).filter(~F.col("is_test"))
     ).select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std")),
     "ml_class_weights": lambda lake: ml.class_weights(ml_train(lake)),
-    "ml_logistic": lambda lake: ml_scored(lake, "logistic"),
-    "ml_threshold": lambda lake: ml.predict(ml_scored(lake, "logistic")),
-    "ml_random_forest": lambda lake: ml_scored(lake, "forest"),
+    "ml_logistic": lambda lake: test_scores(lake, "logistic"),
+    "ml_threshold": lambda lake: ml.predict(test_scores(lake, "logistic")),
+    "ml_random_forest": lambda lake: test_scores(lake, "forest"),
+    "ml_logistic_facts": lambda lake: score_facts(lake, "logistic"),
+    "ml_threshold_facts": threshold_facts,
+    "ml_random_forest_facts": lambda lake: score_facts(lake, "forest"),
+    "lr_coefficients_facts": gradient_facts,
+    "rf_importances_facts": importance_facts,
+    "model_metrics_facts": metric_facts,
+    "batch_score_facts": batch_score_facts,
+    "feed_models_facts": feed_model_facts,
     "roc_auc": lambda lake: ml.roc_auc(lake.silver, "risk_score", "is_fraud").select(
         F.round("auc", 6).alias("auc")),
     "confusion_matrix": lambda lake: ml.confusion(rule_prediction(lake), "is_fraud", "predicted"),
-    "lr_coefficients": lambda lake: ml.coefficients(lake.spark, fitted(lake, "logistic")[0]),
-    "rf_importances": lambda lake: ml.importances(lake.spark, fitted(lake, "forest")[0]),
-    "model_metrics": lambda lake: ml.train_models(lake.silver)["metrics"],
+    "lr_coefficients": lambda lake: ml.coefficients(lake.spark, fitted(lake, "logistic")),
+    "rf_importances": lambda lake: ml.importances(lake.spark, fitted(lake, "forest")),
+    "model_metrics": lambda lake: deploy.train_models(lake.silver)["metrics"],
     "batch_score": batch_score,
     "threshold_sweep": lambda lake: ml.threshold_sweep(
         lake.silver, "risk_score", "is_fraud", SWEEP),
@@ -404,7 +518,7 @@ QUERIES: dict[str, Query] = {
     "feed_segment": lambda lake: feeds.feed_segment(lake.silver),
     "feed_heatmap": lambda lake: feeds.feed_heatmap(lake.silver),
     "feed_trend": lambda lake: feeds.feed_trend(lake.silver),
-    "feed_models": lambda lake: ml.feed_models(ml.train_models(lake.silver)),
+    "feed_models": lambda lake: ml.feed_models(deploy.train_models(lake.silver)),
     "feed_gold_panel": lambda lake: feeds.feed_gold_panel(risk.gold_fraud_risk(lake.silver)),
     "feed_segment_filter": lambda lake: feeds.feed_segment_filter(
         lake.silver, ["High-Risk", "Standard"]),
@@ -423,6 +537,8 @@ QUERIES: dict[str, Query] = {
     "stream_risk_windows": lambda lake: stream_windows(lake, "1 day"),
     "stream_risk_windows_sliding": lambda lake: stream_windows(lake, "12 hours", "6 hours"),
     "stream_decision": stream_decision,
+    "stream_model_decision": stream_model_decision,
+    "stream_model_decision_facts": stream_model_facts,
     "stream_gold_upsert": stream_gold_upsert,
     # Incremental maintenance
     "incremental_gold": incremental_gold,

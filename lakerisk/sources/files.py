@@ -1,5 +1,7 @@
 """CSV and Parquet readers and writers for the layers."""
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,6 +141,21 @@ def month_range(first: tuple[int, int], last: tuple[int, int]) -> Column:
     )
 
 
+def dates_range(first: datetime.date, last: datetime.date, date: str) -> Column:
+    """Rows of the days ``first`` to ``last``, with the month predicate that prunes the folders they lie in."""
+    months = month_range((first.year, first.month), (last.year, last.month))
+    return months & F.to_date(F.col(date)).between(F.lit(first), F.lit(last))
+
+
+def in_calendar(partitioned: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Rows of the months that ``calendar`` (``year``, ``month``; at most one row a month) holds.
+
+    The months are only known when the calendar is read: Spark then prunes the folders by its rows, as it broadcasts
+    them anyway. A calendar is as small as the time it covers.
+    """
+    return partitioned.join(F.broadcast(calendar.select("year", "month").distinct()), ["year", "month"])
+
+
 def materialize(
     df: DataFrame, name: str, path: str, as_table: bool = False, two_step: bool = False
 ) -> DataFrame:

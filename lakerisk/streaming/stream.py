@@ -14,6 +14,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from lakerisk.functions.derive import utc_instant, utc_wall_clock
 from lakerisk.functions.measures import fraud_count, fraud_rate_pct, row_count
+from lakerisk.operators.deploy import PROBABILITY, scored
 from lakerisk.operators.layers import distinct_rows, project_transactions, silver_transactions
 from lakerisk.operators.ml import assemble
 from lakerisk.operators.rules import STRICT, Rules, apply_rules, broken_rules
@@ -208,6 +209,13 @@ def stream_model_decision(
     return stream_decision(scored, deny_at, review_at, "probability_of_fraud")
 
 
+def stream_deployed_decision(
+    silver: DataFrame, model: PipelineModel, deny_at: float = 0.8, review_at: float = 0.5
+) -> DataFrame:
+    """The same by a deployed model, over Silver as it is: the indexer is part of the model."""
+    return stream_decision(scored(silver, model), deny_at, review_at, PROBABILITY)
+
+
 def run_available(
     stream: DataFrame, spark: SparkSession, name: str, output: str | None = None
 ) -> DataFrame:

@@ -178,6 +178,11 @@ _QUERIES: dict[str, str] = {
         FROM raw_parts WHERE year = 2024 AND month = 1 GROUP BY year, month""",
     "table_replace": "SELECT * FROM bronze_cust",
     "ctas_parquet": GOLD_FRAUD_RISK,
+    "scan_orders_quarter": """SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month,
+        COUNT(*) AS orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,4))) AS DOUBLE) AS total
+        FROM orders WHERE quarter(o_orderdate) = 2 GROUP BY ALL""",
+    "scan_orders_days": """SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month, COUNT(*) AS orders
+        FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-11-20' AND DATE '1996-02-10' GROUP BY ALL""",
     "layer_counts": """SELECT 'raw' AS layer, COUNT(*) AS rows FROM raw_transactions
         UNION ALL SELECT 'bronze', COUNT(*) FROM bronze
         UNION ALL SELECT 'silver', COUNT(*) FROM silver""",
@@ -315,6 +320,15 @@ _QUERIES: dict[str, str] = {
     "ml_class_weights": """SELECT label, COUNT(*) AS rows,
         CAST((SELECT COUNT(*) FROM features WHERE NOT is_test) AS DOUBLE) / (2 * COUNT(*)) AS weight
         FROM features WHERE NOT is_test GROUP BY label""",
+    "ml_logistic_facts": "SELECT transaction_id, label, TRUE AS probability FROM features WHERE is_test",
+    "ml_threshold_facts": "SELECT transaction_id, TRUE AS by_threshold FROM features WHERE is_test",
+    "ml_random_forest_facts": "SELECT transaction_id, label, TRUE AS probability FROM features WHERE is_test",
+    "lr_coefficients_facts": f"SELECT unnest({[*MODEL_INPUTS, 'intercept']}) AS feature, TRUE AS at_optimum",
+    "rf_importances_facts": f"SELECT CAST({len(MODEL_INPUTS)} AS BIGINT) AS features, CAST(1.0 AS DOUBLE) AS total, TRUE AS none_negative",
+    "model_metrics_facts": "SELECT unnest(['Regressão Logística', 'Random Forest (numTrees=30)']) AS modelo, TRUE AS equal",
+    "batch_score_facts": "SELECT transaction_id, COUNT(*) AS rows, TRUE AS same_alone FROM features GROUP BY transaction_id",
+    "feed_models_facts": """SELECT CASE WHEN is_fraud THEN 'Real 1 — fraude' ELSE 'Real 0 — não fraude' END AS item,
+        COUNT(*) AS rows FROM features WHERE is_test GROUP BY is_fraud""",
     "roc_auc": AUC,
     "confusion_matrix": """
         SELECT 'Real 0 — não fraude' AS classe,
@@ -359,6 +373,7 @@ _QUERIES: dict[str, str] = {
     "stream_decision": """SELECT transaction_id, ts, risk_score AS score,
         CASE WHEN risk_score >= 90 THEN 'deny' WHEN risk_score >= 60 THEN 'review'
              ELSE 'approve' END AS decisao FROM silver""",
+    "stream_model_decision_facts": "SELECT transaction_id, ts, TRUE AS by_cuts FROM silver",
     "stream_gold_upsert": DAILY_SEGMENT,
     # Incremental maintenance
     "incremental_gold": DAILY_SEGMENT,
@@ -372,7 +387,10 @@ _QUERIES: dict[str, str] = {
     "compact_partition": "SELECT * FROM raw_parts",
 }
 
-_OWN = {"ml_features", "ml_category_index", "ml_split", "ml_scaler", "ml_class_weights"}
+_OWN = {
+    "ml_features", "ml_category_index", "ml_split", "ml_scaler", "ml_class_weights", "ml_logistic_facts",
+    "ml_threshold_facts", "ml_random_forest_facts", "batch_score_facts", "feed_models_facts",
+}
 
 
 def _full(name: str, query: str) -> str:
