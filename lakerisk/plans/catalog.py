@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakerisk.functions import derive, measures
 from lakerisk.functions.measures import row_count
-from lakerisk.operators import deploy, feeds, layers, ml, ordering, quality, risk, rules
+from lakerisk.operators import bucketed, deploy, feeds, layers, ml, ordering, quality, risk, rules
 from lakerisk.plans import incremental
 from lakerisk.plans.lake import Lake, LakePaths
 from lakerisk.schemas import (
@@ -216,7 +216,19 @@ def compact_partition(lake: Lake) -> DataFrame:
 def raw_stream(lake: Lake) -> DataFrame:
     """The given events as a stream of raw transactions."""
     events = tables.stream_events(lake.spark, lake.folder)
-    return tables.transactions_from_events(events, tables.read_customer(lake.spark, lake.folder))
+    return tables.transactions_from_events(events, tables.read_customer(lake.spark, lake.folder), (stream.ARRIVED,))
+
+
+def partition_latency(lake: Lake) -> DataFrame:
+    path = shared_dir(lake.spark, "stream-latency")
+    stream.land(raw_stream(lake), path, f"{path}/checkpoint")
+    return stream.partition_latency(lake.spark, path)
+
+
+def latency_facts(lake: Lake) -> DataFrame:
+    """The figures that SQL can count, and that the quantiles are in order."""
+    rising = F.expr("0 < latency_p50 AND latency_p50 <= latency_p95 AND latency_p95 <= latency_p99 AND latency_p99 <= latency_max")
+    return partition_latency(lake).select("year", "month", "rows", "rejected", "newest", rising.alias("rising"))
 
 
 def stream_bronze(lake: Lake) -> DataFrame:
@@ -419,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "bronze_tx_lab": lambda lake: lake.bronze_lab,
     "bronze_customers": lambda lake: lake.customers,
     "silver_transactions": lambda lake: lake.silver,
+    "silver_bucketed": lambda lake: bucketed.BucketedFacts(lake.bronze, lake.customers, buckets=16).silver(),
     "silver_lab": lambda lake: lake.silver_lab,
     "distinct_rows": lambda lake: layers.distinct_rows(lake.raw),
     # Joins
@@ -529,6 +542,8 @@ QUERIES: dict[str, Query] = {
     "value_at_risk_rank": lambda lake: risk.value_at_risk_rank(lake.silver),
     "risk_mix": lambda lake: risk.risk_mix(lake.silver),
     "daily_rate_alert": lambda lake: risk.daily_rate_alert(lake.silver),
+    "partition_latency": partition_latency,
+    "partition_latency_facts": latency_facts,
     "partition_monitor": lambda lake: quality.partition_monitor(lake.raw_parts),
     # Streams
     "stream_bronze": stream_bronze,

@@ -5,6 +5,7 @@ stream of events. Events are read once: the repeated copies come from an explode
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The columns of the given tables, and how transactions and customers follow from them.
@@ -79,12 +80,12 @@ def _repeated(df: DataFrame, twice: str) -> DataFrame:
     return df.selectExpr("*", copies).drop("copy")
 
 
-def transactions_from_events(events: DataFrame, customer: DataFrame) -> DataFrame:
-    """Raw transactions, with the defects the quality rules look for."""
+def transactions_from_events(events: DataFrame, customer: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Raw transactions, with the defects the quality rules look for, and ``more`` columns of the events as they are."""
     owner = customer.selectExpr(
         "c_custkey AS user_id", f"{SEGMENT} AS owner_segment", f"{CREDIT_SCORE} AS owner_score")
-    joined = events.selectExpr(*EVENT_INPUTS).join(owner, "user_id", "left")  # the rules judge missing owners
-    return _repeated(joined.selectExpr(*RAW_TRANSACTION), "transaction_id % 250 = 3")
+    joined = events.selectExpr(*EVENT_INPUTS, *more).join(owner, "user_id", "left")  # the rules judge missing owners
+    return _repeated(joined.selectExpr(*RAW_TRANSACTION, *more), "transaction_id % 250 = 3")
 
 
 def customers_from_table(customer: DataFrame) -> DataFrame:
@@ -100,5 +101,6 @@ def read_customer(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The events table as a file stream; the glob matches a single file as well as a directory."""
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet*")
+    """The events table as a file stream, with the time each file arrived; the glob matches a single file as well as a directory."""
+    events = spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet*")
+    return events.select("*", F.col("_metadata.file_modification_time").alias("arrived"))

@@ -4,11 +4,12 @@ The stream is a parameter: a file source in this repository, any source with the
 elsewhere. ``run_available`` works off what is there and stops.
 """
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -26,6 +27,9 @@ from lakerisk.sources.files import replace_partitions
 from lakerisk.sources.versions import VersionedTable, unseen
 
 EVENT_TIME = "event_time"
+ARRIVED = "arrived"  # when the source's file was there; kept if the source has it
+LATENCY_STEP = 0.01
+ARRIVALS_SCHEMA = "year int, month int, latency_class long, rows long, rejected long, newest timestamp_ntz, batch string"
 REJECT_SCHEMA = StructType([*TX_SCHEMA.fields, StructField("reasons", ArrayType(StringType()))])
 
 
@@ -78,14 +82,17 @@ def land(
         stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         name = f"{stream}-{number}"
         staged_path = shared_dir(spark, "landing")  # read several times below
-        marked = batch.select(*RAW_COLUMNS).withColumn("reasons", broken_rules(rules))
+        known = [c for c in (ARRIVED,) if c in batch.columns]
+        marked = batch.select(*RAW_COLUMNS, *known).withColumn("reasons", broken_rules(rules))
         marked.write.parquet(staged_path)
         staged = spark.read.schema(marked.schema).parquet(staged_path)
         rows = distinct_rows(project_transactions(staged.filter("size(reasons) = 0")))
         bronze, rejects = bronze_table(spark, path), rejects_table(spark, path)
         seen = bronze.read(bronze.around(rows)).filter(F.col("batch") != name)
         bronze.replace(name, unseen(rows, seen, BRONZE_COLUMNS))
-        rejects.replace(name, staged.filter("size(reasons) > 0"))
+        rejects.replace(name, staged.filter("size(reasons) > 0").drop(*known))
+        if known:
+            replace_partitions(arrivals(staged).withColumn("batch", F.lit(name)), f"{path}/arrivals", ["batch"])
         new = bronze.read(bronze.files().where(F.array_contains("batches", name))).filter(F.col("batch") == name).select(*BRONZE_COLUMNS)
         counts = staged.agg(F.count("*").alias("raw"), F.count_if(F.size("reasons") > 0).alias("rejects"))
         account = counts.crossJoin(new.agg(F.count("*").alias("emitted")))
@@ -117,6 +124,35 @@ def read_account(spark: SparkSession, path: str) -> DataFrame:
     return rows.agg(*sums).withColumn("copies", F.expr("raw - emitted - rejects"))
 
 
+def arrivals(staged: DataFrame) -> DataFrame:
+    """Additive counts of a delivery per month and latency class; a class is ``LATENCY_STEP`` wide, relative to its latency."""
+    seconds = F.greatest(F.lit(0), F.unix_micros(F.col(ARRIVED)) - F.unix_micros(utc_instant("timestamp"))) / 1e6
+    latency = F.when(seconds.isNotNull(), F.floor(F.log(seconds + 1) / math.log(1 + LATENCY_STEP)))
+    return staged.groupBy(F.year("timestamp").alias("year"), F.month("timestamp").alias("month"), latency.alias("latency_class")).agg(
+        row_count().alias("rows"), F.count_if(F.size("reasons") > 0).alias("rejected"), F.max("timestamp").alias("newest"))
+
+
+def partition_latency(spark: SparkSession, path: str, quantiles: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """Volume, rejected rows, newest record and quantiles of the seconds between event and arrival, per month.
+
+    The quantiles are right to ``LATENCY_STEP`` and come from one row per latency class, some thousands a month.
+    """
+    stored = stored_table(spark, f"{path}/arrivals", ARRIVALS_SCHEMA)
+    stored = spark.createDataFrame([], ARRIVALS_SCHEMA) if stored is None else stored
+    month = ["year", "month"]
+    classes = stored.groupBy(*month, "latency_class").agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"), F.max("newest").alias("newest"))
+    timed = F.col("latency_class").isNotNull()
+    below = Window.partitionBy(*month).orderBy(F.col("latency_class").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    placed = classes.withColumns({
+        "upto": F.sum(F.when(timed, F.col("rows")).otherwise(0)).over(below),
+        "timed": F.sum(F.when(timed, F.col("rows")).otherwise(0)).over(Window.partitionBy(*month))})
+    seconds = F.pow(F.lit(1 + LATENCY_STEP), F.col("latency_class")) - 1
+    named = {f"latency_p{round(100 * q)}": F.min(F.when(timed & (F.col("upto") >= q * F.col("timed")), seconds)) for q in quantiles}
+    return placed.groupBy(*month).agg(
+        F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"), F.max("newest").alias("newest"),
+        *[F.round(c, 3).alias(name) for name, c in named.items()], F.round(F.max(seconds), 3).alias("latency_max"))
+
+
 def store_batches(path: str, made: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, str, int], None]:
     """A ``then`` of ``land`` that stores what is made of the new rows of each batch."""
     def store(new: DataFrame, stream: str, number: int) -> None:

@@ -158,6 +158,15 @@ def _labelled(query: str) -> str:
     return f"SELECT *, printf('%.2f%%', taxa_fraude_pct) AS rotulo FROM ({query})"
 
 
+MONITOR = """SELECT p.year, p.month, COUNT(*) AS rows,
+        CAST(SUM(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS rejected,
+        ROUND(100.0 * SUM(CASE WHEN ok THEN 0 ELSE 1 END) / COUNT(*), 4) AS rejected_pct,
+        MAX("timestamp") AS newest
+        FROM (SELECT *, COALESCE(customer_id IS NOT NULL AND transaction_id IS NOT NULL
+          AND amount > 0 AND risk_score BETWEEN 0 AND 100 AND credit_score BETWEEN 300 AND 900
+          AND status IN ('approved', 'declined'), FALSE) AS ok FROM raw_parts) p
+        GROUP BY p.year, p.month"""
+
 _QUERIES: dict[str, str] = {
     # Sources and sinks
     "scan_tx_csv": RAW,
@@ -232,6 +241,7 @@ _QUERIES: dict[str, str] = {
     "bronze_tx_lab": "SELECT * FROM bronze_lab",
     "bronze_customers": "SELECT * FROM bronze_cust",
     "silver_transactions": "SELECT * FROM silver",
+    "silver_bucketed": "SELECT * FROM silver",
     "silver_lab": "SELECT * FROM silver_lab",
     "distinct_rows": "SELECT DISTINCT * FROM raw_transactions",
     # Joins
@@ -356,14 +366,8 @@ _QUERIES: dict[str, str] = {
     "value_at_risk_rank": f"{CATEGORY} ORDER BY valor_em_risco DESC",
     "risk_mix": MIX,
     "daily_rate_alert": ALERT,
-    "partition_monitor": """SELECT p.year, p.month, COUNT(*) AS rows,
-        CAST(SUM(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS rejected,
-        ROUND(100.0 * SUM(CASE WHEN ok THEN 0 ELSE 1 END) / COUNT(*), 4) AS rejected_pct,
-        MAX("timestamp") AS newest
-        FROM (SELECT *, COALESCE(customer_id IS NOT NULL AND transaction_id IS NOT NULL
-          AND amount > 0 AND risk_score BETWEEN 0 AND 100 AND credit_score BETWEEN 300 AND 900
-          AND status IN ('approved', 'declined'), FALSE) AS ok FROM raw_parts) p
-        GROUP BY p.year, p.month""",
+    "partition_monitor": MONITOR,
+    "partition_latency_facts": f"SELECT year, month, rows, rejected, newest, TRUE AS rising FROM ({MONITOR})",
     # Streams
     "stream_bronze": "SELECT * FROM bronze",
     "stream_silver": "SELECT * FROM silver",
