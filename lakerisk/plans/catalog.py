@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakerisk.functions import derive, measures
 from lakerisk.functions.measures import row_count
 from lakerisk.operators import bucketed, deploy, feeds, layers, ml, ordering, quality, risk, rules
-from lakerisk.plans import incremental
+from lakerisk.plans import incremental, lake as lake_plans
 from lakerisk.plans.lake import Lake, LakePaths
 from lakerisk.schemas import (
     BRONZE_SCHEMA,
@@ -211,6 +211,25 @@ def compact_partition(lake: Lake) -> DataFrame:
     return lake.spark.read.parquet(path)
 
 
+# Exports
+
+def exported_analysis(name: str) -> Query:
+    """One analysis, read back from its exported CSV."""
+    def run(lake: Lake) -> DataFrame:
+        paths = new_paths(lake)
+        table = lake_plans.export_analyses(lake, paths)[name]
+        return files.read_gold_csv(lake.spark, paths.layer("output", name), table.schema)
+
+    return run
+
+
+def exported_model_facts(lake: Lake) -> DataFrame:
+    """The rows of each exported model table."""
+    paths, spark = new_paths(lake), lake.spark
+    rows = [(name, files.read_gold_csv(spark, paths.layer("output", name), table.schema).count()) for name, table in lake_plans.export_models(lake, paths).items()]
+    return spark.createDataFrame(rows, "tabela string, linhas long")
+
+
 # Streams
 
 def raw_stream(lake: Lake) -> DataFrame:
@@ -545,6 +564,9 @@ QUERIES: dict[str, Query] = {
     "partition_latency": partition_latency,
     "partition_latency_facts": latency_facts,
     "partition_monitor": lambda lake: quality.partition_monitor(lake.raw_parts),
+    # Exports
+    **{f"export_{name}": exported_analysis(name) for name in [*lake_plans.ANALYSES, "kpis"]},
+    "export_models_facts": exported_model_facts,
     # Streams
     "stream_bronze": stream_bronze,
     "stream_silver": stream_silver,

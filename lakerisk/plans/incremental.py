@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from lakerisk.functions.derive import add_raw_date_parts
 from lakerisk.functions.measures import fraud_rate_pct
 from lakerisk.operators.risk import BASE_SCHEMA, CUSTOMER_BASE_SCHEMA, additive_base, additive_measures, customer_base
-from lakerisk.plans.lake import LakePaths
+from lakerisk.plans.paths import LakePaths
 from lakerisk.schemas import RAW_COLUMNS
 from lakerisk.session import shared_dir
 from lakerisk.sources.files import remove_partition, replace_partitions

@@ -368,6 +368,17 @@ _QUERIES: dict[str, str] = {
     "daily_rate_alert": ALERT,
     "partition_monitor": MONITOR,
     "partition_latency_facts": f"SELECT year, month, rows, rejected, newest, TRUE AS rising FROM ({MONITOR})",
+    # Exports
+    "export_analise_segmento": SEGMENT,
+    "export_analise_canal": CHANNEL,
+    "export_analise_categoria": CATEGORY,
+    "export_analise_temporal": DAILY,
+    "export_analise_periodo": PERIOD,
+    "export_analise_pergunta_negocio": by("time_period, amount_band", RATED),
+    "export_analise_heatmap": by("segment, amount_band", RATED),
+    "export_kpis": KPIS,
+    "export_models_facts": """SELECT * FROM (VALUES ('metricas_modelos', 2::BIGINT), ('matriz_confusao_logistica', 2),
+        ('coeficientes_logistica', 6), ('importancias_random_forest', 6)) t(tabela, linhas)""",
     # Streams
     "stream_bronze": "SELECT * FROM bronze",
     "stream_silver": "SELECT * FROM silver",
