@@ -12,19 +12,21 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
 ROWS_PER_BATCH = 1000
+BYTES_PER_BATCH = 16 << 20
 HOME = str(Path(__file__).resolve().parents[2])
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """Python workers find this package where the driver found it; on a cluster it is installed there.
 
-    Long texts reach the workers few at a time.
+    Texts reach the workers in batches bounded by rows and by bytes, so many long ones at once do not fill them.
     """
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if HOME not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
     return spark
 
 

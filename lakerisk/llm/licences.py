@@ -2,8 +2,8 @@
 
 Every two neighbouring words of a document are hashed and joined to the positions of the same pair in the
 templates; the pair itself is compared too, so an equal hash of other words does not count. A match votes for
-the diagonal ``word position - template position``. The votes of a diagonal are a bit mask of the template
-positions met. Neighbouring diagonals, which a word more or less in the text parts, are merged, and a merged
+the diagonal ``word position - template position``. The votes of a diagonal are the set of the template
+positions met, however long the template. Neighbouring diagonals, which a word more or less in the text parts, are merged, and a merged
 span counts when it covers enough of the template within a span of about the template's length, or when one
 of its diagonals alone covers enough. A phrase counts where one diagonal holds all of it.
 
@@ -24,7 +24,7 @@ PHRASES = (
     ("cc-by", "cc by"),
     ("mit", "mit license"),
 )
-# Usual wordings of licence notices, at most 64 words each.
+# Usual wordings of licence notices.
 NOTICES = (
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
     ("gpl", "This work is licensed under the GNU General Public License, version 3."),
@@ -90,7 +90,7 @@ def votes(docs: DataFrame, id_col: str, text_col: str, lists: DataFrame) -> Data
         *DOC, "n_words", *[only(c).alias(c) for c in ("template", "label", "phrase", "n_pairs")],
         F.when(F.col("found"), F.col("place") - F.col("at")).alias("diagonal"),
     ).agg(
-        F.bit_or(F.when(F.col("found"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at")))).alias("mask"),
+        F.collect_set(only("at")).alias("met"),
         F.min(only("place")).alias("begin"), F.max(only("place")).alias("stop"),
     )
 
@@ -105,10 +105,10 @@ def spans(voted: DataFrame) -> DataFrame:
         ~F.col("phrase") & (F.lag("template").over(order) == F.col("template"))
         & (F.col("diagonal") - F.lag("diagonal").over(order) <= GAP)
     )
-    share = F.bit_count("mask") / F.col("n_pairs")
+    share = F.size("met") / F.col("n_pairs")
     marked = voted.withColumn("run", F.sum(F.when(joins, 0).otherwise(1)).over(order)).withColumn("share", share)
     merged = marked.groupBy(*DOC, "n_words", "template", "label", "phrase", "n_pairs", "run").agg(
-        F.bit_or("mask").alias("mask"), F.max("share").alias("best"),
+        F.array_distinct(F.flatten(F.collect_list("met"))).alias("met"), F.max("share").alias("best"),
         F.min("begin").alias("begin"), F.max("stop").alias("stop"), F.min("diagonal").alias("start"),
     )
     short = F.col("stop") - F.col("begin") + 1 <= F.col("n_pairs") * SLACK

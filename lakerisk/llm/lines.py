@@ -29,8 +29,8 @@ from lakerisk.session import shared_dir
 MIN_CHARS = 10
 BATCHES = 4
 FANOUT = 2
-LAST = 2**63 - 1  # stands for a missing id
-LINES_SCHEMA = "hash binary, keeper long, mark long"
+LAST = 2**63 - 1  # where rows without an id stand in the order; ``none`` tells them from a row of that id
+LINES_SCHEMA = "hash binary, keeper long, none int, mark long"
 
 
 def digest(line: bytes, min_chars: int) -> bytes | None:
@@ -48,14 +48,15 @@ def _bytes(column: pa.Array) -> list[bytes]:
 def _line_hashes(min_chars):
     def run(batches):
         for batch in batches:
-            hashes, ids, marks = [], [], []
-            for key, mark, text in zip(batch.column("_key").to_pylist(), batch.column("_mark").to_pylist(), _bytes(batch.column("_text"))):
+            hashes, ids, nones, marks = [], [], [], []
+            for key, none, mark, text in zip(*(batch.column(c).to_pylist() for c in ("_key", "_none", "_mark")), _bytes(batch.column("_text"))):
                 found = {h for line in text.split(b"\n") if (h := digest(line, min_chars))}
                 hashes += found
                 ids += [key] * len(found)
+                nones += [none] * len(found)
                 marks += [mark] * len(found)
-            columns = [pa.array(hashes, pa.binary()), pa.array(ids, pa.int64()), pa.array(marks, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["hash", "keeper", "mark"])
+            columns = [pa.array(hashes, pa.binary()), pa.array(ids, pa.int64()), pa.array(nones, pa.int32()), pa.array(marks, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["hash", "keeper", "none", "mark"])
 
     return run
 
@@ -139,7 +140,7 @@ def dedup_lines(
     spark = ready(docs.sparkSession)
     others = [c for c in docs.columns if c not in (id_col, text_col, "n_lines", "n_dropped")]
     rows = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_key"), F.col(id_col).alias("_id"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_key"), F.col(id_col).isNull().cast("int").alias("_none"), F.col(id_col).alias("_id"),
         F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_mark"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(others)],
     )
     bounds = batch_bounds(rows.select("_key"), batches)
@@ -150,18 +151,19 @@ def dedup_lines(
             batch = batch.where(F.col("_key") >= low)
         if high is not None:
             batch = batch.where(F.col("_key") < high)
-        lines = stored(batch.select("_key", "_mark", "_text").mapInArrow(_line_hashes(min_chars), LINES_SCHEMA), "lines")
-        fresh = runs.add(lines.groupBy("hash").agg(F.min("keeper").alias("keeper")))
+        lines = stored(batch.select("_key", "_none", "_mark", "_text").mapInArrow(_line_hashes(min_chars), LINES_SCHEMA), "lines")
+        # where the least is LAST, all rows have it, and those with an id come before those without
+        fresh = runs.add(lines.groupBy("hash").agg(F.min("keeper").alias("keeper"), F.min("none").alias("none")))
         # joined on the id too: a line that many documents hold is spread over all tasks
-        gone.append(stored(lines.join(fresh, ["hash", "keeper"], "left_anti"), "lines-gone"))
+        gone.append(stored(lines.join(fresh, ["hash", "keeper", "none"], "left_anti"), "lines-gone"))
     runs.close()
 
     # By text as well as id: rows without an id, or of one id, do not share an array. Texts of one id whose
     # marks are equal may, as whether a line goes depends on the line and the id alone.
-    by_text = [F.col("keeper").alias("_key"), F.col("mark").alias("_mark")]
+    by_text = [F.col("keeper").alias("_key"), F.col("none").alias("_none"), F.col("mark").alias("_mark")]
     dropped = reduce(DataFrame.unionByName, gone).groupBy(*by_text).agg(F.collect_set("hash").alias("_gone"))
     names = ["_id", "_text", "n_lines", "n_dropped", *[f"_{i}" for i in range(len(others))]]
     types = dict(rows.dtypes) | {"n_lines": "bigint", "n_dropped": "bigint"}
     schema = ", ".join(f"{c} {types[c]}" for c in names)
-    kept = rows.join(dropped, ["_key", "_mark"], "left").mapInArrow(_without(min_chars, names), schema)
+    kept = rows.join(dropped, ["_key", "_none", "_mark"], "left").mapInArrow(_without(min_chars, names), schema)
     return kept.toDF(id_col, text_col, "n_lines", "n_dropped", *others)

@@ -6,8 +6,8 @@ text, and its stored length. The score is the logistic of ``w0 + sum(w x) + 1/2
 on a bounded sample of labelled rows; ids, languages, sources and labels are never inputs of a score.
 
 Defined cases: a null text counts as empty; a missing stored length is taken from the text; without labels of
-both classes every score is 0.5; texts are scored whole, whatever their length; repeated rows get the same
-score; input columns named like an output column are replaced; an empty table stays empty.
+both classes every score is 0.5; a text longer than what is learned from is scored in stretches of that length, all of
+them, and has their mean by length; repeated rows get the same score; input columns named like an output column are replaced; an empty table stays empty.
 """
 
 import zlib
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakerisk.llm.common import ready
-from lakerisk.llm.training import labelled, sigmoid, weights
+from lakerisk.llm.training import labelled, sigmoid, stretches, weights
 
 BOUNDS = {1: 4000, 0: 4000}  # labelled documents learned from, by class
 BUCKETS = 1024  # hashed words
@@ -88,13 +88,24 @@ class Machine:
         return sigmoid((self.w0 + x @ self.w + pairs.sum(1) / 2).astype(np.float64))
 
 
+def score_texts(machine: Machine, texts: list[bytes], n_chars: list) -> np.ndarray:
+    """Whole texts: those longer than what is learned from get the mean of all their stretches, by length."""
+    cut = [stretches(t) for t in texts]
+    lengths = [n if n is not None and n == n else len(t.decode()) for t, n in zip(texts, n_chars)]
+    parts = [s for found in cut for s in found]
+    scores = machine.score(vectors(parts, [n for n, found in zip(lengths, cut) for _ in found]))
+    size = np.array([max(1, len(s)) for s in parts], np.float64)
+    first = np.cumsum([0, *map(len, cut[:-1])])
+    return np.clip(np.add.reduceat(scores * size, first) / np.add.reduceat(size, first), 0, 1)
+
+
 def train(rows: pd.DataFrame, counts: dict[int, int]) -> Machine | None:
     """A machine fitted with Adam on the whole sample at every step; None without both classes."""
     y = rows["y"].to_numpy(np.float32)
     if not 0 < y.sum() < len(y):
         return None
-    lengths = rows["n_chars"] if "n_chars" in rows else [None] * len(rows)
-    x = vectors([t.encode() for t in rows["text"]], list(lengths))
+    lengths = rows["n_chars"] if "n_chars" in rows else rows["whole"]
+    x = vectors([t.encode() for t in rows["text"]], list(lengths.fillna(rows["whole"])))
     weight = weights(y, counts).astype(np.float32) / len(y)
     random = np.random.default_rng(0)
     tail = x[:, BUCKETS:]
@@ -124,7 +135,7 @@ def _scored(model):
             texts = [b"" if t is None else t for t in batch.column("_text").cast(pa.binary()).to_pylist()]
             scores = np.full(len(texts), 0.5)
             if model.value is not None and texts:
-                scores = model.value.score(vectors(texts, batch.column("_n_chars").to_pylist()))
+                scores = score_texts(model.value, texts, batch.column("_n_chars").to_pylist())
             columns = [batch.column(c) for c in batch.schema.names] + [pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_score"])
 

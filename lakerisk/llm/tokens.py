@@ -3,16 +3,20 @@
 Such a tokenizer cuts a text by a pattern and encodes every part for itself, so a text may be cut beforehand at
 any place where the pattern is certain to cut. Those places are found for a block of texts at once; only parts
 that a worker has not met lately are given to the tokenizer, the ids of all others are looked up by the part's
-64-bit hash. Strings of special tokens are ordinary text.
+64-bit hash: a polynomial one, found for all parts at once, up to ``SHORT`` bytes, and XXH3 for longer parts, as
+polynomials modulo a power of two agree on some long texts whatever their base. Strings of special tokens are ordinary
+text.
 """
 
 from functools import cache
 from itertools import repeat
 
 import numpy as np
+import xxhash
 from tokenizers import Tokenizer
 
 BLOCK = 1 << 20  # bytes of text handled at a time
+SHORT = 32  # bytes of a part that the polynomial hash is trusted with
 REMEMBERED = 800_000  # parts that a worker remembers
 
 LETTER, DIGIT, SPACE, BREAK, MARK, QUOTE, UNSURE = range(7)
@@ -119,6 +123,8 @@ class Encoder:
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(BYTES[raw] * up[:len(raw)], out=sums[1:])
         keys = (sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64) * BYTES[0]
+        for i in np.flatnonzero(end - begin > SHORT).tolist():
+            keys[i] = xxhash.xxh3_64_intdigest(data[begin[i]:end[i]])
         keys, first, where = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.known) + len(keys) > REMEMBERED:
             self.forget()

@@ -13,8 +13,8 @@ spelled before: each byte becomes a four-byte code of itself and the three befor
 then is dear and a known run of letters cheap, whatever the language.
 
 Defined cases: a null text counts as empty; an empty text has no savings and gets the score of a text without
-any; without labels of both classes every score is 0; texts are scored whole, whatever their length; repeated
-rows get the same score; input columns named like an output column are replaced; an empty table stays empty.
+any; without labels of both classes every score is 0; a text longer than what is learned from is scored in stretches of
+that length, all of them, and has the score of its worst one; repeated rows get the same score; input columns named like an output column are replaced; an empty table stays empty.
 """
 
 from collections import Counter
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakerisk.llm.common import ready
-from lakerisk.llm.training import fit_logistic, labelled, sigmoid, weights
+from lakerisk.llm.training import fit_logistic, labelled, sigmoid, stretches, weights
 
 BOUNDS = {1: 3000, 0: 5000}  # labelled documents learned from, by class
 WINDOW = 32  # bytes of text, up to the end of the word
@@ -172,9 +172,11 @@ class Model:
     def score(self, texts: list[bytes]) -> np.ndarray:
         if not texts:
             return np.empty(0)
-        x = np.array([self.features(self.savings(windows(t))) for t in texts])
+        cut = [stretches(t) for t in texts]
+        x = np.array([self.features(self.savings(windows(s))) for found in cut for s in found])
         mean, scale, beta = self.logistic
-        return sigmoid(beta[0] + (x - mean) / scale @ beta[1:])
+        scores = sigmoid(beta[0] + np.clip((x - mean) / scale, -30, 30) @ beta[1:])
+        return np.maximum.reduceat(scores, np.cumsum([0, *map(len, cut[:-1])]))
 
 
 def train(rows: pd.DataFrame, counts: dict[int, int]) -> Model | None:

@@ -99,3 +99,18 @@ def test_scripts_without_spaces_are_learned():
     rows = pd.DataFrame([(text(n % 4 == 0), int(n % 4 == 0)) for n in range(600)], columns=["text", "y"])
     model = toxicity.train(rows[:400], {1: 100, 0: 300})
     assert area(model.score([t.encode() for t in rows["text"][400:]]), rows["y"][400:].to_numpy()) > 0.9
+
+
+def test_a_corpus_of_long_documents_is_learned(spark):
+    """Texts that are all far longer than what is learned of one of them."""
+    random = np.random.default_rng(3)
+    pool = ["".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(400)]
+    kind, awful = pool[:20], pool[20:40]
+    rows = [(i, " ".join(random.choice((kind, awful)[i % 2]) if n % 20 == 7 else random.choice(pool[40:]) for n in range(3_200)), i % 2, i % 2) for i in range(150)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2], r[3]) for r in rows], LABELS)
+    learned, counts = training.labelled(docs, labels, "toxic", {0: 75, 1: 75})
+    assert sum(counts.values()) == len(learned) and set(learned["text"].map(len)) == {training.MAX_CHARS}
+    for module in (quality, toxicity):
+        got = module.score_documents(docs, labels).orderBy("doc_id").toPandas()["score"].to_numpy()
+        assert got[1::2].mean() > got[::2].mean() + 0.2, module

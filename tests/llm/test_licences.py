@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from lakerisk.llm import licences
 from tests.llm.cases import awkward, empty, lower
 
@@ -34,6 +36,17 @@ def test_notices_with_words_more_or_less(spark):
     assert rows[2]["labels"] == "" and rows[2]["score"] == 0
 
 
+@pytest.mark.parametrize("n", [65, 66, 100, 300])
+def test_a_notice_of_any_length(spark, n):
+    notice = " ".join(f"w{i}" for i in range(n))
+    texts = [(1, "before " + notice + " after"), (2, notice.replace(f" w{n // 2} ", " ")), (3, notice.split(f" w{n // 2} ")[0])]
+    df = spark.createDataFrame(texts + texts[:1], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licences.scan(df, notices=[("long", notice)]).collect()}
+    assert got[1]["labels"] == "long" and got[1]["score"] == 1.0
+    assert got[2]["labels"] == "long" and 1 - 3 / n < got[2]["score"] < 1
+    assert got[3]["labels"] == ""
+
+
 def test_awkward_rows(spark):
     rows = licences.scan(awkward(spark)).collect()
     got = {r["doc_id"]: r for r in rows if r["doc_id"] is not None}

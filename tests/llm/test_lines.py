@@ -53,3 +53,11 @@ def test_rows_of_a_hot_id_do_not_share_an_array(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = lines.dedup_lines(docs).collect()
     assert len(got) == 81 and all(r["n_dropped"] == (0 if r["doc_id"] == 1 else 3) for r in got)
+
+
+def test_the_largest_id_is_not_a_missing_one(spark):
+    line = "a line that all of them hold"
+    rows = [(2**63 - 1, line), (None, line), (None, line + "\nanother line of text"), (2**63 - 1, "another line of text")]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["text"]) for r in got} == {(2**63 - 1, line), (None, ""), (2**63 - 1, "another line of text")}
+    assert sum(r["n_dropped"] for r in got) == 3

@@ -33,6 +33,14 @@ def test_ids_are_the_tokenizers(tokenizer):
         assert got.tolist() == ids(tokenizer, text), repr(text)
 
 
+def test_parts_that_polynomial_hashes_confuse(tokenizer):
+    """The Thue-Morse word and its complement agree in every polynomial modulo 2**64."""
+    for n in (1024, 2048, 4096):
+        texts = ["".join("ab"[(i.bit_count() + flip) % 2] for i in range(n)) for flip in (0, 1)]
+        got = tokens.Encoder(PATH).encode([t.encode() for t in texts])
+        assert [g.tolist() for g in got] == [ids(tokenizer, t) for t in texts]
+
+
 def test_long_texts_and_a_full_memory(tokenizer, monkeypatch):
     monkeypatch.setattr(tokens, "BLOCK", 64)
     monkeypatch.setattr(tokens, "REMEMBERED", 30)

@@ -5,15 +5,18 @@ import sys
 from pathlib import Path
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lakerisk.llm import leaks, queries, toxicity
+from lakerisk.llm.common import ready
 from lakerisk.llm.training import labelled
 from tests.compare import assert_same
 from tests.conftest import SF_SMALL
-from tests.llm.cases import AWKWARD, awkward, groups, kept_lines
+from tests.llm.cases import AWKWARD, awkward, empty, groups, kept_lines
 from tests.llm.test_leaks import distance_in
 from tests.llm.test_packing import check
 
@@ -71,11 +74,31 @@ def test_every_stage_against_a_plain_version(spark, tmp_path):
 
 
 def test_awkward_rows_through_all_stages(spark, tmp_path):
-    docs = awkward(spark)
+    docs = awkward(spark).withColumns({"_copy": F.lit("kept"), "_aside_0": F.lit("too"), "_score": F.lit(7)})
+    extra = [c for c in docs.columns if c not in corpus_pipeline.COLUMNS]
+    values = {tuple(r[c] for c in extra) for r in docs.collect()}
     for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
         stage(spark, docs, SF_SMALL).write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
         if number < 4:
-            assert set(docs.columns) >= {"doc_id", "text", "lang", "source", "n_chars", "score", "_text"}
+            assert [c for c in docs.columns if c not in corpus_pipeline.COLUMNS] == extra
+            assert {tuple(r[c] for c in extra) for r in docs.collect()} == values
     # 6 lost all its lines and stays as an empty text; 9 is a near copy of 8
     assert {r["doc_id"] for r in docs.collect()} == {r[0] for r in AWKWARD} - {9}
+
+
+def test_empty_documents_through_all_stages(spark, tmp_path):
+    docs = empty(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF_SMALL).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert docs.count() == 0
+
+
+def test_long_texts_reach_workers_in_bounded_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], names=["bytes"])
+
+    texts = ready(spark).range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 1_000_000).alias("text"))
+    assert texts.mapInArrow(sizes, "bytes long").agg(F.max("bytes")).first()[0] < 40_000_000
