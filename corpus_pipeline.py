@@ -6,9 +6,13 @@ empty); of each near-duplicate group the smallest id stays; documents that hold
 rest is packed into sequences. All stages but the last return the columns of ``documents`` in their order.
 
 Null texts leave the second stage as empty ones; rows without an id pass all stages (a leak or a toxic text
-removes the row itself); columns beyond those of ``documents`` are kept as they are.
+removes the row itself); columns beyond those of ``documents`` come through with their values, whatever their names:
+no operator sees them under these.
 """
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,23 +22,42 @@ from lakerisk.llm.common import ready, table
 from lakerisk.session import shared_dir
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeps_columns(stage: Stage) -> Stage:
+    """The stage with further columns of its documents set aside under names that no operator uses."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = docs.columns
+        aside = [c if c in COLUMNS else f"_aside_{i}" for i, c in enumerate(names)]
+        return stage(spark, docs.toDF(*aside), sf_dir).select(*aside).toDF(*names)
+
+    return run
+
+
+@keeps_columns
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = toxicity.score_documents(docs, table(spark, sf_dir, "labels"))
     return scored.where(F.col("predicted") == 0).select(*docs.columns)
 
 
+@keeps_columns
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``n_chars`` follows the text."""
     kept = lines.dedup_lines(docs)
     return kept.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
 
 
+@keeps_columns
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of one id stay or go together."""
     copies = neardup.near_duplicates(docs.select("doc_id", "text")).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_copy")).distinct()
     return docs.join(copies, docs["doc_id"] == F.col("_copy"), "left_anti")
 
 
+@keeps_columns
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = leaks.find_leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
     return found.where(F.size("hits") == 0).select(*docs.columns)
