@@ -1,11 +1,16 @@
 """Nearest neighbours by randomly rotated one-bit codes.
 
-Every vector is scaled to length one and turned by one seeded random rotation; its code keeps the signs of
-the turned components, one bit each, beside one correction scalar: the inner product of the turned unit
-vector with its own code direction. From a code and its scalar the cosine with any query is estimated
-without bias, and with a known spread. A vector whose upper bound does not reach the k-th largest lower
-bound cannot be among the k nearest but by a deviation of more than ``SIGMAS`` spreads; all other vectors
-are compared exactly, in double precision on the original components.
+Every vector is scaled to length one, padded with zeros to ``CODE_BITS`` components (or to its own length, if that is
+larger) and turned by one seeded random rotation; its code keeps the signs of the turned components, one bit each,
+beside one correction scalar: the inner product of the turned unit vector with its own code direction. From a code and
+its scalar the cosine with any query is estimated without bias, with a spread that falls with the root of the number
+of bits. A vector whose upper bound, ``SIGMAS`` spreads above its estimate, does not reach the k-th best score that the
+task has found so far cannot be among the k nearest but by such a deviation; all other vectors are compared exactly,
+in double precision on the original components.
+
+Index and queries meet in blocks: every task packs the index rows it reads into blocks of at most ``SLAB`` vectors, and
+``BLOCKS_AT_ONCE`` blocks of at most ``BLOCK`` queries at a time are broadcast to them, a bounded size whatever the
+number of queries; no query passes the driver. A task returns its own k best.
 
 Defined cases: vectors that are null, empty, zero, or hold a null or non-finite component take no part, as
 query or as candidate, nor do rows without an id; vectors are compared within their own length; a candidate
@@ -17,25 +22,30 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakerisk.llm.common import parts, stored
+from lakerisk.llm.common import ready, stored
 
 SEED = 20_240_521
+CODE_BITS = 512
 SIGMAS = 5.0  # half-width of the error bound, in spreads of the estimate
-BLOCK = 1024  # queries compared at a time; bounds what is broadcast
-SLAB = 4096  # vectors compared at a time in a task
+BLOCK = 1024  # queries in a block
+BLOCKS_AT_ONCE = 32  # query blocks that are broadcast together
+SLAB = 4096  # vectors compared with a block of queries at a time
 
 INDEX_SCHEMA = "vec_id long, vector array<double>, code binary, scalar double"
+PACKED_SCHEMA = "dim int, ids binary, vectors binary, codes binary, scalars binary"
+QUERIES_SCHEMA = "dim int, block long, query_ids binary, queries binary"
 FOUND_SCHEMA = "query_id long, vec_id long, score double"
 
 
 @cache
 def rotation(dim: int) -> np.ndarray:
-    """The same random orthogonal matrix in every task."""
-    square = np.random.default_rng(SEED + dim).normal(size=(dim, dim))
-    q, r = np.linalg.qr(square)
+    """The first ``dim`` columns of the same random orthogonal matrix in every task."""
+    bits = max(CODE_BITS, -(-dim // 8) * 8)
+    q, r = np.linalg.qr(np.random.default_rng(SEED + dim).normal(size=(bits, dim)))
     return q * np.sign(np.diag(r))
 
 
@@ -47,7 +57,7 @@ def tamed(vectors: np.ndarray) -> np.ndarray:
 def turned(vectors: np.ndarray) -> np.ndarray:
     vectors = tamed(vectors)
     units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    return units @ rotation(vectors.shape[1])
+    return units @ rotation(vectors.shape[1]).T
 
 
 def _encode(frames):
@@ -85,57 +95,94 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
 
 
-def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
-    found = found.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-    return found.groupby("query_id", sort=False).head(k)
-
-
-def _slab(ids, vectors, codes, scalars, query_ids, queries, k, floor):
-    """Pairs worth an exact comparison, compared; ``floor`` is each query's k-th best score so far."""
-    dim = queries.shape[1]
-    signs = np.unpackbits(codes, axis=1, count=dim).astype(np.float32) * 2 - 1
-    estimate = (signs @ (turned(queries).T / np.sqrt(dim)).astype(np.float32)) / scalars[:, None]
-    spread = np.sqrt(np.maximum(1 - scalars**2, 0)) / scalars / np.sqrt(max(dim - 1, 1))
-    margin = (SIGMAS * spread + 1e-5)[:, None]
-    own = ids[:, None] == query_ids[None, :]
-    lower = np.where(own, -np.inf, estimate - margin)
-    if len(ids) >= k:
-        floor = np.maximum(floor, np.partition(lower, len(ids) - k, axis=0)[len(ids) - k])
-    row, col = np.nonzero((estimate + margin >= floor[None, :]) & ~own)
-    out = []
-    for at in range(0, len(row), 200_000):  # bounds the copies of vectors
-        r, c = row[at:at + 200_000], col[at:at + 200_000]
-        out.append(pd.DataFrame({"query_id": query_ids[c], "vec_id": ids[r], "score": cosines(queries[c], vectors[r])}))
-        if len(row) > 200_000:
-            out = [_best(pd.concat(out), k)]
-    return out
-
-
-def _search(block, k):
-    def run(frames):
-        best = {dim: pd.DataFrame({"query_id": [], "vec_id": [], "score": []}) for dim in block.value}
-        floors = {dim: np.full(len(ids), -np.inf) for dim, (ids, _) in block.value.items()}
-        for frame in frames:
-            for at in range(0, len(frame), SLAB):
-                slab = frame.iloc[at:at + SLAB]
-                for dim, group in slab.groupby(slab["vector"].map(len)):
-                    if dim not in block.value:
-                        continue
-                    query_ids, queries = block.value[dim]
-                    codes = np.stack([np.frombuffer(c, np.uint8) for c in group["code"]])
-                    found = _slab(group["vec_id"].to_numpy(), np.stack(group["vector"].to_numpy()), codes,
-                                  group["scalar"].to_numpy(), query_ids, queries, k, floors[dim])
-                    if not found:
-                        continue
-                    kept = _best(pd.concat([best[dim], *found]), k)
-                    best[dim] = kept
-                    full = kept.groupby("query_id")["score"].agg(["size", "min"])
-                    full = full[full["size"] == k]["min"]
-                    place = pd.Series(np.arange(len(query_ids)), index=query_ids)
-                    floors[dim][place[full.index].to_numpy()] = full.to_numpy()
-        for kept in best.values():
-            if len(kept):
-                yield kept.astype({"query_id": "int64", "vec_id": "int64"})
+def _packed(batches):
+    """The rows of each batch as one row per vector length and at most ``SLAB`` vectors."""
+    for batch in batches:
+        frame = batch.to_pandas()
+        for dim, group in frame.groupby(frame["vector"].map(len)):
+            for at in range(0, len(group), SLAB):
+                part = group.iloc[at:at + SLAB]
+                row = [dim, part["vec_id"].to_numpy(np.int64).tobytes(), np.stack(part["vector"].to_numpy()).tobytes(),
+                       b"".join(part["code"]), part["scalar"].to_numpy(np.float64).tobytes()]
+                kinds = [pa.int32()] + [pa.binary()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names=["dim", "ids", "vectors", "codes", "scalars"])
+
+
+def _query_blocks(key, table):
+    """The queries of one block, one row per vector length."""
+    frame = table.to_pandas()
+    rows = [
+        (dim, key[0].as_py(), group["vec_id"].to_numpy(np.int64).tobytes(), np.stack(group["vector"].to_numpy()).tobytes())
+        for dim, group in frame.groupby(frame["vector"].map(len))
+    ]
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["dim", "block", "query_ids", "queries"])
+
+
+class Best:
+    """The k best scores of each query of a block, as far as a task has come."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+        self.ids, self.vectors, self.k = ids, vectors, k
+        self.turned = turned(vectors).astype(np.float32)
+        self.scores = np.full((len(ids), k), -np.inf)
+        self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, scalars: np.ndarray) -> int:
+        """Take what a slab has to offer; returns how many pairs were compared exactly."""
+        bits = self.turned.shape[1]
+        signs = np.unpackbits(codes, axis=1, count=bits).astype(np.float32) * 2 - 1
+        estimate = (self.turned / np.sqrt(bits)) @ signs.T / scalars.astype(np.float32)
+        margin = (SIGMAS * np.sqrt(np.maximum(1 - scalars**2, 0)) / scalars / np.sqrt(max(bits - 1, 1)) + 1e-5).astype(np.float32)
+        estimate += margin  # upper bounds from here on
+        estimate[self.ids[:, None] == ids[None, :]] = -np.inf
+        first = np.argpartition(-estimate, min(self.k, estimate.shape[1]) - 1, axis=1)[:, :self.k]
+        row = np.repeat(np.arange(len(self.ids)), first.shape[1])
+        near = first.ravel()
+        self._offer(row, near, ids, vectors, estimate)
+        taken = np.zeros(estimate.shape, bool)
+        taken[row, near] = True
+        row, near = np.nonzero((estimate >= self.scores[:, -1:]) & ~taken & (estimate > -np.inf))
+        for at in range(0, len(row), 200_000):  # bounds the copies of vectors
+            self._offer(row[at:at + 200_000], near[at:at + 200_000], ids, vectors, estimate)
+        return int(taken.sum()) + len(row)
+
+    def _offer(self, row, near, ids, vectors, estimate):
+        live = estimate[row, near] > -np.inf  # not the query's own row
+        row, near = row[live], near[live]
+        scores = cosines(self.vectors[row], vectors[near])
+        good = scores >= self.scores[row, -1]
+        row, near, scores = row[good], near[good], scores[good]
+        touched = np.unique(row)
+        all_rows = np.concatenate([row, np.repeat(touched, self.k)])
+        all_scores = np.concatenate([scores, self.scores[touched].ravel()])
+        all_ids = np.concatenate([ids[near], self.found[touched].ravel()])
+        order = np.lexsort((all_ids, -all_scores, all_rows))
+        all_rows, all_scores, all_ids = all_rows[order], all_scores[order], all_ids[order]
+        starts = np.flatnonzero(np.r_[True, all_rows[1:] != all_rows[:-1]]) if len(all_rows) else np.empty(0, np.int64)
+        place = starts[:, None] + np.arange(self.k)  # every touched query has its k former places at least
+        self.scores[touched], self.found[touched] = all_scores[place], all_ids[place]
+
+    def rows(self) -> pa.RecordBatch:
+        row, rank = np.nonzero(self.scores > -np.inf)
+        columns = [pa.array(self.ids[row]), pa.array(self.found[row, rank]), pa.array(self.scores[row, rank])]
+        return pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
+
+
+def _search(k):
+    def run(batches):
+        best: dict[tuple[int, int], Best] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                dim = row["dim"]
+                if (dim, row["block"]) not in best:
+                    best[dim, row["block"]] = Best(np.frombuffer(row["query_ids"], np.int64), np.frombuffer(row["queries"]).reshape(-1, dim), k)
+                ids = np.frombuffer(row["ids"], np.int64)
+                best[dim, row["block"]].add(
+                    ids, np.frombuffer(row["vectors"]).reshape(-1, dim), np.frombuffer(row["codes"], np.uint8).reshape(len(ids), -1),
+                    np.frombuffer(row["scalars"]))
+        for found in best.values():
+            yield found.rows()
 
     return run
 
@@ -143,26 +190,22 @@ def _search(block, k):
 def search(index: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest rows of the index to each query.
 
-    ``queries`` has ``vec_id, vector`` as ``usable`` gives them; of a repeated query id one row is taken.
-    The queries go over the index in blocks of at most ``BLOCK``; each task returns its own k best.
+    ``queries`` has ``vec_id, vector`` as ``usable`` gives them; of a repeated query id one row is taken. Query blocks
+    go over the index ``BLOCKS_AT_ONCE`` at a time; each round's result is stored before the next one.
     """
-    spark = index.sparkSession
+    ready(index.sparkSession)
     queries = stored(queries.groupBy("vec_id").agg(F.min("vector").alias("vector")), "ann-queries")
     blocks = max(1, -(-queries.count() // BLOCK))
-    found = []
     placed = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    for number in range(blocks):
-        part = placed.where(F.col("block") == number).select("vec_id", "vector").toPandas()
-        by_dim = {
-            dim: (group["vec_id"].to_numpy(), np.stack(group["vector"].to_numpy()))
-            for dim, group in part.groupby(part["vector"].map(len))
-        }
-        found.append(index.mapInPandas(_search(spark.sparkContext.broadcast(by_dim), k), FOUND_SCHEMA))
+    packed_queries = stored(placed.groupBy("block").applyInArrow(_query_blocks, QUERIES_SCHEMA), "ann-query-blocks")
+    packed = index.mapInArrow(_packed, PACKED_SCHEMA)
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    all_found = found[0]
-    for more in found[1:]:
-        all_found = all_found.unionByName(more)
-    return (
-        all_found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    found = None
+    for first in range(0, blocks, BLOCKS_AT_ONCE):
+        some = packed_queries.where(F.col("block").between(first, first + BLOCKS_AT_ONCE - 1))
+        met = packed.join(F.broadcast(some), "dim").mapInArrow(_search(k), FOUND_SCHEMA)
+        ranked = met.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        if blocks > BLOCKS_AT_ONCE:
+            ranked = stored(ranked, "ann-found")
+        found = ranked if found is None else found.unionByName(ranked)
+    return found

@@ -47,3 +47,34 @@ def test_unusable_vectors_take_no_part(spark):
 
 def test_empty_table(spark):
     assert search(spark, []) == []
+
+
+def test_few_pairs_are_compared_exactly(spark):
+    """On the given vectors the bounds leave at most a twentieth of the pairs, and no neighbour is lost."""
+    given = np.array([r[0] for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding").collect()], float)
+    random = np.random.default_rng(6)
+    vectors = np.vstack([given, *[given + random.normal(size=given.shape) * 0.1 for _ in range(4)]])
+    queries = vectors[::50]
+    points = ann.turned(vectors)
+    codes, scalars = np.packbits(points > 0, axis=1), np.abs(points).sum(axis=1) / np.sqrt(points.shape[1])
+    best, exact, ids = ann.Best(np.arange(0, len(vectors), 50), queries, 5), 0, np.arange(len(vectors))
+    for at in range(0, len(vectors), ann.SLAB):
+        part = slice(at, at + ann.SLAB)
+        exact += best.add(ids[part], vectors[part], codes[part], scalars[part])
+    share = exact / (len(queries) * len(vectors))
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    whole = unit[::50] @ unit.T
+    whole[np.arange(len(queries)), np.arange(0, len(vectors), 50)] = -2
+    want = np.argsort(-whole, axis=1)[:, :5]
+    print(share)
+    assert share < 0.05 and (best.found == want).mean() == 1
+
+
+def test_many_rounds_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 7)
+    monkeypatch.setattr(ann, "BLOCKS_AT_ONCE", 3)
+    random = np.random.default_rng(8)
+    rows = [(i, random.normal(size=(5, 9)[i % 3 == 0]).tolist()) for i in range(200)]
+    got = search(spark, rows)
+    want = [w for dim in (5, 9) for own in [[(i, np.array(v)) for i, v in rows if len(v) == dim]] for w in plain(own, own, 5)]
+    assert [g[:3] for g in got] == [w[:3] for w in sorted(want)]
