@@ -38,7 +38,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, and survives lost executors."""
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``stored`` wrote, once nothing that is still to run reads it."""
+    spark = df.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def parts(spark: SparkSession) -> int:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakerisk.llm.common import stored
+from lakerisk.llm.common import discard, stored
 
 
 def _hung_below(edges: DataFrame, upward: bool) -> DataFrame:
@@ -31,7 +31,9 @@ def components(links: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = stored(_hung_below(both, True).distinct(), "large-star")
-        edges = stored(_hung_below(large, False).distinct(), "small-star")
+        last, edges = edges, stored(_hung_below(large, False).distinct(), "small-star")
+        discard(large)
+        discard(last)
         after = _print(edges)
         if after == before:
             break

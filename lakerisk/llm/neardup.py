@@ -8,9 +8,16 @@ are filled, later rounds cannot change them. Two sketches agree in a coordinate
 
 ``BANDS`` bands of the sketch give bucket keys; at the least similarity of 0.75, bands of four coordinates miss
 a pair with a probability of about 5 in a million. Documents with equal word sequences are one class and are
-sketched as one. Candidates of a bucket are compared with one central hub of the bucket first; buckets whose
-members are then still in different components get other hubs, and in the end all pairs of members that are in
-different components are compared, so that no bucket is cut. Every link is confirmed on the full sets.
+sketched as one.
+
+Only links that join components are sought. The members of a bucket are read with their sketches, in blocks of about
+``BLOCK``, and two of them are candidates if their sizes allow a link and the sketches agree in ``AGREE`` coordinates:
+0.75 of them less five standard deviations, which loses a pair of the least similarity once in some millions. In the first
+round a block, to which the bucket's hub is added, gives the tree of its best-agreeing candidates: fewer than it has
+members, however many pairs there are. After the links are confirmed on the full sets, only buckets are kept that still
+hold several components, and each member outside the bucket's largest component gives its best-agreeing candidates of
+other components: a few, and four times as many in each further round, until none is left untested. So no bucket is cut,
+and no join makes pairs of its rows.
 
 Defined cases: a null or empty text, and one of white space alone, has no shingles and links with nothing;
 rows without an id take part but name no component, and are kept only if their whole component has no id;
@@ -18,23 +25,27 @@ rows of one id are kept or dropped together when their texts agree; further colu
 table gives an empty table.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakerisk.llm.common import ready, stored
+from lakerisk.llm.common import discard, ready, stored
 from lakerisk.llm.graph import components
 
 WORDS = 5
 PERCENT = 75
 BINS = 128
 BANDS = 32
-HUB_ROUNDS = 2  # rounds with new hubs before the remaining pairs are compared one by one
-FEW = 4  # remaining pairs a bucket row that are compared at once
+AGREE = 71  # of BINS coordinates
+BLOCK = 512
+FEW = 4  # candidates that a member gives in the second round
 
-SKETCH_SCHEMA = "id long, key binary, n long, bands array<long>"
+SKETCH_SCHEMA = "id long, key binary, n long, bands array<long>, marks binary"
+PAIR_SCHEMA = "a binary, b binary, untested long"
 SET_SCHEMA = "key binary, shingles array<long>"
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -97,16 +108,18 @@ def _texts(batch) -> list[bytes]:
 
 def _sketched(batches):
     for batch in batches:
-        keys, counts, bands = [], [], []
+        keys, counts, bands, marks = [], [], [], []
         for text in _texts(batch):
             words = words_of(text)
             elements = shingles(words)
+            values = sketch(elements) if len(elements) else None
             keys.append(xxhash.xxh128_digest(b" ".join(words)))
             counts.append(len(elements))
-            bands.append(band_keys(sketch(elements)) if len(elements) else None)
+            bands.append(None if values is None else band_keys(values))
+            marks.append(None if values is None else values.astype(np.uint8).tobytes())  # a random byte of each coordinate
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-            names=["id", "key", "n", "bands"],
+            [batch.column("id"), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
+            names=["id", "key", "n", "bands", "marks"],
         )
 
 
@@ -120,10 +133,6 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["key", "shingles"])
 
 
-def may_link(n: Column, m: Column) -> Column:
-    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` that link, compared on their full sets."""
     first = sets.select(F.col("key").alias("a"), F.col("shingles").alias("s"))
@@ -133,27 +142,111 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").where(100 * common >= PERCENT * union).select("a", "b")
 
 
-def hubs_of(members: DataFrame, used: DataFrame | None) -> DataFrame:
-    """Each bucket's most central member that was no hub yet: the one that meets most others in its buckets.
-
-    Of a family of edited copies that is one with few edits, the same in all buckets, which links most.
-    """
-    free = members if used is None else members.join(used, "key", "left_anti")
-    best = free.groupBy("bucket").agg(F.max(F.struct("degree", "key", "n", "root")).alias("hub"))
-    return best.select("bucket", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.root").alias("hub_root"))
-
-
-def hub_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Every member of a bucket with the bucket's hub, unless they are in one component already."""
-    met = members.join(hubs, "bucket").where((F.col("root") != F.col("hub_root")) & may_link(F.col("n"), F.col("hub_n")))
-    return met.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
-
-
-def all_pairs(members: DataFrame) -> DataFrame:
-    """Every two members of a bucket that are in different components."""
-    other = members.select("bucket", F.col("key").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-    met = members.join(other, "bucket").where((F.col("key") < F.col("b")) & (F.col("root") != F.col("other")) & may_link(F.col("n"), F.col("m")))
-    return met.select(F.col("key").alias("a"), "b").distinct()
+class Members:
+    """The members of one or two blocks of a bucket, with the agreement of their sketches."""
+
+    def __init__(self, rows: list[dict]):
+        self.keys = [r["key"] for r in rows]
+        self.sizes = np.array([r["n"] for r in rows], np.int64)
+        self.marks = np.frombuffer(b"".join(r["marks"] for r in rows), np.uint8).reshape(len(rows), -1)
+        names = {}
+        self.roots = np.array([names.setdefault(r["root"], len(names)) for r in rows], np.int64)
+
+    def agreement(self, rows) -> np.ndarray:
+        """Coordinates in which ``rows`` agree with all members; -1 where the pair is no candidate."""
+        out = np.empty((len(rows), len(self.keys)), np.int16)
+        for at in range(0, len(rows), 32):
+            some = rows[at:at + 32]
+            same = (self.marks[some][:, None, :] == self.marks[None, :, :]).sum(axis=2, dtype=np.int16)
+            n, m = self.sizes[some][:, None], self.sizes[None, :]
+            fit = (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (self.roots[some][:, None] != self.roots[None, :])
+            out[at:at + 32] = np.where(fit & (same >= AGREE), same, -1)
+        return out
+
+    def tree(self) -> list[tuple[int, int]]:
+        """The best-agreeing candidates that join all members that candidates can join, one fewer than there are of them."""
+        agree = self.agreement(np.arange(len(self.keys)))
+        found, outside = [], np.ones(len(self.keys), bool)
+        best, source = np.full(len(self.keys), -1, np.int16), np.zeros(len(self.keys), np.int64)
+        while outside.any():
+            near = int(np.argmax(np.where(outside, best, -2)))
+            if best[near] >= 0:
+                found.append((int(source[near]), near))
+            outside[near] = False
+            better = agree[near] > best
+            best[better], source[better] = agree[near][better], near
+        return found
+
+    def best(self, rows, others, count: int) -> tuple[list[tuple[int, int]], int]:
+        """The ``count`` best candidates of each of ``rows`` among ``others``, and how many more there are."""
+        found, more = [], 0
+        agree = self.agreement(rows)[:, others] if len(rows) else np.empty((0, len(others)), np.int16)
+        for i, line in zip(rows, agree):
+            good = np.flatnonzero(line >= 0)
+            if len(good) > count:
+                more += len(good) - count
+                good = good[np.argpartition(-line[good], count - 1)[:count]]
+            found += [(int(i), int(others[j])) for j in good]
+        return found, more
+
+
+def _pairs(members: Members, found, more: int = 0) -> pa.RecordBatch:
+    ends = [sorted((members.keys[i], members.keys[j])) for i, j in found]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([e[0] for e in ends], pa.binary()), pa.array([e[1] for e in ends], pa.binary()), pa.array([more] * len(ends), pa.int64())],
+        names=["a", "b", "untested"])
+
+
+def _trees(batches):
+    """The tree of each block and its bucket's hub."""
+    for batch in batches:
+        for block in batch.to_pylist():
+            rows = block["members"] + ([] if any(r["key"] == block["hub"]["key"] for r in block["members"]) else [block["hub"]])
+            if len(rows) > 1:
+                members = Members(rows)
+                yield _pairs(members, members.tree())
+
+
+def _bests(count):
+    def run(batches):
+        for batch in batches:
+            for block in batch.to_pylist():
+                left = block["members"]
+                members = Members(left + (block["others"] or []))
+                rows = np.flatnonzero([r["outside"] for r in left])
+                others = np.arange(len(left) if block["others"] else 0, len(members.keys))
+                found, more = members.best(rows, others, count)
+                if found:
+                    yield _pairs(members, found, more)
+
+    return run
+
+
+def in_blocks(members: DataFrame, *columns: str) -> DataFrame:
+    """``bucket, part, members``: the bucket's rows in parts of about ``BLOCK``."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("rows"))
+    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("rows") / BLOCK)).cast("int")
+    return members.join(sizes, "bucket").groupBy("bucket", part.alias("part")).agg(F.collect_list(F.struct("key", "n", "marks", "root", *columns)).alias("members"))
+
+
+def first_pairs(members: DataFrame) -> DataFrame:
+    """Candidates that join each block's members with each other and with the bucket's most central one: the one that
+    meets most others in its buckets, the same in all buckets of a family of edited copies."""
+    hub = F.max(F.struct("degree", "key", "n", "marks", "root")).alias("hub")
+    blocks = in_blocks(members).join(members.groupBy("bucket").agg(hub), "bucket")
+    return blocks.select("members", "hub").mapInArrow(_trees, PAIR_SCHEMA)
+
+
+def further_pairs(members: DataFrame, count: int) -> DataFrame:
+    """The ``count`` best candidates of each member outside its bucket's largest component, in every block of the bucket."""
+    weight = members.groupBy("bucket", "root").agg(F.count("*").alias("c"))
+    main = weight.groupBy("bucket").agg(F.max(F.struct("c", "root"))["root"].alias("main"))
+    marked = members.join(main, "bucket").withColumn("outside", F.col("root") != F.col("main"))
+    blocks = in_blocks(marked, "outside")
+    others = blocks.select("bucket", F.col("part").alias("other_part"), F.col("members").alias("others"))
+    met = blocks.where(F.exists("members", lambda m: m["outside"])).join(others, "bucket")
+    others = F.when(F.col("part") != F.col("other_part"), F.col("others"))
+    return met.select("members", others.alias("others")).mapInArrow(_bests(count), PAIR_SCHEMA)
 
 
 def rooted(members: DataFrame, parts_: DataFrame) -> DataFrame:
@@ -163,44 +256,34 @@ def rooted(members: DataFrame, parts_: DataFrame) -> DataFrame:
     return now.join(mixed, "bucket")
 
 
-def open_pairs(members: DataFrame) -> tuple[int, int]:
-    """How many pairs of members are in different components, and how many members there are."""
-    sizes = members.groupBy("bucket", "root").agg(F.count("*").cast("double").alias("c"))
-    each = sizes.groupBy("bucket").agg(F.sum("c").alias("rows"), F.sum(F.col("c") * F.col("c")).alias("same"))
-    row = each.agg(F.sum((F.col("rows") ** 2 - F.col("same")) / 2), F.sum("rows")).first()
-    return row[0] or 0, row[1] or 0
-
-
-def link_classes(classes: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
-    """Components ``node, root`` of the classes that share buckets."""
-    links = tried = used = None
+def link_classes(sets: DataFrame, members: DataFrame) -> DataFrame | None:
+    """Components ``node, root`` of the classes that share buckets; None without any link."""
+    links, tried, parts_, count = [], [], None, FEW
     members = members.withColumn("root", F.col("key"))
-    turn = 0
     while True:
-        pairs_left, rows = open_pairs(members)
-        if not pairs_left:
-            break
-        last = turn >= HUB_ROUNDS or (turn > 0 and pairs_left <= FEW * rows)
-        if last:
-            pairs = all_pairs(members)
-        else:
-            hubs = stored(hubs_of(members, used), "hubs")
-            own = hubs.select(F.col("hub").alias("key")).distinct()
-            used = own if used is None else used.unionByName(own)
-            pairs = hub_pairs(members, hubs)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        made = stored(further_pairs(members, count) if tried else first_pairs(members), "candidates")
+        pairs = made.select("a", "b").distinct()
+        for before in tried:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         found = stored(confirmed(pairs, sets), "links")
-        links = found if links is None else links.unionByName(found)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        if last:
-            break
-        members = stored(rooted(members, components(links)), "members")
-        # a bucket of two has been compared in full
-        members = members.join(members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 2").select("bucket"), "bucket")
-        turn += 1
-    return None if links is None else components(links)
+        complete = bool(tried) and made.where("untested > 0").isEmpty()
+        discard(made)
+        if not found.isEmpty():
+            links.append(found)
+            if parts_ is not None:
+                discard(parts_)
+            parts_ = stored(components(reduce(DataFrame.unionByName, links)), "components")
+            shrunk = stored(rooted(members, parts_), "members")
+            if tried:
+                discard(members)
+            members = shrunk
+        elif not tried:
+            members = stored(members, "members")
+        count *= 4 if tried else 1
+        tried.append(pairs)
+        if complete or members.isEmpty():
+            return parts_
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -208,20 +291,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ready(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sketched = stored(rows.mapInArrow(_sketched, SKETCH_SCHEMA), "sketches")
-    classes = sketched.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    classes = stored(classes, "classes")
+    classes = stored(sketched.where("n > 0").groupBy("key").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("marks").alias("marks")), "classes")
 
-    placed = classes.select("key", "n", F.explode("bands").alias("bucket"))
+    placed = classes.select("key", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = stored(placed.join(shared, "bucket"), "bucket-members")
-    degrees = members.groupBy("key").agg(F.sum("size").alias("degree"))
-    members = stored(members.drop("size").join(degrees, "key"), "members")
-    wanted = members.select("key").distinct()
-    chosen = classes.join(wanted, "key", "left_semi").select(F.col("id").alias("chosen")).distinct()
-    texts = rows.join(chosen, F.col("id").eqNullSafe(F.col("chosen")), "left_semi")
-    sets = stored(texts.mapInArrow(_sets, SET_SCHEMA).join(wanted, "key", "left_semi").dropDuplicates(["key"]), "sets")
-
-    parts_ = link_classes(classes, sets, members)
+    met = stored(placed.join(shared, "bucket"), "bucket-members")
+    degrees = met.groupBy("key").agg(F.sum("size").alias("degree"))
+    known = degrees.join(classes.select("key", "id", "n", "marks"), "key")
+    members = stored(met.drop("size").join(known.drop("id"), "key"), "members")
+    wanted = stored(known.select("key", "id"), "wanted")
+    discard(met)
+    texts = rows.join(wanted.select(F.col("id").alias("chosen")).distinct(), F.col("id").eqNullSafe(F.col("chosen")), "left_semi")
+    sets = stored(texts.mapInArrow(_sets, SET_SCHEMA).join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "sets")
+
+    parts_ = link_classes(sets, members)
+    discard(sets)
+    discard(members)
     named = classes.select("key", "id")
     if parts_ is None:
         named = named.withColumn("root", F.col("key"))
