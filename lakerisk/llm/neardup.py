@@ -12,12 +12,12 @@ sketched as one.
 
 Only links that join components are sought. The members of a bucket are read with their sketches, in blocks of about
 ``BLOCK``, and two of them are candidates if their sizes allow a link and the sketches agree in ``AGREE`` coordinates:
-0.75 of them less five standard deviations, which loses a pair of the least similarity once in some millions. In the first
+0.75 of them less four standard deviations, which loses a pair of the least similarity three times in 100,000. In the first
 round a block, to which the bucket's hub is added, gives the tree of its best-agreeing candidates: fewer than it has
 members, however many pairs there are. After the links are confirmed on the full sets, only buckets are kept that still
 hold several components, and each member outside the bucket's largest component gives its best-agreeing candidates of
-other components: a few, and four times as many in each further round, until none is left untested. So no bucket is cut,
-and no join makes pairs of its rows.
+other components: a few, then more, then all, until none is left untested; a pair is given by the first of the bands that it
+shares alone. So no bucket is cut, and no join makes pairs of its rows.
 
 Defined cases: a null or empty text, and one of white space alone, has no shingles and links with nothing;
 rows without an id take part but name no component, and are kept only if their whole component has no id;
@@ -40,9 +40,9 @@ WORDS = 5
 PERCENT = 75
 BINS = 128
 BANDS = 32
-AGREE = 71  # of BINS coordinates
+AGREE = 77  # of BINS coordinates
 BLOCK = 512
-FEW = 4  # candidates that a member gives in the second round
+GIVEN = (4, 64, 2**31)  # candidates that a member gives in the second, the third and the further rounds
 
 SKETCH_SCHEMA = "id long, key binary, n long, bands array<long>, marks binary"
 PAIR_SCHEMA = "a binary, b binary, untested long"
@@ -152,12 +152,16 @@ class Members:
         names = {}
         self.roots = np.array([names.setdefault(r["root"], len(names)) for r in rows], np.int64)
 
-    def agreement(self, rows) -> np.ndarray:
-        """Coordinates in which ``rows`` agree with all members; -1 where the pair is no candidate."""
+    def agreement(self, rows, band: int | None = None) -> np.ndarray:
+        """Coordinates in which ``rows`` agree with all members; -1 where the pair is no candidate, or another band's."""
         out = np.empty((len(rows), len(self.keys)), np.int16)
         for at in range(0, len(rows), 32):
             some = rows[at:at + 32]
-            same = (self.marks[some][:, None, :] == self.marks[None, :, :]).sum(axis=2, dtype=np.int16)
+            equal = self.marks[some][:, None, :] == self.marks[None, :, :]
+            same = equal.sum(axis=2, dtype=np.int16)
+            if band is not None:
+                first = equal.reshape(*same.shape, BANDS, -1).all(axis=3).argmax(axis=2)
+                same[first != band] = -1
             n, m = self.sizes[some][:, None], self.sizes[None, :]
             fit = (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (self.roots[some][:, None] != self.roots[None, :])
             out[at:at + 32] = np.where(fit & (same >= AGREE), same, -1)
@@ -177,10 +181,10 @@ class Members:
             best[better], source[better] = agree[near][better], near
         return found
 
-    def best(self, rows, others, count: int) -> tuple[list[tuple[int, int]], int]:
+    def best(self, rows, others, count: int, band: int) -> tuple[list[tuple[int, int]], int]:
         """The ``count`` best candidates of each of ``rows`` among ``others``, and how many more there are."""
         found, more = [], 0
-        agree = self.agreement(rows)[:, others] if len(rows) else np.empty((0, len(others)), np.int16)
+        agree = self.agreement(rows, band)[:, others] if len(rows) else np.empty((0, len(others)), np.int16)
         for i, line in zip(rows, agree):
             good = np.flatnonzero(line >= 0)
             if len(good) > count:
@@ -215,7 +219,7 @@ def _bests(count):
                 members = Members(left + (block["others"] or []))
                 rows = np.flatnonzero([r["outside"] for r in left])
                 others = np.arange(len(left) if block["others"] else 0, len(members.keys))
-                found, more = members.best(rows, others, count)
+                found, more = members.best(rows, others, count, block["band"])
                 if found:
                     yield _pairs(members, found, more)
 
@@ -223,10 +227,10 @@ def _bests(count):
 
 
 def in_blocks(members: DataFrame, *columns: str) -> DataFrame:
-    """``bucket, part, members``: the bucket's rows in parts of about ``BLOCK``."""
+    """``bucket, band, part, members``: the bucket's rows in parts of about ``BLOCK``."""
     sizes = members.groupBy("bucket").agg(F.count("*").alias("rows"))
     part = F.pmod(F.xxhash64("key"), F.ceil(F.col("rows") / BLOCK)).cast("int")
-    return members.join(sizes, "bucket").groupBy("bucket", part.alias("part")).agg(F.collect_list(F.struct("key", "n", "marks", "root", *columns)).alias("members"))
+    return members.join(sizes, "bucket").groupBy("bucket", "band", part.alias("part")).agg(F.collect_list(F.struct("key", "n", "marks", "root", *columns)).alias("members"))
 
 
 def first_pairs(members: DataFrame) -> DataFrame:
@@ -246,7 +250,7 @@ def further_pairs(members: DataFrame, count: int) -> DataFrame:
     others = blocks.select("bucket", F.col("part").alias("other_part"), F.col("members").alias("others"))
     met = blocks.where(F.exists("members", lambda m: m["outside"])).join(others, "bucket")
     others = F.when(F.col("part") != F.col("other_part"), F.col("others"))
-    return met.select("members", others.alias("others")).mapInArrow(_bests(count), PAIR_SCHEMA)
+    return met.select("band", "members", others.alias("others")).mapInArrow(_bests(count), PAIR_SCHEMA)
 
 
 def rooted(members: DataFrame, parts_: DataFrame) -> DataFrame:
@@ -258,13 +262,13 @@ def rooted(members: DataFrame, parts_: DataFrame) -> DataFrame:
 
 def link_classes(sets: DataFrame, members: DataFrame) -> DataFrame | None:
     """Components ``node, root`` of the classes that share buckets; None without any link."""
-    links, tried, parts_, count = [], [], None, FEW
+    links, tried, parts_ = [], [], None
     members = members.withColumn("root", F.col("key"))
     while True:
-        made = stored(further_pairs(members, count) if tried else first_pairs(members), "candidates")
+        made = stored(further_pairs(members, GIVEN[min(len(tried), len(GIVEN)) - 1]) if tried else first_pairs(members), "candidates")
         pairs = made.select("a", "b").distinct()
-        for before in tried:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        if tried:
+            pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         found = stored(confirmed(pairs, sets), "links")
         complete = bool(tried) and made.where("untested > 0").isEmpty()
@@ -280,7 +284,6 @@ def link_classes(sets: DataFrame, members: DataFrame) -> DataFrame | None:
             members = shrunk
         elif not tried:
             members = stored(members, "members")
-        count *= 4 if tried else 1
         tried.append(pairs)
         if complete or members.isEmpty():
             return parts_
@@ -294,7 +297,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(sketched.where("n > 0").groupBy("key").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("marks").alias("marks")), "classes")
 
-    placed = classes.select("key", F.explode("bands").alias("bucket"))
+    placed = classes.select("key", F.posexplode("bands").alias("band", "bucket"))
     shared = placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     met = stored(placed.join(shared, "bucket"), "bucket-members")
     degrees = met.groupBy("key").agg(F.sum("size").alias("degree"))
