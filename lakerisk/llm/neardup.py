@@ -16,7 +16,7 @@ Only links that join components are sought. The members of a bucket are read wit
 round a block, to which the bucket's hub is added, gives the tree of its best-agreeing candidates: fewer than it has
 members, however many pairs there are. After the links are confirmed on the full sets, only buckets are kept that still
 hold several components, and each member outside the bucket's largest component gives its best-agreeing candidates of
-other components: a few, then more, then all, until none is left untested; a pair is given by the first of the bands that it
+other components: a few, then all, until none is left untested; a pair is given by the first of the bands that it
 shares alone. So no bucket is cut, and no join makes pairs of its rows.
 
 Defined cases: a null or empty text, and one of white space alone, has no shingles and links with nothing;
@@ -42,7 +42,7 @@ BINS = 128
 BANDS = 32
 AGREE = 77  # of BINS coordinates
 BLOCK = 512
-GIVEN = (4, 64, 2**31)  # candidates that a member gives in the second, the third and the further rounds
+GIVEN = (4, 2**31)  # candidates that a member gives in the second and the further rounds
 
 SKETCH_SCHEMA = "id long, key binary, n long, bands array<long>, marks binary"
 PAIR_SCHEMA = "a binary, b binary, untested long"
