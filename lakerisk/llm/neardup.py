@@ -12,12 +12,15 @@ sketched as one.
 
 Only links that join components are sought. The members of a bucket are read with their sketches, in blocks of about
 ``BLOCK``, and two of them are candidates if their sizes allow a link and the sketches agree in ``AGREE`` coordinates:
-0.75 of them less four standard deviations, which loses a pair of the least similarity three times in 100,000. In the first
-round a block, to which the bucket's hub is added, gives the tree of its best-agreeing candidates: fewer than it has
-members, however many pairs there are. After the links are confirmed on the full sets, only buckets are kept that still
-hold several components, and each member outside the bucket's largest component gives its best-agreeing candidates of
-other components: a few, then all, until none is left untested; a pair is given by the first of the bands that it
-shares alone. So no bucket is cut, and no join makes pairs of its rows.
+0.75 of them less four standard deviations, which loses a pair of the least similarity three times in 100,000. First
+a block, to which the bucket's hub is added, gives the tree of its best-agreeing candidates: fewer than it has
+members, however many pairs there are; these links are confirmed on the full sets by joins. Then only buckets are kept
+that still hold several components. Members with a candidate in another component are noted, and their full sets brought
+to the bucket, again in blocks; there each member outside the bucket's largest component is compared on the full sets
+with its candidates, best first, unless the links found in these blocks already tie the two. A pair is compared in the first
+of the bands that it shares alone, and blocks give links that tie components, fewer than they have members. So no bucket
+is cut, every candidate is tied or compared, and no join makes pairs of documents; the comparisons in a bucket of edited copies
+around the threshold grow with the square of it, the rows that are shuffled do not.
 
 Defined cases: a null or empty text, and one of white space alone, has no shingles and links with nothing;
 rows without an id take part but name no component, and are kept only if their whole component has no id;
@@ -25,12 +28,10 @@ rows of one id are kept or dropped together when their texts agree; further colu
 table gives an empty table.
 """
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakerisk.llm.common import discard, ready, stored
@@ -42,10 +43,10 @@ BINS = 128
 BANDS = 32
 AGREE = 77  # of BINS coordinates
 BLOCK = 512
-GIVEN = (4, 2**31)  # candidates that a member gives in the second and the further rounds
+ELEMENTS = 500_000  # of the full sets in a block, about
 
-SKETCH_SCHEMA = "id long, key binary, n long, bands array<long>, marks binary"
-PAIR_SCHEMA = "a binary, b binary, untested long"
+SKETCH_SCHEMA = "id long, key binary, n long, bands array<long>, marks binary, tags binary"
+PAIR_SCHEMA = "a binary, b binary"
 SET_SCHEMA = "key binary, shingles array<long>"
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -108,7 +109,7 @@ def _texts(batch) -> list[bytes]:
 
 def _sketched(batches):
     for batch in batches:
-        keys, counts, bands, marks = [], [], [], []
+        keys, counts, bands, marks, tags = [], [], [], [], []
         for text in _texts(batch):
             words = words_of(text)
             elements = shingles(words)
@@ -117,9 +118,11 @@ def _sketched(batches):
             counts.append(len(elements))
             bands.append(None if values is None else band_keys(values))
             marks.append(None if values is None else values.astype(np.uint8).tobytes())  # a random byte of each coordinate
+            tags.append(None if values is None else bands[-1].astype(np.uint32).tobytes())  # 32 bits of each band's key
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
-            names=["id", "key", "n", "bands", "marks"],
+            [batch.column("id"), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(bands, pa.list_(pa.int64())),
+             pa.array(marks, pa.binary()), pa.array(tags, pa.binary())],
+            names=["id", "key", "n", "bands", "marks", "tags"],
         )
 
 
@@ -145,26 +148,30 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 class Members:
     """The members of one or two blocks of a bucket, with the agreement of their sketches."""
 
-    def __init__(self, rows: list[dict]):
-        self.keys = [r["key"] for r in rows]
-        self.sizes = np.array([r["n"] for r in rows], np.int64)
-        self.marks = np.frombuffer(b"".join(r["marks"] for r in rows), np.uint8).reshape(len(rows), -1)
+    def __init__(self, *blocks: pa.StructArray):
+        def column(name):
+            return [x for block in blocks for x in block.field(name).to_pylist()]
+
+        self.keys = column("key")
+        self.sizes = np.array(column("n"), np.int64)
+        self.marks = np.frombuffer(b"".join(column("marks")), np.uint8).reshape(len(self.keys), -1)
+        self.tags = np.frombuffer(b"".join(column("tags")), np.uint32).reshape(len(self.keys), -1)
         names = {}
-        self.roots = np.array([names.setdefault(r["root"], len(names)) for r in rows], np.int64)
+        self.roots = np.array([names.setdefault(r, len(names)) for r in column("root")], np.int64)
 
     def agreement(self, rows, band: int | None = None) -> np.ndarray:
         """Coordinates in which ``rows`` agree with all members; -1 where the pair is no candidate, or another band's."""
         out = np.empty((len(rows), len(self.keys)), np.int16)
         for at in range(0, len(rows), 32):
             some = rows[at:at + 32]
-            equal = self.marks[some][:, None, :] == self.marks[None, :, :]
-            same = equal.sum(axis=2, dtype=np.int16)
-            if band is not None:
-                first = equal.reshape(*same.shape, BANDS, -1).all(axis=3).argmax(axis=2)
-                same[first != band] = -1
+            same = (self.marks[some][:, None, :] == self.marks[None, :, :]).sum(axis=2, dtype=np.int16)
             n, m = self.sizes[some][:, None], self.sizes[None, :]
             fit = (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (self.roots[some][:, None] != self.roots[None, :])
-            out[at:at + 32] = np.where(fit & (same >= AGREE), same, -1)
+            fit &= same >= AGREE
+            if band is not None:
+                i, j = np.nonzero(fit)
+                fit[i, j] = (self.tags[some][i] == self.tags[j]).argmax(axis=1) == band
+            out[at:at + 32] = np.where(fit, same, -1)
         return out
 
     def tree(self) -> list[tuple[int, int]]:
@@ -181,76 +188,122 @@ class Members:
             best[better], source[better] = agree[near][better], near
         return found
 
-    def best(self, rows, others, count: int, band: int) -> tuple[list[tuple[int, int]], int]:
-        """The ``count`` best candidates of each of ``rows`` among ``others``, and how many more there are."""
-        found, more = [], 0
-        agree = self.agreement(rows, band)[:, others] if len(rows) else np.empty((0, len(others)), np.int16)
+    def links(self, agree: np.ndarray, rows, others, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        """Links of ``rows`` to candidates among ``others`` that tie components which no link before ties.
+
+        ``agree`` has a line for each of ``rows`` and a column for each of ``others``.
+        """
+        root = list(range(int(self.roots.max()) + 1))
+
+        def find(x):
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        lengths = np.array([len(x) for x in sets])
+        distinct, places = np.unique(np.concatenate(sets), return_inverse=True)
+        places = np.split(places, np.cumsum(lengths)[:-1])
+        held, found = np.zeros(len(distinct), bool), []
         for i, line in zip(rows, agree):
             good = np.flatnonzero(line >= 0)
-            if len(good) > count:
-                more += len(good) - count
-                good = good[np.argpartition(-line[good], count - 1)[:count]]
-            found += [(int(i), int(others[j])) for j in good]
-        return found, more
+            held[places[i]] = True
+            for j in others[good[np.argsort(-line[good], kind="stable")]]:
+                x, y = find(self.roots[i]), find(self.roots[j])
+                if x != y:
+                    common = int(np.count_nonzero(held[places[j]]))
+                    if 100 * common >= PERCENT * (int(lengths[i]) + int(lengths[j]) - common):
+                        root[x] = y
+                        found.append((int(i), int(j)))
+            held[places[i]] = False
+        return found
 
 
-def _pairs(members: Members, found, more: int = 0) -> pa.RecordBatch:
+def _pairs(members: Members, found) -> pa.RecordBatch:
     ends = [sorted((members.keys[i], members.keys[j])) for i, j in found]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([e[0] for e in ends], pa.binary()), pa.array([e[1] for e in ends], pa.binary()), pa.array([more] * len(ends), pa.int64())],
-        names=["a", "b", "untested"])
+    return pa.RecordBatch.from_arrays([pa.array([e[0] for e in ends], pa.binary()), pa.array([e[1] for e in ends], pa.binary())], names=["a", "b"])
 
 
 def _trees(batches):
     """The tree of each block and its bucket's hub."""
     for batch in batches:
-        for block in batch.to_pylist():
-            rows = block["members"] + ([] if any(r["key"] == block["hub"]["key"] for r in block["members"]) else [block["hub"]])
-            if len(rows) > 1:
-                members = Members(rows)
+        hubs = batch.column("hub")
+        for at in range(batch.num_rows):
+            rows, hub = batch.column("members")[at].values, hubs.slice(at, 1)
+            inside = hub.field("key")[0].as_py() in rows.field("key").to_pylist()
+            if len(rows) > inside:
+                members = Members(rows) if inside else Members(rows, hub)
                 yield _pairs(members, members.tree())
 
 
-def _bests(count):
-    def run(batches):
-        for batch in batches:
-            for block in batch.to_pylist():
-                left = block["members"]
-                members = Members(left + (block["others"] or []))
-                rows = np.flatnonzero([r["outside"] for r in left])
-                others = np.arange(len(left) if block["others"] else 0, len(members.keys))
-                found, more = members.best(rows, others, count, block["band"])
-                if found:
-                    yield _pairs(members, found, more)
-
-    return run
-
-
-def in_blocks(members: DataFrame, *columns: str) -> DataFrame:
-    """``bucket, band, part, members``: the bucket's rows in parts of about ``BLOCK``."""
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("rows"))
-    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("rows") / BLOCK)).cast("int")
-    return members.join(sizes, "bucket").groupBy("bucket", "band", part.alias("part")).agg(F.collect_list(F.struct("key", "n", "marks", "root", *columns)).alias("members"))
+def _met(batches):
+    """Of each row of two blocks: its bucket, the members, their first block's rows that lie outside the bucket's largest
+    component, the rows that these may link with, the agreement of both, and the blocks."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            left, right = batch.column("members")[at].values, batch.column("others")[at].values
+            blocks = [left] if right is None else [left, right]
+            members = Members(*blocks)
+            rows = np.flatnonzero(left.field("outside").to_pylist())
+            others = np.arange(0 if right is None else len(left), len(members.keys))
+            agree = members.agreement(rows, batch.column("band")[at].as_py())[:, others]
+            if (agree >= 0).any():
+                yield batch.column("bucket")[at].as_py(), members, rows, others, agree, blocks
+
+
+def _candidates(batches):
+    """The members with a candidate, by bucket."""
+    for bucket, members, rows, others, agree, _ in _met(batches):
+        able = agree >= 0
+        keys = {members.keys[i] for i in [*rows[able.any(axis=1)], *others[able.any(axis=0)]]}
+        yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(keys), pa.int64()), pa.array(list(keys), pa.binary())], names=["bucket", "key"])
+
+
+def _links(batches):
+    """Links between blocks, on the full sets."""
+    for _, members, rows, others, agree, blocks in _met(batches):
+        sets = [x.values.to_numpy() for block in blocks for x in block.field("shingles")]
+        found = members.links(agree, rows, others, sets)
+        if found:
+            yield _pairs(members, found)
+
+
+def in_blocks(members: DataFrame, *columns: str, weight: Column | None = None) -> DataFrame:
+    """``bucket, band, part, members``: the bucket's rows in parts of about ``BLOCK``, of a total weight of about 1."""
+    share = F.lit(1 / BLOCK) if weight is None else F.greatest(F.lit(1 / BLOCK), weight)
+    sizes = members.groupBy("bucket").agg(F.sum(share).alias("size"))
+    part = F.pmod(F.xxhash64("key"), F.ceil("size")).cast("int")
+    held = F.collect_list(F.struct("key", "n", "marks", "tags", "root", *columns))
+    return members.join(sizes, "bucket").groupBy("bucket", "band", part.alias("part")).agg(held.alias("members"))
 
 
 def first_pairs(members: DataFrame) -> DataFrame:
     """Candidates that join each block's members with each other and with the bucket's most central one: the one that
     meets most others in its buckets, the same in all buckets of a family of edited copies."""
-    hub = F.max(F.struct("degree", "key", "n", "marks", "root")).alias("hub")
+    hub = F.max(F.struct("degree", "key", "n", "marks", "tags", "root")).alias("hub")
     blocks = in_blocks(members).join(members.groupBy("bucket").agg(hub), "bucket")
     return blocks.select("members", "hub").mapInArrow(_trees, PAIR_SCHEMA)
 
 
-def further_pairs(members: DataFrame, count: int) -> DataFrame:
-    """The ``count`` best candidates of each member outside its bucket's largest component, in every block of the bucket."""
-    weight = members.groupBy("bucket", "root").agg(F.count("*").alias("c"))
-    main = weight.groupBy("bucket").agg(F.max(F.struct("c", "root"))["root"].alias("main"))
-    marked = members.join(main, "bucket").withColumn("outside", F.col("root") != F.col("main"))
-    blocks = in_blocks(marked, "outside")
+def blocks_met(blocks: DataFrame) -> DataFrame:
+    """Each block with a member outside its bucket's largest component, with each block of the bucket."""
     others = blocks.select("bucket", F.col("part").alias("other_part"), F.col("members").alias("others"))
     met = blocks.where(F.exists("members", lambda m: m["outside"])).join(others, "bucket")
-    others = F.when(F.col("part") != F.col("other_part"), F.col("others"))
-    return met.select("band", "members", others.alias("others")).mapInArrow(_bests(count), PAIR_SCHEMA)
+    return met.select("bucket", "band", "members", F.when(F.col("part") != F.col("other_part"), F.col("others")).alias("others"))
+
+
+def further_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the components that still share buckets: enough of them to tie all that links tie."""
+    weight = members.groupBy("bucket", "root").agg(F.count("*").alias("c"))
+    main = weight.groupBy("bucket").agg(F.max(F.struct("c", "root"))["root"].alias("main"))
+    marked = stored(members.join(main, "bucket").withColumn("outside", F.col("root") != F.col("main")), "marked")
+    able = stored(blocks_met(in_blocks(marked, "outside")).mapInArrow(_candidates, "bucket long, key binary").distinct(), "able")
+    chosen = sets.join(able.select("key").distinct(), "key", "left_semi")
+    full = marked.join(able, ["bucket", "key"], "left_semi").join(chosen, "key")
+    blocks = in_blocks(full, "outside", "shingles", weight=F.col("n") / ELEMENTS)
+    links = stored(blocks_met(blocks).mapInArrow(_links, PAIR_SCHEMA).distinct(), "links")
+    discard(marked)
+    discard(able)
+    return links
 
 
 def rooted(members: DataFrame, parts_: DataFrame) -> DataFrame:
@@ -262,31 +315,17 @@ def rooted(members: DataFrame, parts_: DataFrame) -> DataFrame:
 
 def link_classes(sets: DataFrame, members: DataFrame) -> DataFrame | None:
     """Components ``node, root`` of the classes that share buckets; None without any link."""
-    links, tried, parts_ = [], [], None
     members = members.withColumn("root", F.col("key"))
-    while True:
-        made = stored(further_pairs(members, GIVEN[min(len(tried), len(GIVEN)) - 1]) if tried else first_pairs(members), "candidates")
-        pairs = made.select("a", "b").distinct()
-        if tried:
-            pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(confirmed(pairs, sets), "links")
-        complete = bool(tried) and made.where("untested > 0").isEmpty()
-        discard(made)
-        if not found.isEmpty():
-            links.append(found)
-            if parts_ is not None:
-                discard(parts_)
-            parts_ = stored(components(reduce(DataFrame.unionByName, links)), "components")
-            shrunk = stored(rooted(members, parts_), "members")
-            if tried:
-                discard(members)
-            members = shrunk
-        elif not tried:
-            members = stored(members, "members")
-        tried.append(pairs)
-        if complete or members.isEmpty():
-            return parts_
+    pairs = stored(first_pairs(members).distinct(), "pairs")
+    links = stored(confirmed(pairs, sets), "links")
+    discard(pairs)
+    parts_ = None if links.isEmpty() else stored(components(links), "components")
+    mixed = stored(members if parts_ is None else rooted(members, parts_), "members")
+    more = further_links(mixed, sets)
+    discard(mixed)
+    if not more.isEmpty():
+        parts_ = stored(components(links.unionByName(more)), "components")
+    return parts_
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -295,13 +334,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sketched = stored(rows.mapInArrow(_sketched, SKETCH_SCHEMA), "sketches")
     classes = stored(sketched.where("n > 0").groupBy("key").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("marks").alias("marks")), "classes")
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.first("tags").alias("tags")), "classes")
 
     placed = classes.select("key", F.posexplode("bands").alias("band", "bucket"))
     shared = placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     met = stored(placed.join(shared, "bucket"), "bucket-members")
     degrees = met.groupBy("key").agg(F.sum("size").alias("degree"))
-    known = degrees.join(classes.select("key", "id", "n", "marks"), "key")
+    known = degrees.join(classes.select("key", "id", "n", "marks", "tags"), "key")
     members = stored(met.drop("size").join(known.drop("id"), "key"), "members")
     wanted = stored(known.select("key", "id"), "wanted")
     discard(met)

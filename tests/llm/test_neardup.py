@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakerisk.llm import neardup
 from lakerisk.llm.graph import components
@@ -23,6 +24,36 @@ def test_a_family_around_the_threshold_is_linked_in_full(spark):
     assert {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs).collect()} == roots
 
 
+@pytest.mark.parametrize("elements", [neardup.ELEMENTS, 300])
+def test_a_large_family_in_many_blocks(spark, monkeypatch, elements):
+    monkeypatch.setattr(neardup, "BLOCK", 24)
+    monkeypatch.setattr(neardup, "ELEMENTS", elements)
+    texts = families(7, bases=2, copies=300)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    roots, _ = groups(texts)
+    assert {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs).collect()} == roots
+
+
+def test_full_sets_tie_what_trees_leave(spark):
+    """Without any link of the first stage, the second finds all components."""
+    texts = families(8, bases=4, copies=30)
+    rows = spark.createDataFrame([(0, k, t) for k, t in texts.items() if t.strip()], "pad int, id long, text string").select("id", "text")
+    sketched = rows.mapInArrow(neardup._sketched, neardup.SKETCH_SCHEMA)
+    one = sketched.groupBy("key").agg(*(F.first(c).alias(c) for c in ("id", "n", "bands", "marks", "tags")))
+    members = one.select("key", "n", "marks", "tags", F.posexplode("bands").alias("band", "bucket")).withColumn("root", F.col("key"))
+    shared = members.groupBy("bucket").count().where("count > 1").select("bucket")
+    sets = rows.mapInArrow(neardup._sets, neardup.SET_SCHEMA).dropDuplicates(["key"])
+    links = neardup.further_links(members.join(shared, "bucket"), sets)
+    assert links.count() < one.count()
+    found = {r["node"]: r["root"] for r in components(links).collect()}
+    ids = {r["id"]: found.get(r["key"], r["key"]) for r in one.collect()}
+    roots, _ = groups(texts)
+    tied = {}
+    for doc, root in ids.items():
+        tied.setdefault(root, set()).add(roots[doc])
+    assert all(len(x) == 1 for x in tied.values()) and len(tied) == len({roots[doc] for doc in ids})
+
+
 def test_sketches_agree_as_sets_do():
     random = np.random.default_rng(5)
     agree = []
