@@ -147,6 +147,17 @@ def fit_scaler(train: DataFrame) -> Model:
         inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(train)
 
 
+def _without_summary(spark: SparkSession, model: PipelineModel) -> PipelineModel:
+    """The fitted model without its training summary: stored in the shared folder and read back.
+
+    The summary holds the session, and goes to the tasks with every row function of the model. A session that has observed
+    a frame (``DataFrame.observe``) cannot be sent, so from then on no freshly fitted model could score.
+    """
+    path = shared_dir(spark, "fitted")
+    model.save(path)
+    return PipelineModel.load(path)
+
+
 def fit_logistic(train: DataFrame) -> PipelineModel:
     """Scaler and L2 logistic regression on weighted, assembled training rows."""
     scaler = fit_scaler(train)
@@ -154,7 +165,7 @@ def fit_logistic(train: DataFrame) -> PipelineModel:
     logistic = LogisticRegression(
         featuresCol="scaled", labelCol="label", weightCol="weight", maxIter=1000,
         regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False)
-    return PipelineModel([scaler, logistic.fit(scaler.transform(train))])
+    return _without_summary(train.sparkSession, PipelineModel([scaler, logistic.fit(scaler.transform(train))]))
 
 
 def fit_forest(train: DataFrame, num_trees: int = 30, max_depth: int = 12) -> PipelineModel:
@@ -162,7 +173,7 @@ def fit_forest(train: DataFrame, num_trees: int = 30, max_depth: int = 12) -> Pi
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", weightCol="weight", numTrees=num_trees,
         maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=SEED)
-    return PipelineModel([forest.fit(train)])
+    return _without_summary(train.sparkSession, PipelineModel([forest.fit(train)]))
 
 
 def score_transactions(assembled: DataFrame, model: PipelineModel) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from lakerisk.operators import ml
@@ -109,3 +110,17 @@ def test_review_queue_is_sorted_and_whole(lake):
     rows = ml.review_queue(ml.score_transactions(table, ml.fit_logistic(train))).collect()
     scores = [r["score"] for r in rows]
     assert len(rows) == lake.silver.count() and scores == sorted(scores, reverse=True)
+
+
+@pytest.mark.parametrize("fit", [ml.fit_logistic, ml.fit_forest])
+def test_models_score_in_a_session_that_observed_a_frame(spark, fit):
+    """Such a session cannot go to the tasks, so a fitted model must not hold it."""
+    seen = Observation("rows")
+    spark.range(10).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 10
+    values = [[1.0, 20.0, 500.0, 0.0, 1.0, 2.0], [9.0, 80.0, 400.0, 1.0, 0.0, 2.0], [2.0, 30.0, 650.0, 0.0, 1.0, 1.0], [8.0, 90.0, 350.0, 1.0, 2.0, 0.0]]
+    rows = [(i, *v, float(i % 2), 1.0) for i, v in enumerate(values)]
+    table = ml.assemble(spark.createDataFrame(rows, ["transaction_id", *ml.FEATURES, "label", "weight"]))
+    model = fit(table)
+    scores = {r["transaction_id"]: r["score"] for r in ml.score_transactions(table, model).collect()}
+    assert len(scores) == 4 and all(0 <= s <= 1 for s in scores.values())
