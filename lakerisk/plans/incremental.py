@@ -2,6 +2,7 @@
 
 import math
 import re
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from lakerisk.operators.risk import BASE_SCHEMA, CUSTOMER_BASE_SCHEMA, additive_
 from lakerisk.plans.paths import LakePaths
 from lakerisk.schemas import RAW_COLUMNS
 from lakerisk.session import shared_dir
-from lakerisk.sources.files import remove_partition, replace_partitions
+from lakerisk.sources.files import remove_partition, replace_partition, replace_partitions
 from lakerisk.sources.versions import VersionedTable, months_of, unseen
 
 MONTH = ["year", "month"]
@@ -147,8 +148,9 @@ def compact_partition(
     """Merge the files of one month into files of about ``target_mb``; returns their number afterwards.
 
     A table of versions gets a new version, whatever the number of batches its files came from; readers see the old
-    one or the new one. A folder of ``year=/month=`` is replaced from a copy that is complete in the shared folder
-    before, so a failure at any point leaves a full copy behind.
+    one or the new one. A folder of ``year=/month=`` is replaced by a folder beside it that is complete before, so a
+    failure at any point leaves a full copy behind. A file is written from the old ones one after the other: no task
+    sorts or holds its rows.
     """
     versioned = VersionedTable.open(spark, path)
     if versioned is not None:
@@ -161,14 +163,11 @@ def compact_partition(
     files = max(1, math.ceil(found["bytes"] / (target_mb * 1024 * 1024)))
     if found["files"] <= files:
         return found["files"]
-    merged_path = shared_dir(spark, "compacted")
-    old.repartition(files).write.option("compression", "zstd").parquet(merged_path)
-    merged = spark.read.parquet(merged_path)
+    merged_path = f"{path.rstrip('/')}/_compacted-{uuid.uuid4().hex}"  # no reader of the table looks into it
+    old.drop(*MONTH).coalesce(files).write.option("compression", "zstd").parquet(merged_path)
+    merged = spark.read.schema(old.drop(*MONTH).schema).parquet(merged_path)
     if merged.count() != old.count():
         raise RuntimeError(f"compaction of {year}-{month} lost rows; the month is unchanged")
-    (
-        merged.coalesce(files).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
-        .partitionBy(*MONTH).parquet(path)
-    )
-    return files
+    stored = merged.select("_metadata.file_path").distinct().count()
+    replace_partition(spark, path, {"year": year, "month": month}, merged_path)
+    return stored

@@ -118,13 +118,26 @@ def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
 
 def remove_partition(spark: SparkSession, path: str, values: dict[str, object]) -> None:
     """Remove one partition folder, if it is there; None stands for the partition of missing values."""
-    names = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in values.items()]
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([path, *names]))
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder, files = _partition_folder(spark, path, values)
     if files.exists(folder):
         files.delete(folder, True)
 
 
+def replace_partition(spark: SparkSession, path: str, values: dict[str, object], by: str) -> None:
+    """Put the folder ``by`` of the same file system, with all its files, in place of one partition folder."""
+    folder, files = _partition_folder(spark, path, values)
+    files.delete(folder, True)
+    if not files.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(by), folder):
+        raise RuntimeError(f"{folder} could not be replaced; its rows are in {by}")
+    spark.catalog.refreshByPath(path)
+
+
+def _partition_folder(spark: SparkSession, path: str, values: dict[str, object]):
+    names = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in values.items()]
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([path, *names]))
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def month_range(first: tuple[int, int], last: tuple[int, int]) -> Column:
     """Partition predicate for the months ``first`` to ``last``, both included.
 

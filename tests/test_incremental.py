@@ -2,6 +2,7 @@
 
 import glob
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from lakerisk.functions.derive import add_raw_date_parts
@@ -120,3 +121,19 @@ def test_a_compacted_lake_takes_further_batches(spark, lake, scratch):
     inc.incremental_gold(paths, lake.silver.filter("transaction_id % 2 = 1"), "b")
     inc.incremental_gold(paths, lake.silver.filter("transaction_id % 2 = 1"), "b")
     same(inc.gold_from_base(inc.read_base(spark, paths), ["data", "segment"]), full(lake.silver))
+
+
+def test_compaction_sorts_no_rows(spark, lake, scratch, monkeypatch):
+    """A task that sorted a month's rows would hold them; a month without a time is compacted alike."""
+    path = scratch("small")
+    raw = add_raw_date_parts(lake.raw.withColumn("timestamp", F.expr("if(transaction_id % 5 = 0, NULL, timestamp)")))
+    raw.repartition(6).write.partitionBy("year", "month").parquet(path)
+    before = spark.read.parquet(path).localCheckpoint()
+    by_columns = []
+    write = DataFrameWriter.partitionBy
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda self, *cols: by_columns.append(cols) or write(self, *cols))
+    assert inc.compact_partition(spark, path, 2024, 1) == 1
+    assert inc.compact_partition(spark, path, None, None) == 1
+    assert not by_columns, "Spark sorts what it writes by columns"
+    same(spark.read.parquet(path), before)
+    assert not glob.glob(path + "/_compacted*")
