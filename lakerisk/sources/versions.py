@@ -13,16 +13,21 @@ version names any more stay until ``forget_before`` removes them.
 import json
 import math
 import uuid
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakerisk.session import shared_dir
+
 LIST_SCHEMA = (
     "file string, bytes long, rows long, year int, month int, low timestamp_ntz, high timestamp_ntz, "
     "timeless long, batches array<string>")
 MONTH = ["year", "month"]
+PIECE_ROWS, PIECE_BYTES = 1_000_000, 32 << 20  # what one task of a compaction sorts: rows, and bytes as stored
+FILES_PER_JOB = 16  # of a compaction, each read from its own pieces
 Month = tuple[int | None, int | None]
 
 
@@ -122,6 +127,10 @@ class VersionedTable:
         (
             laid.sortWithinPartitions(*MONTH, self.time).write.option("compression", "zstd").partitionBy(*MONTH).parquet(folder)
         )
+        return self._listed(folder)
+
+    def _listed(self, folder: str) -> DataFrame:
+        """The list of the files in one ``data/part=...`` folder."""
         store = self._folder(f"data/{folder.rsplit('/', 1)[1]}")
         if not any(s.isDirectory() for s in store[1].listStatus(store[0])):  # no rows, no files
             return self.spark.createDataFrame([], LIST_SCHEMA)
@@ -131,6 +140,33 @@ class VersionedTable:
             F.count_if(F.col(self.time).isNull()).alias("timeless"), F.array_sort(F.collect_set("batch")).alias("batches"),
         ).select(*T._parse_datatype_string(LIST_SCHEMA).fieldNames())
 
+    def _merged(self, rows: DataFrame, month: Month, files: int, pieces: int) -> DataFrame:
+        """The rows of one month in ``files`` new files, ordered by time as far as row groups tell, and their list.
+
+        A task sorts one of ``pieces`` ranges, which are stored; a file is then written from its pieces one after the
+        other, without a sort, so no task holds a file's rows. Rows of one time are dealt by their hash.
+        """
+        own = T.StructType([f for f in self.schema.fields if f.name not in MONTH])
+        hashed = F.xxhash64(*[f.name for f in own.fields if "map<" not in f.dataType.simpleString()])
+        path = shared_dir(self.spark, "pieces")
+        laid = rows.select(*own.fieldNames()).repartitionByRange(pieces, F.col(self.time), hashed)
+        laid.sortWithinPartitions(self.time).write.option("compression", "zstd").parquet(path)
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        store = place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in store.listStatus(place)]
+        names = sorted((n for n in names if n.startswith("part-")), key=lambda n: (int(n.split("-")[1]), n))
+        groups = [names[i * len(names) // files:(i + 1) * len(names) // files] for i in range(files)]
+        wanted = [
+            reduce(DataFrame.union, [self.spark.read.schema(own).parquet(f"{path}/{n}") for n in group]).coalesce(1)
+            for group in groups if group
+        ]
+        folder = f"{self.path}/data/part={uuid.uuid4().hex}"
+        target = "/".join([folder, *(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(MONTH, month))])
+        for first in range(0, len(wanted), FILES_PER_JOB):
+            reduce(DataFrame.union, wanted[first:first + FILES_PER_JOB]).write.mode("append").option("compression", "zstd").parquet(target)
+        store.delete(place, True)
+        return self._listed(folder)
+
     def _switch(self, version: int, months: list[Month], kept: DataFrame, added: DataFrame, applied: dict | None = None) -> int:
         """The version after ``version``: in ``months`` and those of the added files, the kept and added files."""
         marker = self._marker(version)
@@ -175,14 +211,21 @@ class VersionedTable:
         return self._switch(version, months, now.limit(0), added, {stream: number})
 
     def compact(self, year: int | None, month: int | None, target_mb: int = 256) -> int:
-        """Merge the files of one month into files of about ``target_mb``; returns their number afterwards."""
+        """Merge the files of one month into files of about ``target_mb``; returns their number afterwards.
+
+        What a task sorts does not grow with the files: see ``_merged``.
+        """
         version = self.version()
         now = self.files([(year, month)], version)
         found = now.agg(F.sum("bytes").alias("bytes"), F.count("*").alias("files"), F.sum("rows").alias("rows")).first()
         files = max(1, math.ceil((found["bytes"] or 0) / (target_mb * 1024 * 1024)))
         if found["files"] <= files:
             return found["files"]
-        added = self._written(self.read(now), files)
+        pieces = max(math.ceil(found["rows"] / PIECE_ROWS), math.ceil(found["bytes"] / PIECE_BYTES))
+        if pieces <= files:
+            added = self._written(self.read(now), files)
+        else:
+            added = self._merged(self.read(now), (year, month), files, pieces)
         stored = added.agg(F.sum("rows").alias("rows"), F.count("*").alias("files")).first()
         if stored["rows"] != found["rows"]:
             raise RuntimeError(f"compaction of {year}-{month} lost rows; the version is unchanged")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lakerisk.operators import risk
 from lakerisk.plans import incremental as inc
 from lakerisk.plans.lake import LakePaths
+from lakerisk.sources import versions
 from lakerisk.sources.versions import ConcurrentCommit, VersionedTable
 from lakerisk.streaming import stream
 from tests.test_incremental import same
@@ -172,3 +173,26 @@ def test_empty_events_give_empty_results(spark, lake, scratch):
     assert inc.read_base(spark, paths).count() == 0
     inc.incremental_gold(paths, lake.silver.limit(0), "none")
     assert inc.read_base(spark, paths).count() == 0 and inc.read_customer_base(spark, paths).count() == 0
+
+
+def test_a_large_month_is_sorted_in_pieces_and_its_files_stay_in_order(spark, scratch, monkeypatch):
+    """No task sorts more than a piece, yet the files are as few as asked for and ordered by time; copies of a time too."""
+    monkeypatch.setattr(versions, "PIECE_ROWS", 50)
+    t = table(spark, scratch("t"))
+    timeless = days(spark, 0, 10).withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    for number in range(4):
+        t.replace(f"b{number}", days(spark, 7 * number, 7 * number + 7))
+        t.replace(f"n{number}", timeless)
+    want = t.read().select("id", "ts", "batch")
+    sorted_rows = []
+    merged = VersionedTable._merged
+    monkeypatch.setattr(VersionedTable, "_merged", lambda self, rows, month, files, pieces: sorted_rows.append((month, files, pieces)) or merged(self, rows, month, files, pieces))
+    assert t.compact(2024, 1) == 1 and t.compact(None, None) == 1
+    assert sorted_rows == [((2024, 1), 1, 12), ((None, None), 1, 16)]
+    same(t.read().select("id", "ts", "batch"), want)
+    row = t.files([(2024, 1)]).first()
+    assert row["rows"] == 560 and row["batches"] == ["b0", "b1", "b2", "b3"]
+    times = [r["ts"] for r in spark.read.parquet(row["file"]).select("ts").collect()]
+    assert times == sorted(times)
+    t.replace("b1", days(spark, 7, 8))
+    assert t.read().count() == 560 - 140 + 20 + 800
